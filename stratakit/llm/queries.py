@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from stratakit.llm.mixing import op7_sainte_lague_mix
+from stratakit.llm.packing import op6_drr_packing
 from stratakit.llm.sharding import op5_fixed_virtual_slots
 
 QUERIES = {
     "op5_fixed_virtual_slots": op5_fixed_virtual_slots,
+    "op6_drr_packing": op6_drr_packing,
     "op7_sainte_lague_mix": op7_sainte_lague_mix,
 }
 
