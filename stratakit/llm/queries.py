@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratakit.llm.language_id import op8_ppm_language
 from stratakit.llm.mixing import op7_sainte_lague_mix
 from stratakit.llm.packing import op6_drr_packing
 from stratakit.llm.sharding import op5_fixed_virtual_slots
@@ -10,6 +11,7 @@ QUERIES = {
     "op5_fixed_virtual_slots": op5_fixed_virtual_slots,
     "op6_drr_packing": op6_drr_packing,
     "op7_sainte_lague_mix": op7_sainte_lague_mix,
+    "op8_ppm_language": op8_ppm_language,
 }
 
 ORACLE_SQL: dict[str, str] = {}
