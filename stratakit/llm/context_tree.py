@@ -107,15 +107,18 @@ class ContextTree:
         return node
 
     def sums(self, texts: list[bytes], table: np.ndarray) -> np.ndarray:
-        """For each text the sum over its bytes of ``table[node, symbol]``.
+        """For each text the sum over its bytes of ``table[node, symbol]``."""
+        return self.segment_sums(*joined(texts, self.depth), table)
+
+    def segment_sums(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Sums over the given stretches of a buffer, in order and apart.
 
         ``table``: nodes x symbols x columns.  Works in steps of bounded size,
-        whatever the texts' lengths.
+        whatever the stretches' lengths.
         """
         flat = table.reshape(self.nodes * self.width, -1)
-        buffer, starts, ends = joined(texts, self.depth)
-        out = np.zeros((len(texts), flat.shape[1]))
-        if not len(buffer):
+        out = np.zeros((len(starts), flat.shape[1]))
+        if not len(starts):
             return out
         symbols = self.classes[buffer].astype(np.int32)
         inside = positions(starts, ends, len(buffer))
@@ -124,7 +127,8 @@ class ContextTree:
             part = symbols[lo - self.depth : hi]
             value = flat[self.walk(part) * np.int32(self.width) + part[self.depth :]] * inside[lo:hi, None]
             a, b = np.searchsorted(ends, lo, "right"), np.searchsorted(starts, hi, "left")
-            cuts = np.clip(starts[a:b], lo, hi) - lo
-            if len(cuts):
-                out[a:b] += np.add.reduceat(np.concatenate([value, np.zeros((1, value.shape[1]), value.dtype)]), cuts, axis=0, dtype=np.float64) * (np.clip(ends[a:b], lo, hi) > np.clip(starts[a:b], lo, hi))[:, None]
+            if a < b:
+                cuts, stops = np.clip(starts[a:b], lo, hi), np.clip(ends[a:b], lo, hi)
+                value = np.concatenate([value, np.zeros((1, value.shape[1]), value.dtype)])
+                out[a:b] += np.add.reduceat(value, cuts - lo, axis=0, dtype=np.float64) * (stops > cuts)[:, None]
         return out

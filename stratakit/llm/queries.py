@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from stratakit.llm.language_id import op8_ppm_language
+from stratakit.llm.lm_scoring import op1_suffix_tree_scores
 from stratakit.llm.mixing import op7_sainte_lague_mix
 from stratakit.llm.packing import op6_drr_packing
 from stratakit.llm.sharding import op5_fixed_virtual_slots
 
 QUERIES = {
+    "op1_suffix_tree_scores": op1_suffix_tree_scores,
     "op5_fixed_virtual_slots": op5_fixed_virtual_slots,
     "op6_drr_packing": op6_drr_packing,
     "op7_sainte_lague_mix": op7_sainte_lague_mix,
