@@ -7,6 +7,7 @@ from stratakit.llm.lm_scoring import op1_suffix_tree_scores
 from stratakit.llm.mixing import op7_sainte_lague_mix
 from stratakit.llm.near_dedup import op2_similarity_sketch_dedup
 from stratakit.llm.packing import op6_drr_packing
+from stratakit.llm.pii import op9_surrogate_pii
 from stratakit.llm.quality import op3_kneser_ney_quality
 from stratakit.llm.sharding import op5_fixed_virtual_slots
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_drr_packing": op6_drr_packing,
     "op7_sainte_lague_mix": op7_sainte_lague_mix,
     "op8_ppm_language": op8_ppm_language,
+    "op9_surrogate_pii": op9_surrogate_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {}
