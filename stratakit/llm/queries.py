@@ -6,6 +6,7 @@ from stratakit.llm.language_id import op8_ppm_language
 from stratakit.llm.lm_scoring import op1_suffix_tree_scores
 from stratakit.llm.mixing import op7_sainte_lague_mix
 from stratakit.llm.near_dedup import op2_similarity_sketch_dedup
+from stratakit.llm.nearest import op10_pruned_graph_neighbours
 from stratakit.llm.packing import op6_drr_packing
 from stratakit.llm.pii import op9_surrogate_pii
 from stratakit.llm.quality import op3_kneser_ney_quality
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_sainte_lague_mix": op7_sainte_lague_mix,
     "op8_ppm_language": op8_ppm_language,
     "op9_surrogate_pii": op9_surrogate_pii,
+    "op10_pruned_graph_neighbours": op10_pruned_graph_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {}
