@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stratakit.llm.language_id import op8_ppm_language
 from stratakit.llm.lm_scoring import op1_suffix_tree_scores
+from stratakit.llm.media import op4_lossless_webp
 from stratakit.llm.mixing import op7_sainte_lague_mix
 from stratakit.llm.near_dedup import op2_similarity_sketch_dedup
 from stratakit.llm.nearest import op10_pruned_graph_neighbours
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_suffix_tree_scores": op1_suffix_tree_scores,
     "op2_similarity_sketch_dedup": op2_similarity_sketch_dedup,
     "op3_kneser_ney_quality": op3_kneser_ney_quality,
+    "op4_lossless_webp": op4_lossless_webp,
     "op5_fixed_virtual_slots": op5_fixed_virtual_slots,
     "op6_drr_packing": op6_drr_packing,
     "op7_sainte_lague_mix": op7_sainte_lague_mix,
