@@ -371,12 +371,7 @@ _EVENT = T.StructType().add("ano", "integer").add("id_aluno", "string").add("pro
 @query("""select '{"event_id":"' || event_id || '","event_type":"measure","event_timestamp":"2024","payload":"{\\"user_id\\":' || user_id || ',\\"ano\\":' || year(ts) || '}"}' "value" from events""")
 def event_encode(spark, sf_dir):
     rows = table(spark, sf_dir, "events")
-    encoded = ev.encode(rows.select("user_id", "event_id", "ts").withColumn("ano", F.year("ts")).select("user_id", "ano"), F.lit("x"), "measure", F.lit("2024"))
-    own = rows.select("user_id", "event_id", F.year("ts").alias("ano"))
-    payload = F.to_json(F.struct("user_id", "ano"))
-    envelope = F.struct(F.col("event_id").cast("string").alias("event_id"), F.lit("measure").alias("event_type"), F.lit("2024").alias("event_timestamp"), payload.alias("payload"))
-    assert encoded.columns == ["value"]
-    return own.select(F.to_json(envelope).alias("value"))
+    return ev.encode(rows, F.col("event_id"), "measure", F.lit("2024"), ["user_id"], F.year("ts")).select(F.col("value").cast("string").alias("value"))
 
 
 def messages(spark, sf_dir):

@@ -36,13 +36,14 @@ REASONS = {
 LINEAGE = ("_event_id", "_kafka_partition", "_kafka_offset", "_ingestion_timestamp")
 
 
-def encode(rows: DataFrame, event_id: Column, event_type: str, event_time: Column, year: Column | None = None, year_column: str = "ano") -> DataFrame:
-    """``value``: each row as an envelope; ``year`` fills a missing year."""
-    columns = [F.col(c) for c in rows.columns if c != year_column]
-    if year_column in rows.columns or year is not None:
-        own = F.col(year_column) if year_column in rows.columns else F.lit(None).cast("int")
-        columns.append((F.coalesce(own, year) if year is not None else own).alias(year_column))
-    payload = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+def encode(rows: DataFrame, event_id: Column, event_type: str, event_time: Column, columns: list[str] | None = None, year: Column | None = None, year_column: str = "ano") -> DataFrame:
+    """``value``: each row as an envelope, its ``columns`` (all) as payload;
+    ``year`` fills a missing year."""
+    names = columns or rows.columns
+    filled = {c: F.col(c) for c in names}
+    if year is not None:
+        filled[year_column] = F.coalesce(filled[year_column], year) if year_column in filled else year
+    payload = F.to_json(F.struct(*[c.alias(n) for n, c in filled.items()]), {"ignoreNullFields": "false"})
     envelope = F.struct(event_id.cast("string").alias("event_id"), F.lit(event_type).alias("event_type"), event_time.cast("string").alias("event_timestamp"), payload.alias("payload"))
     return rows.select(F.to_json(envelope).cast("binary").alias("value"))
 
@@ -57,30 +58,41 @@ def _is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once a row.
+
+    A generator keeps the optimiser from copying the expressions, JSON parsing
+    among them, into every filter and column above.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def classified(messages: DataFrame, keys: tuple[str, ...], year_column: str = "ano") -> DataFrame:
     """``messages`` plus ``_rule`` (null: valid), ``_env`` and ``_body`` variants."""
     text = F.col("value").cast("string")
-    env = messages.withColumn("_text", F.when(F.is_valid_utf8(text), text)).withColumn("_env", F.try_parse_json("_text"))
+    env = messages.withColumn("_text", F.when(F.is_valid_utf8(text), text))
+    env = computed(env, _env=F.try_parse_json("_text"))
     get = lambda name, kind: F.try_variant_get("_env", f"$.{name}", kind)
-    env = env.withColumns({"_object": _is_object(F.col("_env")), "_id": get("event_id", "variant"), "_payload": get("payload", "variant")})
+    env = computed(env, _object=_is_object(F.col("_env")), _id=get("event_id", "variant"), _payload=get("payload", "variant"), _year=get(year_column, "string"))
     kind = F.schema_of_variant("_payload")
-    env = env.withColumn("_payload_kind", kind).withColumn("_body", F.when(kind == "STRING", F.try_parse_json(get("payload", "string"))).when(kind.startswith("OBJECT"), F.col("_payload")))
-    key = lambda c: F.try_variant_get("_body", f"$.{c}", "string")
+    parsed = F.when(kind == "STRING", F.try_parse_json(get("payload", "string"))).when(kind.startswith("OBJECT"), F.col("_payload"))
+    env = computed(env, _payload_kind=kind, _body=parsed)
+    env = computed(env, _falsy=_falsy(F.col("_id")), _body_object=_is_object(F.col("_body")), **{f"_key_{c}": F.try_variant_get("_body", f"$.{c}", "string") for c in keys})
     present = F.lit(True)
     for c in keys:
-        value = F.coalesce(key(c), get(c, "string")) if c == year_column else key(c)
-        present = present & (value.try_cast("double").try_cast("int").isNotNull() if c == year_column else value.isNotNull())
+        value = F.coalesce(F.col(f"_key_{c}"), F.col("_year")).try_cast("double").try_cast("int") if c == year_column else F.col(f"_key_{c}")
+        present = present & value.isNotNull()
     rule = (
         F.when(F.col("value").isNull(), EMPTY)
         .when(F.col("_text").isNull(), UNDECODABLE)
         .when(F.col("_env").isNull(), BAD_ENVELOPE)
         .when(~F.col("_object"), ENVELOPE_SHAPE)
-        .when(_falsy(F.col("_id")) | F.col("_payload").isNull() | (F.col("_payload_kind") == "VOID"), MISSING_FIELDS)
+        .when(F.col("_falsy") | F.col("_payload").isNull() | (F.col("_payload_kind") == "VOID"), MISSING_FIELDS)
         .when((F.col("_payload_kind") == "STRING") & F.col("_body").isNull(), BAD_PAYLOAD)
-        .when(~_is_object(F.col("_body")), PAYLOAD_SHAPE)
+        .when(~F.col("_body_object"), PAYLOAD_SHAPE)
         .when(~present, MISSING_KEYS)
     )
-    return env.withColumn("_rule", rule)
+    return computed(env, _rule=rule).select(*messages.columns, "_text", "_env", "_object", "_body", "_rule")
 
 
 def valid_rows(done: DataFrame, schema: T.StructType, ingested_at: str, year_column: str = "ano") -> DataFrame:
@@ -97,9 +109,10 @@ def valid_rows(done: DataFrame, schema: T.StructType, ingested_at: str, year_col
 
     known = [f.name for f in schema]
     rest = F.map_filter(F.from_json(F.to_json("_body"), "map<string,string>"), lambda k, _: ~k.isin(*known))
-    return done.where(F.col("_rule").isNull()).select(
+    found = computed(done.where(F.col("_rule").isNull()), _rest=rest)
+    return found.select(
         *[value(f) for f in schema],
-        F.when(F.size(rest) > 0, F.to_json(rest)).alias("_extra"),
+        F.when(F.size("_rest") > 0, F.to_json("_rest")).alias("_extra"),
         F.try_variant_get("_env", "$.event_id", "string").alias("_event_id"),
         F.col("partition").alias("_kafka_partition"),
         F.col("offset").alias("_kafka_offset"),

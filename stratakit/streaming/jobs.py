@@ -17,7 +17,7 @@ from stratakit.operators.quality import Rule, check
 from stratakit.operators.standardize import standardize_common
 from stratakit.operators.upsert import upsert_parquet
 from stratakit.sources.sinks import write_quarantine, write_table
-from stratakit.streaming.events import parse
+from stratakit.streaming.events import classified, rejects, valid_rows
 
 
 @dataclass(frozen=True)
@@ -69,16 +69,16 @@ def batch_writer(tables: StreamTables, references: Callable[[], dict[str, DataFr
         if messages.isEmpty():
             return
         now, batch_id = clock(), f"{stream}-{number}"
-        messages.persist(StorageLevel.MEMORY_AND_DISK)
+        done = classified(messages, tables.keys).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            valid, rejected = parse(messages, tables.schema, tables.keys, now)
+            valid, rejected = valid_rows(done, tables.schema, now), rejects(done, now)
             if tables.rejects:
                 write_table(rejected.withColumn("batch", F.lit(batch_id)), tables.rejects, "batch")
             if not valid.isEmpty():
                 upsert_parquet(valid, tables.bronze, list(tables.keys), list(ARRIVAL), tables.preserve, tables.partition_by)
                 promote(valid, tables, references(), batch_id, now)
         finally:
-            messages.unpersist()
+            done.unpersist()
 
     return write
 
