@@ -99,7 +99,7 @@ def state_indicator(students: DataFrame, municipalities: DataFrame | None, targe
 
 
 def distinct_years(df: DataFrame, year: str = "ano") -> DataFrame:
-    return df.agg(F.count_distinct(year).alias("years"))
+    return df.agg(F.count_distinct(year).alias("n_years"))
 
 
 #: Text columns of the indicator tables; all others but the year are numbers.

@@ -70,12 +70,12 @@ def _target_values() -> list:
     return [
         F.round(F.avg("o_totalprice") / 5000, 4).alias("taxa_alfabetizacao"),
         F.round(F.avg("o_totalprice") / 4000, 4).alias("meta_alfabetizacao_2024"),
-        F.round(F.max("o_totalprice") / 4000, 4).alias("meta_alfabetizacao_2030"),
-        F.round(F.min("o_totalprice") / 40, 4).alias("percentual_participacao"),
+        F.round(F.max("o_totalprice") / 3700, 4).alias("meta_alfabetizacao_2030"),
+        F.round(F.min("o_totalprice") / 37, 4).alias("percentual_participacao"),
     ]
 
 
-_TARGET_SQL = "round(avg(o_totalprice) / 5000, 4) t, round(avg(o_totalprice) / 4000, 4) m24, round(max(o_totalprice) / 4000, 4) m30, round(min(o_totalprice) / 40, 4) part"
+_TARGET_SQL = "round(avg(o_totalprice) / 5000, 4) t, round(avg(o_totalprice) / 4000, 4) m24, round(max(o_totalprice) / 3700, 4) m30, round(min(o_totalprice) / 37, 4) part"
 
 
 def local_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +245,7 @@ def indicator_gap_region(spark, sf_dir):
     return rounded(indicator.state_indicator(students(spark, sf_dir), towns(spark, sf_dir), state_targets(spark, sf_dir)))
 
 
-@query(f"with {STUDENTS} select count(distinct ano) years from students")
+@query(f"with {STUDENTS} select count(distinct ano) n_years from students")
 def indicator_years(spark, sf_dir):
     return indicator.distinct_years(students(spark, sf_dir))
 
@@ -316,7 +316,7 @@ def quality_unique(spark, sf_dir):
     return checked.quarantine.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("select p_partkey, p_size * 2.0 a, case when p_partkey % 9 <> 0 then 100.0 - p_size * 2.0 + (p_partkey % 5) end b from part where p_partkey % 9 = 0 or p_partkey % 5 <= 1")
+@query("select p_partkey, p_size * 2.0::double a, case when p_partkey % 9 <> 0 then 100.0::double - p_size * 2.0::double + (p_partkey % 5) end b from part where p_partkey % 9 = 0 or p_partkey % 5 <= 1")
 def quality_sum(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 2.0).alias("a"), F.when(F.col("p_partkey") % 9 != 0, 100.0 - F.col("p_size") * 2.0 + F.col("p_partkey") % 5).alias("b"))
     return quality.check(rows, [Rule("sum", SUM, columns=("a", "b"))]).valid
