@@ -38,6 +38,7 @@ MAX_QUEUES = 255
 #: Words kept in each worker's table of encoded words.
 CACHE_WORDS = 300_000
 _SCALE = 18
+_STEP = 16_384
 _RUN = re.compile(r"\s\s")
 
 
@@ -121,21 +122,28 @@ def pieces_of(start: np.ndarray, count: np.ndarray, queue: np.ndarray, quantum:
     """Pieces of documents that begin at ``start`` of their queues: the
     document's place in the batch, the first token, the length, the stream place."""
 
-    def round_of(place: np.ndarray) -> np.ndarray:
-        r = (place << _SCALE) // quantum[queue]
-        for _ in range(2):  # the division is off by one at most
-            r = r + (served(r + 1, quantum[queue], total[queue]) <= place)
-            r = r - (served(r, quantum[queue], total[queue]) > place)
-        return r
-
-    first, last = round_of(start), round_of(start + count - 1)
-    doc = np.repeat(np.arange(len(start)), last - first + 1)
-    r = np.arange(len(doc)) - np.repeat(np.cumsum(last - first + 1) - (last - first + 1), last - first + 1) + first[doc]
-    old, new = served(r[:, None], quantum, total), served(r[:, None] + 1, quantum, total)
-    q, rows = queue[doc], np.arange(len(doc))
-    lo, hi = np.maximum(old[rows, q], start[doc]), np.minimum(new[rows, q], start[doc] + count[doc])
-    earlier = np.where(np.arange(len(quantum)) < q[:, None], new - old, 0).sum(axis=1)
-    place = old.sum(axis=1) + earlier + lo - old[rows, q]
+    def round_of(place: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """The first round after which the queue has served past ``place``."""
+        return -(-((place + 1) << _SCALE) // quantum[q]) - 1
+
+    # A queue of at least a token a round is met round by round, others token by token.
+    first, last = round_of(start, queue), round_of(start + count - 1, queue)
+    dense = quantum[queue] >= 1 << _SCALE
+    steps = np.where(dense, last - first + 1, count)
+    doc = np.repeat(np.arange(len(start)), steps)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(steps) - steps, steps)
+    q = queue[doc]
+    r = np.where(dense[doc], first[doc] + nth, round_of(start[doc] + nth, q))
+    place, lo, hi = (np.empty(len(doc), dtype=np.int64) for _ in range(3))
+    for at in range(0, len(doc), _STEP):
+        part, own = slice(at, at + _STEP), q[at : at + _STEP]
+        old, new = served(r[part, None], quantum, total), served(r[part, None] + 1, quantum, total)
+        rows = np.arange(len(own))
+        lo[part] = np.maximum(old[rows, own], start[doc[part]])
+        hi[part] = np.minimum(new[rows, own], (start + count)[doc[part]])
+        earlier = np.where(np.arange(len(quantum)) < own[:, None], new - old, 0).sum(axis=1)
+        place[part] = old.sum(axis=1) + earlier + lo[part] - old[rows, own]
+    rows = np.arange(len(doc))
     cuts = (place + hi - lo - 1) // window - place // window + 1
     cuts[hi <= lo] = 0
     again = np.repeat(rows, cuts)
