@@ -7,8 +7,8 @@ is frequent enough and its distribution diverges from its suffix's (or a kept
 context ends in it).  Distributions are smoothed towards their suffix's, and
 each byte is scored by the longest kept suffix before it.  A token's probability
 mixes three: the tree's for its first two bytes times the word's frequency
-among training words with these; the tree's for its whole spelling, which gets
-the share of distinct words among all tokens; and, for a tenth, the base's.
+among training words with these; the tree's for its whole spelling, with the
+share that new words have; and a part of the base's.
 
 Word counts, for the unigram base score, join documents block by block: the
 distinct words of a block of texts meet the corpus counts, not every word of
@@ -62,7 +62,7 @@ def _block_rows(part: int, ids: list, held: list, bodies: list[bytes], names: li
             words.update(tokens)
 
     def batch(kind: str, rows: int, **columns: pa.Array) -> pa.RecordBatch:
-        full = {"part": pa.array(np.full(rows, part)), "kind": pa.array([kind] * rows), **columns}
+        full = {"part": pa.array(np.full(rows, part)), "kind": pa.array([kind] * rows, pa.string()), **columns}
         types = {"doc_id": id_type, "held_out": pa.bool_(), "body": pa.binary(), "gram": pa.int64(), "n": pa.int64()}
         return pa.RecordBatch.from_arrays([full[x] if x in full else pa.nulls(rows, types[x]) for x in names], names=names)
 
@@ -163,7 +163,7 @@ def suffix_tree(contexts: DataFrame, depth: int = DEPTH) -> tuple[ContextTree, n
     return tree, np.log10(p)[:, :, None].astype(np.float32)
 
 
-def token_sums(tree: ContextTree, table: np.ndarray, prefixes: np.ndarray, bodies: list[bytes], count: dict[bytes, int], tokens: int, kinds: int) -> tuple[np.ndarray, ...]:
+def token_sums(tree: ContextTree, table: np.ndarray, prefixes: np.ndarray, bodies: list[bytes], count: dict[bytes, int], tokens: int, kinds: int, unseen: float) -> tuple[np.ndarray, ...]:
     """Of each body: tokens, known tokens, unigram base score, model score."""
     words = b" ".join(bodies).split(b" ")
     c = np.fromiter(map(count.__getitem__, words), dtype=np.int64, count=len(words))
@@ -175,11 +175,10 @@ def token_sums(tree: ContextTree, table: np.ndarray, prefixes: np.ndarray, bodie
     middle = np.minimum(begin + 2, stop)
     halves = tree.segment_sums(buffer, np.stack([begin, middle], 1).ravel(), np.stack([middle, stop], 1).ravel(), table)[:, 0].reshape(-1, 2)
     prefix = buffer[begin].astype(np.int64) * 256 + np.where(middle > begin + 1, buffer[middle - 1], 32)
-    seen = tokens / max(1, tokens + kinds)
     listed = np.power(10.0, np.maximum(halves[:, 0], -300)) * c / np.maximum(prefixes[prefix], 1)
     spelled = np.power(10.0, np.maximum(halves.sum(axis=1), -300))
     simple = (c + 0.1) / (tokens + 0.1 * (kinds + 1))
-    own = np.log10(0.9 * (seen * listed + (1 - seen) * spelled) + 0.1 * simple)
+    own = np.log10(np.where(c > 0, 0.9 * ((1 - unseen) * listed + unseen * spelled) + 0.1 * simple, 0.5 * unseen * spelled + 0.5 * simple))
     return np.diff(np.append(first, len(c))), np.add.reduceat((c > 0).astype(np.int64), first), np.add.reduceat(np.log10(simple), first), np.add.reduceat(own, first)
 
 
@@ -200,8 +199,9 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     rows = blocks(docs, held_out)
     words = rows.where("kind = 'word'").select("part", F.col("body").alias("word"), "n")
     totals = staged(words.groupBy("word").agg(F.sum("n").alias("c")))
-    one = totals.agg(F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("kinds")).first()
+    one = totals.agg(F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("kinds"), F.count_if(F.col("c") == 1).alias("once")).first()
     tokens, kinds = one.tokens or 0, one.kinds or 0
+    unseen = (one.once + 1) / (tokens + 2)  # the share of new words, by Good and Turing
     grams = staged(rows.where("kind = 'gram'").groupBy("gram").agg(F.sum("n").alias("n")))
     total = grams.agg(F.sum("n")).first()[0] or 0
     shared = spark.sparkContext.broadcast((*suffix_tree(suffix_contexts(grams, total)), prefix_counts(totals)))
@@ -219,7 +219,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
             chunk.append(body)
             size += len(body)
             if size >= _SCORE_BYTES or k == len(bodies):
-                parts.append(token_sums(tree, table, prefixes, chunk, count, tokens, kinds))
+                parts.append(token_sums(tree, table, prefixes, chunk, count, tokens, kinds, unseen))
                 chunk, size = [], 0
         n_tokens, n_known, base, own = (np.concatenate(x) for x in zip(*parts))
         return pa.Table.from_arrays([left.column("doc_id"), left.column("held_out"), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(own), tokens)), pa.array(base), pa.array(own)], names=schema.names)

@@ -18,7 +18,8 @@ def held(i):
     return i is not None and zlib.crc32(str(i).encode()) % 10 == 0
 
 
-HELD = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+def out():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
 
 
 def test_gram_counts_against_a_loop():
@@ -57,7 +58,7 @@ def sums_to_one(table, tree, unseen):
 
 
 def test_suffix_tree_is_a_distribution_and_walks_to_the_longest_suffix(spark):
-    rows = lm_scoring.blocks(documents(spark, SF_DIR), HELD)
+    rows = lm_scoring.blocks(documents(spark, SF_DIR), out())
     grams = rows.where("kind = 'gram'").groupBy("gram").agg(F.sum("n").alias("n"))
     total = grams.agg(F.sum("n")).first()[0]
     tree, table = lm_scoring.suffix_tree(lm_scoring.suffix_contexts(grams, total))
@@ -80,18 +81,18 @@ def test_lm_scores_against_brute_force(spark, make):
         own = [*words(d.text), b"\n"]
         base = sum(np.log10((count[w] + 0.1) / (n + 0.1 * (kinds + 1))) for w in own)
         want[(d.doc_id, held(d.doc_id), len(own), sum(count[w] > 0 for w in own), n, round(base, 5))] += 1
-    found = lm_scoring.score(make(spark), HELD).collect()
+    found = lm_scoring.score(make(spark), out()).collect()
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in found) == want
     assert all(np.isfinite(r.score) and r.score < 0 for r in found)
 
 
 def test_lm_beats_the_base_on_held_out_texts(spark):
-    found = lm_scoring.score(documents(spark, SF_DIR), HELD).where("held_out").collect()
+    found = lm_scoring.score(documents(spark, SF_DIR), out()).where("held_out").collect()
     assert sum(r.score for r in found) > sum(r.base_score for r in found)
 
 
 def test_lm_of_no_rows_and_of_no_training_rows(spark):
-    assert lm_scoring.score(empty(spark), HELD).count() == 0
+    assert lm_scoring.score(empty(spark), out()).count() == 0
     found = lm_scoring.score(frame(spark), F.lit(True)).collect()
     assert len(found) == frame(spark).count() and all(r.train_tokens == 0 and np.isfinite(r.score) for r in found)
 
