@@ -170,7 +170,8 @@ def pack(docs: DataFrame, weights: dict | None = None, window: int = WINDOW, pat
     quantum = quanta([x.total for x in queues], weights and [weights.get(x.name, 0) for x in queues], window)
     starts = runs.join(queued.drop("total"), F.col("source").eqNullSafe(F.col("s_")))
     before_run = F.sum("run").over(W.partitionBy("queue").orderBy("part", F.asc_nulls_last("source")).rowsBetween(W.unboundedPreceding, 0)) - F.col("run")
-    starts = starts.select(F.col("source").alias("s_"), F.col("part").alias("p_"), "queue", before_run.alias("run_start"))
+    # Staged, so that Spark knows its size and needn't shuffle the tokens to join it if it is small.
+    starts = staged(starts.select(F.col("source").alias("s_"), F.col("part").alias("p_"), "queue", before_run.alias("run_start")))
     same = F.col("source").eqNullSafe(F.col("s_")) & (F.col("part") == F.col("p_"))
     placed = tokens.join(starts, same).select("doc_id", "source", "queue", (F.col("run_start") + F.col("before")).alias("at"), "n_tokens", "ids")
     schema = placed.select("doc_id", "source").schema
