@@ -26,4 +26,19 @@ QUERIES = {
     "op10_pruned_graph_neighbours": op10_pruned_graph_neighbours,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: SQL where it can express the whole result.  The other operators rest on
+#: models, tokenizers, image files, seeded hashes or a search that SQL doesn't
+#: have; tests/llm compares them with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_similarity_sketch_dedup": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+sets as (select doc_id, case when len(w) = 0 then [] when len(w) = 1 then [w[1]] else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end s from words),
+sized as (select doc_id, s, len(s) n from sets),
+items as (select doc_id, n, unnest(s) item from sized),
+links as (select a.doc_id x, b.doc_id y from items a join items b on a.item = b.item and a.doc_id <> b.doc_id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach as (select doc_id, doc_id c from sized union select y, c from reach join links on doc_id = x),
+least_id as (select doc_id, min(c) component_id from reach group by doc_id)
+select doc_id, n::bigint n_shingles, component_id, doc_id = component_id kept from sized join least_id using (doc_id)""",
+}

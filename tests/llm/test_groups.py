@@ -237,3 +237,16 @@ def test_robust_prune_against_a_loop():
             want.append(left[0])
             left = [i for i in left[1:] if 1.2**2 * dist(want[-1], i) > dist(p, i)]
         assert [i for i in chosen.tolist() if i < 60] == want
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    from stratakit.llm.queries import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF_DIR}/documents.parquet'")
+    for name, sql in ORACLE_SQL.items():
+        relation = con.sql(sql)
+        got = QUERIES[name](spark, SF_DIR).select(*relation.columns).collect()
+        assert sorted(map(tuple, got)) == sorted(relation.fetchall())
