@@ -44,6 +44,17 @@ def selected(names: Iterable[str] | str, known: Iterable[str]) -> list[str]:
     return wanted
 
 
+def parsed_years(text: str | None) -> tuple[int, ...] | None:
+    """``"2023, 2024"`` as numbers; nothing or ``"all"`` is no filter."""
+    parts = [p.strip() for p in (text or "").split(",") if p.strip()]
+    if not parts or parts == ["all"]:
+        return None
+    wrong = [p for p in parts if not p.isdigit()]
+    if wrong:
+        raise ValueError(f"not years: {', '.join(wrong)}")
+    return tuple(sorted({int(p) for p in parts}))
+
+
 def ingest(spark: SparkSession, sources: dict[str, str], bronze: str, run: Run, names: Iterable[str] | str = "all", source_format: str = "parquet", **options: str) -> DataFrame:
     """Sources to Bronze; gives ``source, records, written``."""
     rows = []

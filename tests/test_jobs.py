@@ -109,6 +109,37 @@ def test_quarantine_rerun_replaces_its_batch(spark, tmp_path):
     assert spark.read.option("mergeSchema", "true").parquet(f"{tmp_path}/q").count() == 2
 
 
+def test_years_of_a_run():
+    assert jobs.parsed_years("2024, 2023,2024") == (2023, 2024) and jobs.parsed_years("all") is None and jobs.parsed_years(None) is None
+    with pytest.raises(ValueError, match="not years"):
+        jobs.parsed_years("2024,x")
+
+
+def test_batch_jobs_from_sources_to_gold(spark, tmp_path):
+    """Sources to Bronze to Silver to Gold, then the same batch again."""
+    frames = {
+        "uf": spark.createDataFrame([("35", "SP", "São Paulo", "Sudeste"), ("99", None, "x", "y")], "id_uf string, sigla string, nome string, regiao string"),
+        "municipio": spark.createDataFrame([("3550308", "São Paulo", "SP"), ("bad", "x", "SP")], "id_municipio string, nome string, sigla_uf string"),
+        "meta_brasil": spark.createDataFrame([(2024, "municipal", 60.0)], "ano int, rede string, taxa_alfabetizacao double"),
+        "meta_uf": spark.createDataFrame([(2024, "sp", "Municipal", 55.0, 60.0), (2024, "XX", "municipal", 1.0, 1.0)], "ano int, sigla_uf string, rede string, taxa_alfabetizacao double, meta_alfabetizacao_2024 double"),
+        "meta_municipio": spark.createDataFrame([(2024, "3550308.0", "Municipal", 55.0, 70.0), (2023, "3550308", "municipal", 1.0, 1.0)], "ano int, id_municipio string, rede string, taxa_alfabetizacao double, meta_alfabetizacao_2024 double"),
+    }
+    for name, df in frames.items():
+        df.write.parquet(f"{tmp_path}/source/{name}")
+    run = jobs.Run("b1", AT, years=(2024,))
+    students = spark.createDataFrame([(2024, "1", "3550308", "Municipal", "Sim", 1.0, 800.0, "t1"), (2024, "1", "3550308", "Municipal", "Não", 1.0, 700.0, "t2"), (2024, "2", "9999999", "municipal", "Sim", 1.0, 1.0, "t1")], "ano int, id_aluno string, id_municipio string, rede string, alfabetizado string, peso_aluno double, proficiencia double, _ingestion_timestamp string")
+    for _ in range(2):
+        counts = {r.source: r.records for r in jobs.ingest(spark, {n: f"{tmp_path}/source/{n}" for n in frames}, f"{tmp_path}/bronze", run).collect()}
+        assert counts == {"uf": 2, "municipio": 2, "meta_brasil": 1, "meta_uf": 2, "meta_municipio": 1}
+        sinks.write_table(students, f"{tmp_path}/bronze/alunos", "ano")
+        rates = {r.entity: (r.valid_rows, r.quarantined_rows) for r in jobs.silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/quarantine", run).collect()}
+        assert rates == {"uf": (1, 1), "municipio": (1, 1), "meta_brasil": (1, 0), "meta_uf": (1, 1), "meta_municipio": (1, 0), "alunos": (1, 1)}
+        assert {r.entity: r.valid_rows for r in jobs.gold(spark, f"{tmp_path}/silver", f"{tmp_path}/gold", f"{tmp_path}/quarantine", run).collect()} == {"indicador_crianca_alfabetizada_municipio": 1, "indicador_crianca_alfabetizada_uf": 1}
+    town = spark.read.parquet(f"{tmp_path}/gold/indicador_crianca_alfabetizada_municipio").collect()
+    assert [(r.taxa_crianca_alfabetizada, r.gap_taxa_vs_inep, r.gap_meta_2024, r.sigla_uf, r.nome_municipio) for r in town] == [(0.0, -55.0, -70.0, "SP", "São Paulo")]
+    assert spark.read.parquet(f"{tmp_path}/quarantine/alunos").count() == 1
+
+
 def test_names_and_references(spark):
     assert jobs.selected("all", ["a", "b"]) == ["a", "b"] and jobs.selected("b", ["a", "b"]) == ["b"]
     with pytest.raises(ValueError, match="unknown"):
