@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 #: Word pattern of all contracts: runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,3 +46,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ascii_lower(col):
     """Lower-cases A-Z only, as all contracts ask."""
     return F.translate(col, UPPER, LOWER)
+
+
+def bounded_sample(rows: DataFrame, group: str, each: int, most: int) -> DataFrame:
+    """``doc_id, group`` of ``each`` rows of every group by hash of ``doc_id``,
+    ``most`` in all; staged, and small enough to go to every task.
+
+    A share of each group that holds about four times as many rows is cut out
+    by hash first, so that no task ranks a whole group.
+    """
+    keys = rows.select("doc_id", group)
+    sizes = staged(keys.groupBy(group).agg(F.count(F.lit(1)).alias("_size")))
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    near = keys.join(sizes, group).where(share < 4.0 * each / F.col("_size"))
+    order = W.partitionBy(group).orderBy(share, "doc_id")
+    chosen = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
+    return staged(chosen.orderBy("_n", group, "doc_id").limit(most).select("doc_id", group))

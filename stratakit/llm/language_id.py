@@ -19,14 +19,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from stratakit.llm.common import documents
+from stratakit.llm.common import bounded_sample, documents
 from stratakit.llm.context_tree import ContextTree, backward, gram_counts
 
 DEPTH = 3
 #: Labelled texts a language that fit the trees.
 SAMPLE_DOCS = 1000
+MOST_SAMPLED = 50_000
 #: A context needs this many occurrences, and this share of its language's bytes.
 LEAST_COUNT, LEAST_SHARE = 8, 1 / 20_000
 
@@ -38,13 +38,12 @@ class Ppm:
     bits: np.ndarray | None  #: nodes x symbols x languages
 
 
-def sample(labelled: DataFrame, docs: int = SAMPLE_DOCS) -> DataFrame:
-    """``docs`` rows of each language, by hash of ``doc_id``."""
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("lang", "doc_id").withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs)
-    keys = chosen.select(F.col("doc_id").alias("i_"), F.col("lang").alias("l_")).distinct()
+def sample(labelled: DataFrame, docs: int = SAMPLE_DOCS, most: int = MOST_SAMPLED) -> DataFrame:
+    """``docs`` rows of each language by hash of ``doc_id``, ``most`` in all.  The
+    choice is made without the texts; its bounded list goes to every task."""
+    keys = bounded_sample(labelled, "lang", docs, most).select(F.col("doc_id").alias("i_"), F.col("lang").alias("l_"))
     same = F.col("doc_id").eqNullSafe(F.col("i_")) & (F.col("lang") == F.col("l_"))
-    return labelled.join(keys, same, "left_semi")
+    return labelled.join(F.broadcast(keys), same, "left_semi")
 
 
 def counts(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
