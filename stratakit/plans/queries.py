@@ -444,7 +444,7 @@ def job_ingestion(spark, sf_dir):
 
 
 @query(f"""with {LOCAL} select ano, l.id_municipio, rede, {_ROUND}, round(taxa_crianca_alfabetizada - t, 4) gap_taxa_vs_inep, round(taxa_crianca_alfabetizada - m24, 4) gap_meta_2024,
-  case when t is not null then coalesce(x.sigla_uf, case when false then '' end) end sigla_uf, '{BATCH}' _gold_batch_id from local l left join towns x using (id_municipio)
+  case when t is not null then x.sigla_uf end sigla_uf, '{BATCH}' _gold_batch_id from local l left join towns x using (id_municipio)
   where l.id_municipio in (select id_municipio from towns)""")
 def job_gold(spark, sf_dir):
     """Ingestion, Silver and Gold one after the other, on Parquet tables."""
