@@ -48,6 +48,7 @@ BLOCK_BYTES = 16_000_000
 END = b"\n"
 _GRAM_BYTES = 4_000_000
 _SCORE_BYTES = 1_000_000
+_LN10 = float(np.log(10))
 
 
 def _block_rows(part: int, ids: list, held: list, bodies: list[bytes], names: list[str], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -175,8 +176,8 @@ def token_sums(tree: ContextTree, table: np.ndarray, prefixes: np.ndarray, bodie
     middle = np.minimum(begin + 2, stop)
     halves = tree.segment_sums(buffer, np.stack([begin, middle], 1).ravel(), np.stack([middle, stop], 1).ravel(), table)[:, 0].reshape(-1, 2)
     prefix = buffer[begin].astype(np.int64) * 256 + np.where(middle > begin + 1, buffer[middle - 1], 32)
-    listed = np.power(10.0, np.maximum(halves[:, 0], -300)) * c / np.maximum(prefixes[prefix], 1)
-    spelled = np.power(10.0, np.maximum(halves.sum(axis=1), -300))
+    listed = np.exp(_LN10 * np.maximum(halves[:, 0], -300)) * c / np.maximum(prefixes[prefix], 1)
+    spelled = np.exp(_LN10 * np.maximum(halves[:, 0] + halves[:, 1], -300))
     simple = (c + 0.1) / (tokens + 0.1 * (kinds + 1))
     own = np.log10(np.where(c > 0, 0.9 * ((1 - unseen) * listed + unseen * spelled) + 0.1 * simple, 0.5 * unseen * spelled + 0.5 * simple))
     return np.diff(np.append(first, len(c))), np.add.reduceat((c > 0).astype(np.int64), first), np.add.reduceat(np.log10(simple), first), np.add.reduceat(own, first)
