@@ -3,8 +3,9 @@
 A text is the byte string of its words, a space after each, and an end byte.
 Counts of all byte strings of length ``DEPTH`` + 1 in all training
 texts give each context's next-symbol distribution.  A context is kept if it
-is frequent enough and its distribution diverges from its suffix's (or a kept
-context ends in it).  Distributions are smoothed towards their suffix's, and
+comes ``LEAST`` times and its distribution diverges from its suffix's (or a kept
+context ends in it), so the tree grows with the corpus.  It is made in shards by
+context, and each block of texts gets the contexts that occur in it.  Distributions are smoothed towards their suffix's, and
 each byte is scored by the longest kept suffix before it.  A token's probability
 mixes three: the tree's for its first two bytes times the word's frequency
 among training words with these; the tree's for its whole spelling, with the
@@ -24,9 +25,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +38,14 @@ from pyspark.sql import types as T
 from stratakit.llm.common import documents, staged
 from stratakit.llm.context_tree import ContextTree, backward, gram_counts, joined, positions
 
-DEPTH = 5
-#: Share of all training bytes that a context needs: at most 1 / LEAST_SHARE
-#: contexts of each depth exist, so the tree's size has a bound for any corpus.
-LEAST_SHARE = 1e-5
+DEPTH = 7
+#: Training bytes after a context that it needs, in a corpus of any size.
+LEAST = 16
+#: Depth of the contexts that every task holds (byte pairs, however large the
+#: corpus); deeper contexts are dealt out by their newest bytes.
+NEAR_DEPTH = 2
+#: Training bytes for each shard of contexts.
+SHARD_BYTES = 4_000_000
 #: A context diverges if coding by it instead of its suffix saves this many
 #: times log2(training bytes) bits over the corpus.
 DIVERGENCE = 4.0
@@ -52,7 +59,8 @@ _LN10 = float(np.log(10))
 
 
 def _block_rows(part: int, ids: list, held: list, bodies: list[bytes], names: list[str], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """The rows of one block: its documents, its words, its training grams."""
+    """The rows of one block: its documents, its words, its grams (those of held
+    out texts count 0)."""
     words: Counter = Counter()
     for body, out in zip(bodies, held):
         tokens = body.split(b" ")
@@ -69,25 +77,69 @@ def _block_rows(part: int, ids: list, held: list, bodies: list[bytes], names: li
 
     yield batch("doc", len(ids), doc_id=pa.array(ids, id_type), held_out=pa.array(held), body=pa.array(bodies, pa.binary()))
     yield batch("word", len(words), body=pa.array(list(words), pa.binary()), n=pa.array(list(words.values()), pa.int64()))
-    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    chunk: list[bytes] = []
-    size = 0
-    for body, out in [*zip(bodies, held), (b"", None)]:
-        if out is False:
+    near = np.zeros(1 << 8 * (NEAR_DEPTH + 1), dtype=np.int64)
+    for chunk, out in _chunks(bodies, held):
+        if not out:
+            k, n = gram_counts(chunk, NEAR_DEPTH)
+            near[k] += n
+    seen = np.flatnonzero(near)
+    yield batch("near", len(seen), gram=pa.array(seen), n=pa.array(near[seen]))
+
+
+def _chunks(bodies: list[bytes], held: list[bool]) -> Iterator[tuple[list[bytes], bool]]:
+    """Bodies, held out or not, in lists of bounded size."""
+    for side in (False, True):
+        chunk, size = [], 0
+        for body in (x for x, out in zip(bodies, held) if out == side):
             chunk.append(body)
             size += len(body)
-        if chunk and (size >= _GRAM_BYTES or out is None):
+            if size >= _GRAM_BYTES:
+                yield chunk, side
+                chunk, size = [], 0
+        if chunk:
+            yield chunk, side
+
+
+def block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of each part: its distinct grams and their training counts (those of held
+    out texts count 0)."""
+
+    def whole(part: int, held: list, bodies: list) -> tuple[int, np.ndarray, np.ndarray]:
+        keys, counts = [], []
+        for chunk, out in _chunks(bodies, held):
             k, n = gram_counts(chunk, DEPTH)
             keys.append(k)
-            counts.append(n)
-            chunk, size = [], 0
-    grams, index = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(index, np.concatenate(counts), len(grams)).astype(np.int64)
-    yield batch("gram", len(grams), gram=pa.array(grams), n=pa.array(total))
+            counts.append(n * (not out))
+        return part, *_summed(np.concatenate(keys), np.concatenate(counts))
+
+    part, held, bodies = None, [], []
+    for batch in batches:
+        for p, h, body in zip(*(batch.column(c).to_pylist() for c in ("part", "held_out", "body"))):
+            if bodies and p != part:
+                yield whole(part, held, bodies)
+                held, bodies = [], []
+            part = p
+            held.append(h)
+            bodies.append(body)
+    if bodies:
+        yield whole(part, held, bodies)
+
+
+def gram_rows(texts: DataFrame) -> DataFrame:
+    """``part, gram, n`` of staged texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, gram, n in block_grams(batches):
+            for at in range(0, len(gram), 1 << 17):
+                g = gram[at : at + (1 << 17)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), part)), pa.array(g), pa.array(n[at : at + (1 << 17)])], names=["part", "gram", "n"])
+
+    return texts.select("part", "held_out", "body").mapInArrow(run, "part long, gram long, n long")
 
 
 def blocks(docs: DataFrame, held_out) -> DataFrame:
-    """Documents in blocks with their words' and grams' training counts, staged."""
+    """Documents in blocks with their words' and short grams' training counts,
+    staged; and their grams (``kind`` gram), made from these when they are read."""
     rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).cast("binary").alias("body"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema]).add("part", "long").add("kind", "string").add("gram", "long").add("n", "long")
 
@@ -107,31 +159,186 @@ def blocks(docs: DataFrame, held_out) -> DataFrame:
         if ids:
             yield from _block_rows(part, ids, held, bodies, schema.names, id_type)
 
-    return staged(rows.mapInArrow(run, schema), "kind")
+    out = staged(rows.mapInArrow(run, schema), "kind")
+    grams = gram_rows(out.where("kind = 'doc'")).withColumn("kind", F.lit("gram"))
+    return out.unionByName(grams.select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in grams.columns)))
 
 
-def suffix_contexts(grams: DataFrame, total: int, depth: int = DEPTH) -> DataFrame:
-    """``d, context, symbol, n, diverges`` of the contexts that are frequent."""
-    by = grams.select(F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("d"), "gram", "n")
-    by = by.select("d", F.expr("shiftright(gram, 8) & (shiftleft(1L, 8 * d) - 1)").alias("context"), (F.col("gram").bitwiseAND(F.lit(255))).cast("int").alias("symbol"), "n")
-    counts = by.groupBy("d", "context", "symbol").agg(F.sum("n").alias("n"))
-    often = counts.groupBy("d", "context").agg(F.sum("n").alias("all")).where(F.col("all") >= total * LEAST_SHARE)
-    own = staged(counts.join(often, ["d", "context"]))
-    suffix = own.select((F.col("d") + 1).alias("d"), F.col("context").alias("suffix"), "symbol", F.col("n").alias("n_s"), F.col("all").alias("all_s"))
-    with_suffix = own.withColumn("suffix", F.expr("context & (shiftleft(1L, 8 * (d - 1)) - 1)")).where("d > 0").join(suffix, ["d", "suffix", "symbol"])
-    saved = F.sum(F.col("n") * F.log2(F.col("n") / F.col("all") * F.col("all_s") / F.col("n_s")))
-    diverging = with_suffix.groupBy("d", "context").agg((saved >= DIVERGENCE * np.log2(max(total, 2))).alias("diverges"))
-    return own.join(diverging, ["d", "context"], "left").select("d", "context", "symbol", "n", F.coalesce("diverges", F.lit(False)).alias("diverges"))
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of ``n``."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def suffix_tree(contexts: DataFrame, depth: int = DEPTH) -> tuple[ContextTree, np.ndarray]:
-    """The kept contexts' tree and log10 probabilities, nodes x symbols x 1.
+def _turned(context: np.ndarray, d: int) -> np.ndarray:
+    """Contexts with their bytes in the other order."""
+    out = np.zeros_like(context)
+    for j in range(d):
+        out = out << 8 | context >> 8 * j & 255
+    return out
+
+
+@dataclass
+class Level:
+    """Frequent contexts of one depth, newest byte first and in order, with the
+    stretches of their symbols, and whether they diverge from their suffixes."""
+
+    context: np.ndarray
+    first: np.ndarray
+    symbol: np.ndarray
+    n: np.ndarray
+    total: np.ndarray
+    diverges: np.ndarray
+
+    @property
+    def size(self) -> np.ndarray:
+        return np.diff(np.append(self.first, len(self.symbol)))
+
+    @staticmethod
+    def of(context: np.ndarray, symbol: np.ndarray, n: np.ndarray, above: Level | None, least: int, bits: float) -> Level:
+        keys, n = _summed((context << 8 | symbol)[n > 0], n[n > 0])
+        context, symbol = keys >> 8, keys & 255
+        heads, nth = np.unique(context, return_inverse=True)
+        total = np.bincount(nth, n, len(heads))
+        often = (total >= least)[nth]
+        context, symbol, n = context[often], symbol[often], n[often]
+        heads, first, nth = np.unique(context, return_index=True, return_inverse=True)
+        total = np.bincount(nth, n, len(heads)).astype(np.int64)
+        saved = np.zeros(len(heads))
+        if above is not None and len(heads):
+            at = np.searchsorted(above.context, context >> 8)
+            suffix = np.searchsorted(np.repeat(above.context, above.size) << 8 | above.symbol, context >> 8 << 8 | symbol)
+            saved = np.bincount(nth, n * np.log2(n / total[nth] * above.total[at] / above.n[suffix]), len(heads))
+        return Level(heads, first, symbol, n, total, saved >= bits if above is not None else np.zeros(len(heads), bool))
+
+
+def near_levels(grams: DataFrame, total: int) -> list[Level]:
+    """The levels up to ``NEAR_DEPTH``: a table of byte strings of that length
+    and one more, which doesn't grow with the corpus once all have come."""
+    rows = grams.where("n > 0").groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * (NEAR_DEPTH + 1)) - 1)).alias("g")).agg(F.sum("n").alias("n")).toPandas()
+    g, n, out = rows.g.to_numpy(np.int64), rows.n.to_numpy(np.int64), []
+    for d in range(NEAR_DEPTH + 1):
+        context = _turned(g >> 8 & ((1 << 8 * d) - 1), d)
+        out.append(Level.of(context, g & 255, n, out[-1] if out else None, 1 if d == 0 else LEAST, DIVERGENCE * np.log2(max(total, 2))))
+    return out
+
+
+def _pressed(x: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpressed(x: bytes, size: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(x, 8 * size, codec="zstd", asbytes=True), np.uint8).reshape(8, size).T).view(np.int64).ravel()
 
-    The table that reaches the driver holds frequent contexts only, a number
-    bounded by ``LEAST_SHARE``.
+
+def _dealt(part: int, gram: np.ndarray, n: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """A part's grams by shard, packed: in order, as differences by byte planes."""
+    newest = gram >> 8 & ((1 << 8 * (NEAR_DEPTH + 1)) - 1)
+    shard = (newest * 0x9E3779B1 >> 16) % shards
+    order = np.lexsort((gram, shard))
+    shard, gram, n = shard[order], gram[order], n[order]
+    cuts = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(gram)) if len(gram) else [0]
+    for lo in range(0, len(cuts) - 1, 256):
+        ends = cuts[lo : lo + 257]
+        runs = list(zip(ends, ends[1:]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(shard[ends[:-1]]), pa.array([part] * len(runs), pa.int64()), pa.array([b - a for a, b in runs], pa.int64()),
+             pa.array([_pressed(np.diff(gram[a:b], prepend=np.int64(0))) for a, b in runs], pa.binary()), pa.array([_pressed(n[a:b]) for a, b in runs], pa.binary())],
+            names=["shard", "part", "size", "gram", "n"],
+        )
+
+
+_PACKED = "shard long, part long, size long, gram binary, n binary"
+
+
+def context_shards(packed: DataFrame, total: int, near: list[Level], depth: int = DEPTH) -> DataFrame:
+    """``of_part, d, size, cells, contexts, lengths, symbols, counts``: the kept
+    contexts deeper than ``NEAR_DEPTH`` of each part whose grams have them, packed.
+
+    Contexts with the same newest bytes are in one shard, so a shard has all
+    counts of its contexts and of what ends in them.
     """
+    least, bits = LEAST, DIVERGENCE * np.log2(max(total, 2))
+    kinds = {"of_part": pa.int64(), "d": pa.int32(), "size": pa.int64(), "cells": pa.int64(), "contexts": pa.binary(), "lengths": pa.binary(), "symbols": pa.binary(), "counts": pa.binary()}
+    schema = "of_part long, d int, size long, cells long, contexts binary, lengths binary, symbols binary, counts binary"
+
+    def run(group: pa.Table) -> pa.Table:
+        size = group.column("size").to_numpy()
+        part = np.repeat(group.column("part").to_numpy(), size)
+        gram = np.concatenate([np.cumsum(_unpressed(x, k)) for x, k in zip(group.column("gram").to_pylist(), size)])
+        n = np.concatenate([_unpressed(x, k) for x, k in zip(group.column("n").to_pylist(), size)])
+        turned, symbol = _turned(gram >> 8, depth), gram & 255
+        levels, rows = [near[-1]], []
+        for d in range(NEAR_DEPTH + 1, depth + 1):
+            context = turned >> 8 * (depth - d)
+            levels.append(Level.of(context, symbol, n, levels[-1], least, bits))
+            here = np.isin(context, levels[-1].context)
+            part, turned, symbol, n = part[here], turned[here], symbol[here], n[here]
+            rows.append((part, context[here]))
+        kept, found = np.zeros(0, np.int64), []
+        for d in range(depth, NEAR_DEPTH, -1):
+            level, (part, context) = levels[d - NEAR_DEPTH], rows[d - NEAR_DEPTH - 1]
+            kept = np.union1d(level.context[level.diverges], kept >> 8)
+            if not len(kept):
+                continue
+            real = np.isin(context, kept)
+            parts, part_at = np.unique(part[real], return_inverse=True)
+            at, part_at = np.divmod(np.unique(np.searchsorted(level.context, context[real]) * len(parts) + part_at), len(parts))
+            size = level.size
+            for k, one in enumerate(parts):
+                own = at[part_at == k]
+                cells = np.repeat(level.first[own] - (np.cumsum(size[own]) - size[own]), size[own]) + np.arange(size[own].sum())
+                columns = (_turned(level.context[own], d), size[own], level.symbol[cells], level.n[cells])
+                found.append((int(one), d, len(own), len(cells), *(_pressed(x.astype(np.int64)) for x in columns)))
+        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*found)) or [()] * len(kinds), kinds.values())], names=list(kinds))
+
+    return packed.groupBy("shard").applyInArrow(run, schema)
+
+
+def near_rows(near: list[Level]) -> tuple[np.ndarray, ...]:
+    """``d, context, symbol, n, diverges`` of the levels: those that are frequent
+    are all kept, as what ends in them is in other shards."""
+    return tuple(np.concatenate(x) for x in zip(*((np.full(len(v.n), d), np.repeat(_turned(v.context, d), v.size), v.symbol, v.n, np.full(len(v.n), d > 0)) for d, v in enumerate(near))))
+
+
+def far_rows(packed: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """``d, context, symbol, n, diverges`` of :func:`context_shards`' rows."""
+    out = [(np.zeros(0, np.int64),) * 4]
+    for d, size, cells, *columns in zip(*(packed.column(c).to_pylist() for c in ("d", "size", "cells", "contexts", "lengths", "symbols", "counts"))):
+        context, length, symbol, n = (_unpressed(x, k) for x, k in zip(columns, (size, size, cells, cells)))
+        out.append((np.full(cells, d), np.repeat(context, length), symbol, n))
+    d, context, symbol, n = (np.concatenate(x) for x in zip(*out))
+    return d, context, symbol, n, np.full(len(d), True)
+
+
+def suffix_contexts(grams: DataFrame, total: int, depth: int = DEPTH) -> DataFrame:
+    """``d, context, symbol, n, diverges`` of the whole tree's contexts."""
+    near = near_levels(grams, total)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield from _dealt(0, b.column("gram").to_numpy(), b.column("n").to_numpy(), 16)
+
+    far = context_shards(grams.select("gram", "n").mapInArrow(pack, _PACKED), total, near, depth)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(far_rows(b), (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()))], names=["d", "context", "symbol", "n", "diverges"])
+
+    rows = far.mapInArrow(spread, "d int, context long, symbol int, n long, diverges boolean")
+    return rows.unionByName(grams.sparkSession.createDataFrame([tuple(r) for r in zip(*(x.tolist() for x in near_rows(near)))], rows.schema))
+
+
+def suffix_tree(contexts: DataFrame, depth: int = DEPTH) -> tuple[ContextTree, np.ndarray]:
+    """:func:`tree_of` all rows at once, for small corpora."""
     rows = contexts.toPandas()
-    d_, key_, symbol_, n_ = (rows[c].to_numpy() for c in ("d", "context", "symbol", "n"))
+    return tree_of(*(rows[c].to_numpy() for c in ("d", "context", "symbol", "n", "diverges")), depth)
+
+
+def tree_of(d_: np.ndarray, key_: np.ndarray, symbol_: np.ndarray, n_: np.ndarray, diverges: np.ndarray, depth: int = DEPTH) -> tuple[ContextTree, np.ndarray]:
+    """The kept contexts' tree and log10 probabilities, nodes x symbols x 1."""
     classes = np.zeros(256, dtype=np.int16)
     shown = np.unique(symbol_[d_ == 0])
     classes[shown] = np.arange(1, len(shown) + 1)
@@ -142,11 +349,11 @@ def suffix_tree(contexts: DataFrame, depth: int = DEPTH) -> tuple[ContextTree, n
         here = d_ == d
         by_depth[d] = context[here] // width ** (depth - d), symbol[here], n_[here]
         if d:
-            keep[d] = np.unique(by_depth[d][0][rows.diverges.to_numpy(bool)[here]])
+            keep[d] = np.unique(by_depth[d][0][diverges[here].astype(bool)])
     for d in range(depth, 1, -1):  # a kept context keeps its suffixes
         keep[d - 1] = np.union1d(keep[d - 1], keep[d] // width)
     tree = ContextTree.of(keep[1:], classes, width)
-    p = np.zeros((tree.nodes, width))
+    p = np.zeros((tree.nodes, width), dtype=np.float32)
     root = np.bincount(by_depth[0][1], by_depth[0][2], width).astype(float) + 0.5
     p[0] = root / (root.sum() + 0.5 * (255 - len(shown)))
     for d in range(1, depth + 1):
@@ -158,10 +365,10 @@ def suffix_tree(contexts: DataFrame, depth: int = DEPTH) -> tuple[ContextTree, n
         context, symbol, n = by_depth[d]
         at = np.minimum(np.searchsorted(keys, context), len(keys) - 1)
         here = keys[at] == context
-        own = np.zeros((len(keys), width))
+        own = np.zeros((len(keys), width), dtype=np.float32)
         own[at[here], symbol[here]] = n[here]
         p[first : first + len(keys)] = (own + SMOOTHING * above) / (own.sum(axis=1, keepdims=True) + SMOOTHING)
-    return tree, np.log10(p)[:, :, None].astype(np.float32)
+    return tree, np.log10(p, out=p)[:, :, None]
 
 
 def token_sums(tree: ContextTree, table: np.ndarray, prefixes: np.ndarray, bodies: list[bytes], count: dict[bytes, int], tokens: int, kinds: int, unseen: float) -> tuple[np.ndarray, ...]:
@@ -203,18 +410,29 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     one = totals.agg(F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("kinds"), F.count_if(F.col("c") == 1).alias("once")).first()
     tokens, kinds = one.tokens or 0, one.kinds or 0
     unseen = (one.once + 1) / (tokens + 2)  # the share of new words, by Good and Turing
-    grams = staged(rows.where("kind = 'gram'").groupBy("gram").agg(F.sum("n").alias("n")))
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    shared = spark.sparkContext.broadcast((*suffix_tree(suffix_contexts(grams, total)), prefix_counts(totals)))
+    short = rows.where("kind = 'near'")
+    total = short.agg(F.sum("n")).first()[0] or 0
+    near, shards = near_levels(short, total), max(16, total // SHARD_BYTES)
+    shared = spark.sparkContext.broadcast((near_rows(near), prefix_counts(totals)))
     texts = rows.where("kind = 'doc'").select("part", "doc_id", "held_out", "body")
     dictionary = words.select(F.col("part").alias("of_part"), "word").join(totals, "word").select("of_part", "word", "c")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, gram, n in block_grams(batches):
+            yield from _dealt(part, gram, n, shards)
+
+    packed = texts.select("part", "held_out", "body").mapInArrow(pack, _PACKED)
+    block_side = dictionary.unionByName(context_shards(packed, total, near), allowMissingColumns=True)
     schema = texts.select("doc_id", "held_out").schema
     for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")):
         schema = schema.add(name, kind)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        tree, table, prefixes = shared.value
-        count = dict(zip(right.column("word").to_pylist(), right.column("c").to_pylist()))
+        everywhere, prefixes = shared.value
+        known = right.filter(pc.is_valid(right.column("word")))
+        count = dict(zip(known.column("word").to_pylist(), known.column("c").to_pylist()))
+        own_rows = far_rows(right.filter(pc.is_valid(right.column("d"))))
+        tree, table = tree_of(*(np.concatenate(x) for x in zip(everywhere, own_rows)))
         bodies, parts, chunk, size = left.column("body").to_pylist(), [], [], 0
         for k, body in enumerate(bodies, 1):
             chunk.append(body)
@@ -225,7 +443,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         n_tokens, n_known, base, own = (np.concatenate(x) for x in zip(*parts))
         return pa.Table.from_arrays([left.column("doc_id"), left.column("held_out"), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(own), tokens)), pa.array(base), pa.array(own)], names=schema.names)
 
-    return texts.groupBy("part").cogroup(dictionary.groupBy("of_part")).applyInArrow(run, schema)
+    return texts.groupBy("part").cogroup(block_side.groupBy("of_part")).applyInArrow(run, schema)
 
 
 def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -172,3 +172,23 @@ def test_quality_edge_rows(spark):
     untrusted = quality.classify(docs, docs.where("false").select("doc_id")).collect()
     assert all(r.kept == (r.n_bytes > 0) for r in untrusted)
     assert quality.classify(empty(spark), docs.select("doc_id")).count() == 0
+
+
+def test_suffix_tree_keeps_what_diverges_at_any_size(spark):
+    """A context of two words' bytes, in a corpus a hundred million times as large."""
+    for filler in (10**3, 10**11):
+        data = [(int.from_bytes(g, "big"), n) for g, n in ((b"Pmmmmm 1", 400), (b"Qmmmmm 2", 400), (b"the endP", 400), (b"the endQ", 400), (b"end Pmmm", 400), (b"the end ", filler))]
+        contexts = lm_scoring.suffix_contexts(spark.createDataFrame(data, "gram long, n long"), filler + 2000)
+        tree, table = lm_scoring.suffix_tree(contexts)
+        one, two = tree.sums([b"Pmmmmm 1", b"Pmmmmm 2"], table)[:, 0] - tree.sums([b"Pmmmmm "], table)[0, 0]
+        assert one > np.log10(0.9) and two < np.log10(0.1)
+
+
+def test_blocks_get_their_part_of_the_tree(spark, monkeypatch):
+    """Scores by parts of the tree are those of the whole tree."""
+    docs = documents(spark, SF_DIR)
+    whole = {r.doc_id: r.score for r in lm_scoring.score(docs, out()).collect()}
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 50_000)
+    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", 10_000)
+    parts = {r.doc_id: r.score for r in lm_scoring.score(docs, out()).collect()}
+    assert whole.keys() == parts.keys() and all(parts[i] == pytest.approx(whole[i], rel=1e-5) for i in whole)
