@@ -122,9 +122,34 @@ def op7_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them (to the nearest whole copy)."""
+    """Whole documents, as often as the mix's words ask.
+
+    Rows that share a ``doc_id`` are drawn one by one; see :func:`copies`.
+    """
     columns = docs.columns
-    taken = mix(docs).groupBy("doc_id").agg(F.max(F.try_divide("taken", "size")).alias("_share"))
-    kept = docs.join(taken.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    copies = F.round(F.coalesce("_share", F.lit(0.0))).cast("int")
-    return kept.withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>")))).select(*columns)
+    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()))
+    taken = copies(rows.select("_row", "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    kept = rows.join(taken.where("copies > 0").select(F.col("_row").alias("_id"), "copies"), F.col("_row") == F.col("_id"))
+    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*columns)
+
+
+def copies(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
+    """``rows`` (``doc_id, source, size`` and more) with ``target, copies``.
+
+    Systematic draws in order of size: in each shard of a source the running sum
+    of its ratio of target to size, from a seeded start, gives a document a copy
+    for each whole number that it passes there.  So a document gets the ratio
+    rounded down or up, the latter with the fraction as probability, and a
+    shard's words at any stretch of sizes miss theirs by less than its longest
+    document there (both ends of the stretch counted).
+    """
+    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
+    of = staged(sources.select(F.col("source").alias("of"), "source_size", "target"))
+    shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")
+    dealt = rows.join(of, F.col("source").eqNullSafe(F.col("of")), "inner").drop("of")
+    dealt = dealt.withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), shards))
+    start = F.pmod(F.xxhash64(F.lit(seed + 3), "source", "_shard"), F.lit(1 << 20)) / float(1 << 20)
+    cell = W.partitionBy("source", "_shard").orderBy("size", F.xxhash64(F.lit(seed + 1), "doc_id", "size"), "doc_id", "size")
+    nth, ratio = F.row_number().over(cell), F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
+    drawn = F.floor(start + nth * ratio) - F.floor(start + (nth - 1) * ratio)
+    return dealt.withColumn("copies", F.when(F.col("size") > 0, drawn).otherwise(0).cast("long")).drop("_shard")

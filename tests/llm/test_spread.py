@@ -150,3 +150,23 @@ def test_word_encoder_equals_whole_encoding():
     encoder = packing.WordEncoder(packing.tokenizer_path(), packing.split_pattern(), limit=3)
     texts = ["", " ", "a", " a b ", "a  b", "it's\nfine, isn't it?\n", "x\t y", "\n\n a", "a \n", "日本 語 é", "a b c", "1 22 333 !!! <|endoftext|>"]
     assert [np.frombuffer(encoder.ids(t), "<u4").tolist() for t in texts] == [x[:-1].tolist() for x in ids_of(texts)]
+
+
+def test_stage_meets_targets_in_long_texts(spark):
+    """A hot source of which the mix takes a tenth: texts short and long."""
+    rng = np.random.default_rng(8)
+    data = [(i, "w " * int(n), "en", "c" if i % 100 else "b") for i, n in enumerate(np.exp(rng.uniform(3, 8.3, 3000)))]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    sizes = docs.select("doc_id", "source", (F.length("text") / 2).cast("long").alias("size"))
+    got = mixing.copies(sizes, weights=(9, 1), share=0.1).collect()
+    for source in "bc":
+        for low, high in ((0, 10**9), (1280, 10**9), (0, 1280)) if source == "c" else ((0, 10**9),):
+            rows_ = [r for r in got if r.source == source and low < r["size"] <= high]
+            want = sum(r["size"] * r.target / r.source_size for r in rows_)
+            assert abs(sum(r["size"] * r.copies for r in rows_) - want) < (0.06 * want if source == "c" else 4200)
+    out = mixing.mixing_stage(spark, docs, SF_DIR)
+    assert out.columns == docs.columns
+    words_of, target = Counter(), brute_targets(Counter({s: sum(len(d[1]) // 2 for d in data if d[3] == s) for s in "bc"}))
+    for r in out.collect():
+        words_of[r.source] += len(r.text) // 2
+    assert all(abs(words_of[s] - target[s]) < 0.03 * target[s] + 4200 for s in "bc")
