@@ -51,16 +51,22 @@ ENDINGS = {
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "|".join(t for ts in TITLES.values() for t in ts)
+_MAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+_ACCESS = r"AKIA[0-9A-Z]{16}"
+_BEFORE_SECRET = r"(?i:\b(?:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|token)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)"
+_IBAN = r"[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?"
+#: A word of a name: not one where another entity begins.
+_NAME = rf"(?!{_MAIL}|{_ACCESS}\b|{_IBAN}\b|{_BEFORE_SECRET}[^\s\"',;]{{6}})(?![a-z])[^\W\d_][\w'-]+"
 PATTERN = re.compile(
-    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
-    r"|(?P<key>\bAKIA[0-9A-Z]{16}\b)"
-    r"|(?i:\b(?:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|token)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<secret>[^\s\"',;]{6,})"
+    rf"(?P<email>{_MAIL})"
+    rf"|(?P<key>\b{_ACCESS}\b)"
+    rf"|{_BEFORE_SECRET}(?P<secret>[^\s\"',;]{{6,}})"
     rf"|(?<![\d.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?!\d|\.\d)"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d-])"
-    r"|(?<!\w)(?P<phone>\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{2,3}(?:[ .-]?\(?\d{2,4}\)?){3,4}(?!\d)|(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d))"
-    r"|(?<!\d)(?P<card>\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\d)"
-    r"|\b(?P<iban>[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?)\b"
-    rf"|\b(?P<title>{_TITLE})\.? (?P<name>[^\W\d_][\w'-]+(?: [^\W\d_][\w'-]+)?)"
+    r"|(?<!\w)(?P<phone>\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{2,3}(?:[ .-]?\(?\d{2,4}\)?){3,4}(?!\d)|(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|[2-9]\d{2}[2-9]\d{6}(?![\w.]*\d))"
+    r"|(?<!\d)(?P<card>\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
+    rf"|\b(?P<iban>{_IBAN})\b"
+    rf"|\b(?P<title>{_TITLE})\.? (?P<name>{_NAME}(?: {_NAME})?)"
 )
 _HINT = re.compile(rf"[0-9@=:]|(?:{_TITLE})")
 
@@ -168,11 +174,13 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str, str]]:
     Canonical values leave out what formats the entity: case of mail addresses
     and names, spaces and signs of numbers.
     """
-    for m in PATTERN.finditer(text):
-        kind = m.lastgroup
+    start = 0
+    while m := PATTERN.search(text, start):
+        kind, start = m.lastgroup, m.end()
         if kind == "name":
             words, at = m["name"].split(" "), m.start("name")
             if not words[0][0].isupper():
+                start = at  # what stands behind the title may be an entity itself
                 continue
             if len(words) > 1 and not words[1][0].isupper():
                 words = words[:1]
@@ -181,6 +189,7 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str, str]]:
                 role = f"last::{script_of(w)}" if k == len(words) - 1 else f"first:{gender}:{script_of(w)}"
                 yield at, at + len(w), role, w.casefold(), w
                 at += len(w) + 1
+            start = at - 1
             continue
         raw = m[kind]
         value = raw.lower() if kind == "email" else re.sub(r"\D", "", raw) if kind in ("phone", "card", "ssn") else raw.replace(" ", "") if kind == "iban" else raw
