@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -18,10 +18,13 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir``; only where that is unset
-    (tests, one machine) a local temporary one is made and set.
+    on one machine (a local master, as in tests) a temporary one is made and set;
+    a cluster without one raises ``ValueError``.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="stratakit-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
@@ -62,3 +65,23 @@ def bounded_sample(rows: DataFrame, group: str, each: int, most: int) -> DataFra
     order = W.partitionBy(group).orderBy(share, "doc_id")
     chosen = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
     return staged(chosen.orderBy("_n", group, "doc_id").limit(most).select("doc_id", group))
+
+
+def running_before(rows: DataFrame, keys: list[Column], order: str, value: Column, name: str, stretch: int = 4096) -> DataFrame:
+    """``rows`` with ``name``: the sum of ``value`` over the rows of the same
+    keys whose ``order``, a whole number, comes before.
+
+    Sums of stretches of ``order`` are added up first, so that no task sorts
+    more than one stretch of a key, or a key's stretches.  Each ``order`` comes once for a key.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = rows.withColumns({n: k for n, k in zip(names, keys)} | {"_v": value, "_s": F.floor(F.col(order) / stretch)})
+    sums = rows.groupBy(*names, "_s").agg(F.sum("_v").alias("_sum"))
+    before = F.coalesce(F.sum("_sum").over(W.partitionBy(*names).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select(*[F.col(n).alias(f"{n}_") for n in names], F.col("_s").alias("_s_"), before.alias("_before"))
+    same = F.col("_s") == F.col("_s_")
+    for n in names:
+        same &= F.col(n).eqNullSafe(F.col(f"{n}_"))
+    own = F.coalesce(F.sum("_v").over(W.partitionBy(*names, "_s").orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    out = rows.withColumn("_own", own).join(sums, same).withColumn(name, F.col("_before") + F.col("_own"))
+    return out.drop(*names, *[f"{n}_" for n in names], "_v", "_s", "_s_", "_before", "_own")

@@ -1,22 +1,29 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
-Each source is a queue of its documents' tokens.  In every round a queue earns
-a quantum, its target share of one window, and serves the whole tokens that it
-has earned; the fraction left is its deficit and carries on.  The state before
-round ``r`` is closed: queue ``i`` has served ``floor(r * quantum_i)`` tokens
-(or all it has).  So every task finds the places of its own documents without
-a sequential pass, and deficits carry across windows and partitions alike.
-The rounds follow each other in one stream, cut into windows of fixed length;
-only the last window is padded.
+Each source is a queue of its documents' tokens, cut into runs of ``LUMP``
+tokens.  In every round a queue earns a quantum, its target share of one window,
+and serves whole runs while its deficit covers them; what it can't serve yet
+carries on over windows and partitions.  A queue's ``k``-th run is thus served
+in the round in which the earned tokens first reach ``(k + 1) * LUMP``, so each
+run's round is known from its number alone.  Runs of one round go in order of
+the time at which they were earned; full runs fill the stream of windows
+without a gap, since ``LUMP`` divides the window.  Between two windows a queue
+has served within one run of what it has earned.
+
+The last, shorter run of each queue and partition follows after all full runs,
+dealt by the same rule; a window's end cuts these.  Queues of weight 0 follow
+those with a weight.  Only the last window is padded.
 
 Rows: null text is an empty document (its end id only); null source is a queue
-of its own; repeated rows are packed one by one; an empty table gives an empty
-result; texts of any length are cut freely.  Only named columns are read.
+of its own, and there is no bound on the number of queues; repeated rows are
+packed one by one; an empty table gives an empty result; texts of any length
+are cut freely.  Only named columns are read.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,24 +32,30 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from stratakit.llm.common import documents, staged
+from stratakit.llm.common import documents, running_before, staged
 
 WINDOW = 2048
 END_ID = 1
-#: Queues of their own at most; the sources beyond share one more queue.
-MAX_QUEUES = 255
+#: Tokens that a queue serves at once.
+LUMP = 128
 #: Words kept in each worker's table of encoded words.
 CACHE_WORDS = 300_000
-_SCALE = 18
-_STEP = 16_384
 _RUN = re.compile(r"\s\s")
+#: A start between 0 and 1 of each queue's first deficit, so that equal queues don't all serve in the same round.
+_GOLDEN = 0.6180339887498949
 
 
-def tokenizer_path() -> str:
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def ranks_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -59,12 +72,22 @@ class WordEncoder(dict):
 
     The tokenizer never joins a word to the space after it, so a text in which
     white space stands alone is encoded word by word, each with the space
-    before it.  Other texts are encoded whole.  Both give the same ids.
+    before it.  Other texts are encoded whole.  Both give the same ids.  The
+    vocabulary's added tokens, by content, cut a text and stand for themselves.
     """
 
-    def __init__(self, path: str, pattern: str, limit: int = CACHE_WORDS):
+    def __init__(self, path: str, pattern: str, limit: int = CACHE_WORDS, added: dict[str, int] | None = None):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
         self.encode, self.limit = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, limit
+        self.added = {k: np.array([v], dtype="<u4").tobytes() for k, v in (added or {}).items()}
+        self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})") if self.added else None
+
+    @staticmethod
+    def of(vocabulary: str, ranks: str, pattern: str, limit: int = CACHE_WORDS) -> WordEncoder:
+        """``vocabulary``: the tokenizer's own file, which names its added tokens."""
+        with open(vocabulary, encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        return WordEncoder(ranks, pattern, limit, {x["content"]: x["id"] for x in added})
 
     def whole(self, text: str) -> bytes:
         return np.array(self.encode(text), dtype="<u4").tobytes()
@@ -75,121 +98,174 @@ class WordEncoder(dict):
             self[word] = ids
         return ids
 
-    def ids(self, text: str) -> bytes:
+    def plain(self, text: str) -> bytes:
         if _RUN.search(text):
             return self.whole(text)
         first, *words = text.split(" ")
         return self.whole(first) + b"".join(map(self.__getitem__, words))
 
-
-def tokenize(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """``doc_id, source, part, before, n_tokens, ids``: ids as little-endian
-    unsigned 32-bit numbers with the end id; ``before`` counts the tokens of the
-    same source earlier in the same part (the task's share of the input)."""
-    path, pattern = path or tokenizer_path(), pattern or split_pattern()
-    schema = docs.select("doc_id", "source").schema.add("part", "long").add("before", "long").add("n_tokens", "long").add("ids", "binary")
-    arrow = pa.schema([("part", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    def ids(self, text: str) -> bytes:
+        if self.cut is None or not self.cut.search(text):
+            return self.plain(text)
+        return b"".join(self.added[x] if x in self.added else self.plain(x) for x in self.cut.split(text) if x)
+
+
+class Queues:
+    """The runs of one part's queues, filled document by document."""
+
+    def __init__(self, lump: int):
+        self.lump, self.size = lump, 4 * lump
+        #: Of each source: its number, bytes so far, and the pieces of its open run.
+        self.of: dict = {}
+
+    def add(self, doc: tuple, ids: bytes) -> Iterator[tuple]:
+        """The pieces that are in full runs now: ``doc, queue, run, start, length, crc, None``."""
+        at, n = 0, len(ids)
+        queue = self.of.setdefault(doc[1], [len(self.of), 0, []])
+        while at < n:
+            run, within = divmod(queue[1], self.size)
+            end = min(n, at + self.size - within)
+            piece = ids[at:end]
+            queue[1] += end - at
+            row = (*doc, queue[0], run, at // 4, (end - at) // 4, zlib.crc32(piece))
+            if end - at < self.size:
+                queue[2].append((row, piece))
+            if queue[1] % self.size == 0:
+                yield from ((*old, within_, None) for old, within_ in self.closed(queue)) if queue[2] else ((*row, 0, None),)
+            at = end
+
+    def closed(self, queue: list) -> Iterator[tuple[tuple, int]]:
+        within = 0
+        for row, _ in queue[2]:
+            yield row, within
+            within += row[6]
+        queue[2] = []
+
+    def rest(self) -> Iterator[tuple]:
+        """The pieces of runs that stay short, with their ids."""
+        for queue in self.of.values():
+            within = 0
+            for row, piece in queue[2]:
+                yield (*row, within, piece)
+                within += row[6]
+
+
+def cut_runs(docs: DataFrame, lump: int = LUMP, vocabulary: str | None = None, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Pieces of documents in their queues' runs: ``doc_id, source, doc_tokens,
+    part, queue, run, start, length, ids_crc32, within, ids``.
+
+    ``part`` is the task's share of the input, ``queue`` numbers its sources,
+    ``run`` the runs of a queue; ``ids`` (little-endian unsigned 32-bit numbers)
+    only of short last runs.  Ids end with the end id.
+    """
+    vocabulary, ranks, pattern = vocabulary or vocabulary_path(), ranks or ranks_path(), pattern or split_pattern()
+    schema = docs.select("doc_id", "source").schema
+    kinds = (("doc_tokens", "long", pa.int64()), ("queue", "integer", pa.int32()), ("run", "long", pa.int64()), ("start", "long", pa.int64()), ("length", "integer", pa.int32()), ("ids_crc32", "long", pa.int64()), ("within", "integer", pa.int32()), ("ids", "binary", pa.binary()))
+    for name, kind, _ in kinds:
+        schema = schema.add(name, kind)
+    schema = schema.add("part", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, so_far = WordEncoder(path, pattern), TaskContext.get().partitionId(), {}
-        end = np.array([END_ID], dtype="<u4").tobytes()
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                ids = [encoder.ids(t or "") + end for t in batch.column("text").to_pylist()]
-                count, before = [len(x) // 4 for x in ids], []
-                for source, n in zip(batch.column("source").to_pylist(), count):
-                    before.append(so_far.get(source, 0))
-                    so_far[source] = before[-1] + n
-                more = [pa.array(x, f.type) for x, f in zip(([part] * len(ids), before, count, ids), arrow)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), *more], names=schema.names)
+        encoder, queues, part = WordEncoder.of(vocabulary, ranks, pattern), Queues(lump), TaskContext.get().partitionId()
+        end, types = np.array([END_ID], dtype="<u4").tobytes(), None
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows))
+            return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, types)), pa.array(np.full(len(rows), part))], names=schema.names)
+
+        for batch in batches:
+            types = [batch.schema.field("doc_id").type, batch.schema.field("source").type, *(t for _, _, t in kinds)]
+            rows = []
+            for i, s, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "source", "text"))):
+                ids = encoder.ids(text or "") + end
+                rows.extend(queues.add((i, s, len(ids) // 4), ids))
+                if len(rows) > 10_000:
+                    yield batch_of(rows)
+                    rows = []
+            if rows:
+                yield batch_of(rows)
+        if rows := list(queues.rest()):
+            yield batch_of(rows)
 
     return docs.select("doc_id", "source", "text").mapInArrow(run, schema)
 
 
-def quanta(totals: list[int], weights: list[float] | None, window: int) -> np.ndarray:
-    """Tokens a round for each queue, scaled by ``2 ** _SCALE`` and rounded up."""
-    shares = [int(w * 1e9) or 1 for w in weights] if weights else totals
-    return np.array([-(-(window * x << _SCALE) // max(1, sum(shares))) or 1 for x in shares], dtype=np.int64)
-
-
-def served(rounds: np.ndarray, quantum: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Tokens that queues have served before the given rounds."""
-    return np.minimum(total, (rounds * quantum) >> _SCALE)
-
-
-def pieces_of(start: np.ndarray, count: np.ndarray, queue: np.ndarray, quantum: np.ndarray, total: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """Pieces of documents that begin at ``start`` of their queues: the
-    document's place in the batch, the first token, the length, the stream place."""
-
-    def round_of(place: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """The first round after which the queue has served past ``place``."""
-        return -(-((place + 1) << _SCALE) // quantum[q]) - 1
-
-    # A queue of at least a token a round is met round by round, others token by token.
-    first, last = round_of(start, queue), round_of(start + count - 1, queue)
-    dense = quantum[queue] >= 1 << _SCALE
-    steps = np.where(dense, last - first + 1, count)
-    doc = np.repeat(np.arange(len(start)), steps)
-    nth = np.arange(len(doc)) - np.repeat(np.cumsum(steps) - steps, steps)
-    q = queue[doc]
-    r = np.where(dense[doc], first[doc] + nth, round_of(start[doc] + nth, q))
-    place, lo, hi = (np.empty(len(doc), dtype=np.int64) for _ in range(3))
-    for at in range(0, len(doc), _STEP):
-        part, own = slice(at, at + _STEP), q[at : at + _STEP]
-        old, new = served(r[part, None], quantum, total), served(r[part, None] + 1, quantum, total)
-        rows = np.arange(len(own))
-        lo[part] = np.maximum(old[rows, own], start[doc[part]])
-        hi[part] = np.minimum(new[rows, own], (start + count)[doc[part]])
-        earlier = np.where(np.arange(len(quantum)) < own[:, None], new - old, 0).sum(axis=1)
-        place[part] = old.sum(axis=1) + earlier + lo[part] - old[rows, own]
-    rows = np.arange(len(doc))
-    cuts = (place + hi - lo - 1) // window - place // window + 1
-    cuts[hi <= lo] = 0
-    again = np.repeat(rows, cuts)
-    n = np.arange(len(again)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-    border = (place[again] // window + n) * window
-    begin, stop = np.maximum(place[again], border), np.minimum(place[again] + (hi - lo)[again], border + window)
-    return doc[again], lo[again] - start[doc[again]] + begin - place[again], stop - begin, begin
-
-
-def pack(docs: DataFrame, weights: dict | None = None, window: int = WINDOW, path: str | None = None, pattern: str | None = None) -> DataFrame:
+def shares(sources: DataFrame, weights: dict | None) -> DataFrame:
+    """``sources`` with ``share``, a queue's part of a window, and ``last``, true
+    for queues without a weight: they are served after the others, by their sizes."""
+    weight = F.col("total").cast("double")
+    last = F.lit(False)
+    if weights is not None:
+        if any(w < 0 for w in weights.values()):
+            raise ValueError("a weight is below 0")
+        named = F.lit(0.0)
+        for name, w in weights.items():
+            named = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(named)
+        last = named <= 0
+        weight = F.when(last, weight).otherwise(named)
+    rows = sources.withColumn("last", last).withColumn("weight", weight)
+    sums = rows.groupBy(F.col("last").alias("l_")).agg(F.sum("weight").alias("all_weights"))
+    return rows.join(F.broadcast(sums), F.col("last") == F.col("l_")).select("source", "last", (F.col("weight") / F.col("all_weights")).alias("share"))
+
+
+def places(runs: DataFrame, weights: dict | None, window: int = WINDOW, lump: int = LUMP) -> DataFrame:
+    """``part, queue, run, place``: where each run begins in the stream.
+
+    ``runs``: ``source, part, queue, n_full, tail``, a row for each queue of a part.
+    """
+    totals = runs.groupBy("source").agg(F.sum(F.col("n_full") * lump + F.col("tail")).alias("total"))
+    known = staged(shares(totals, weights)).select(F.col("source").alias("s_"), "last", "share")
+    full = runs.where("n_full > 0")
+    full = running_before(full, [F.col("source")], "part", F.col("n_full"), "first")
+    full = full.select("source", "part", "queue", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_full") - 1)).alias("run"))
+    full = full.select("source", "part", "queue", "run", F.lit(lump).alias("length"), ((F.col("first") + F.col("run") + 1) * lump).alias("earned"), F.lit(False).alias("short"))
+    tails = running_before(runs.where("tail > 0"), [F.col("source")], "part", F.col("tail"), "first")
+    tails = tails.select("source", "part", "queue", F.col("n_full").alias("run"), F.col("tail").alias("length"), (F.col("first") + F.col("tail")).alias("earned"), F.lit(True).alias("short"))
+    phase = F.pmod(F.pmod(F.xxhash64("source"), F.lit(1 << 20)) * _GOLDEN, F.lit(1.0)) * lump
+    when = (F.col("earned") - F.least(phase, F.col("earned") * 0.5)) / (F.col("share") * window)
+    items = full.unionByName(tails).join(known, F.col("source").eqNullSafe(F.col("s_")))
+    items = items.select("part", "queue", "run", "length", "short", "last", when.alias("time"), F.floor(when).alias("round"))
+    rounds = items.groupBy("short", "last", "round").agg(F.sum("length").alias("tokens"))
+    rounds = running_before(rounds, [F.col("short"), F.col("last")], "round", F.col("tokens"), "before")
+    # At most four sections: full runs, then short ones, each with the queues of weight 0 behind.
+    section = rounds.groupBy("short", "last").agg(F.sum("tokens").alias("all"))
+    section = section.select(F.col("short").alias("t_"), F.col("last").alias("l_"), (F.sum("all").over(W.orderBy("short", "last")) - F.col("all")).alias("base"))
+    rounds = rounds.join(F.broadcast(section), (F.col("short") == F.col("t_")) & (F.col("last") == F.col("l_")))
+    rounds = rounds.select(F.col("short").alias("t_"), F.col("last").alias("l_"), F.col("round").alias("r_"), (F.col("base") + F.col("before")).alias("begin"))
+    same = (F.col("short") == F.col("t_")) & (F.col("last") == F.col("l_")) & (F.col("round") == F.col("r_"))
+    order = W.partitionBy("short", "last", "round").orderBy("time", "part", "queue", "run").rowsBetween(W.unboundedPreceding, 0)
+    within = items.withColumn("upto", F.sum("length").over(order)).join(rounds, same)
+    return within.select("part", "queue", "run", (F.col("begin") + F.col("upto") - F.col("length")).alias("place"))
+
+
+def pack(docs: DataFrame, weights: dict | None = None, window: int = WINDOW, lump: int = LUMP, vocabulary: str | None = None, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
     """One row for each piece; every token lies in exactly one.
 
     ``weights`` sets each source's share of a window; None takes the shares of
-    the input, so that all queues run dry together.  Tokens are staged once as
-    Parquet; the driver sees totals of at most ``MAX_QUEUES + 1`` queues.
+    the input, so that all queues run dry together.  ``lump`` divides
+    ``window``.  Pieces, without their tokens, are staged once as Parquet and
+    meet the places of their runs in one join.
     """
-    tokens = staged(tokenize(docs, path, pattern))
-    runs = staged(tokens.groupBy("source", "part").agg(F.sum("n_tokens").alias("run")))
-    sources = runs.groupBy("source").agg(F.sum("run").alias("total"))
-    ranked = sources.withColumn("rank", F.row_number().over(W.orderBy(F.desc("total"), F.asc_nulls_last("source"))) - 1)
-    queued = staged(ranked.select(F.col("source").alias("s_"), "total", F.least("rank", F.lit(MAX_QUEUES)).cast("int").alias("queue")))
-    queues = queued.groupBy("queue").agg(F.sum("total").alias("total"), F.first("s_").alias("name")).orderBy("queue").collect()
-    total = np.array([x.total for x in queues], dtype=np.int64)
-    quantum = quanta([x.total for x in queues], weights and [weights.get(x.name, 0) for x in queues], window)
-    starts = runs.join(queued.drop("total"), F.col("source").eqNullSafe(F.col("s_")))
-    before_run = F.sum("run").over(W.partitionBy("queue").orderBy("part", F.asc_nulls_last("source")).rowsBetween(W.unboundedPreceding, 0)) - F.col("run")
-    # Staged, so that Spark knows its size and needn't shuffle the tokens to join it if it is small.
-    starts = staged(starts.select(F.col("source").alias("s_"), F.col("part").alias("p_"), "queue", before_run.alias("run_start")))
-    same = F.col("source").eqNullSafe(F.col("s_")) & (F.col("part") == F.col("p_"))
-    placed = tokens.join(starts, same).select("doc_id", "source", "queue", (F.col("run_start") + F.col("before")).alias("at"), "n_tokens", "ids")
-    schema = placed.select("doc_id", "source").schema
-    for name, kind in (("start", "long"), ("length", "long"), ("ids_crc32", "long"), ("doc_tokens", "long"), ("sequence_id", "long"), ("offset", "long")):
-        schema = schema.add(name, kind)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                start, count, queue = (batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("at", "n_tokens", "queue"))
-                doc, first, length, place = pieces_of(start, count, queue, quantum, total, window)
-                ids = [memoryview(x.as_buffer()) for x in batch.column("ids")]
-                crc = [zlib.crc32(ids[d][a * 4 : (a + n) * 4]) for d, a, n in zip(doc.tolist(), first.tolist(), length.tolist())]
-                took = pa.array(doc)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(took), batch.column("source").take(took), *(pa.array(x, pa.int64()) for x in (first, length, crc, count[doc], place // window, place % window))], names=schema.names)
-
-    return placed.mapInArrow(run, schema)
+    if window % lump:
+        raise ValueError("the window isn't a multiple of the run")
+    pieces = staged(cut_runs(docs, lump, vocabulary, ranks, pattern))
+    short = F.col("ids").isNotNull()
+    runs = staged(pieces.groupBy("part", "queue").agg(
+        F.first("source").alias("source"), F.coalesce(F.max(F.when(~short, F.col("run") + 1)), F.lit(0)).alias("n_full"), F.coalesce(F.sum(F.when(short, F.col("length"))), F.lit(0)).alias("tail")))
+    found = places(runs, weights, window, lump)
+    own = [F.col(c).alias(f"{c}_") for c in ("part", "queue", "run")]
+    same = (F.col("part") == F.col("part_")) & (F.col("queue") == F.col("queue_")) & (F.col("run") == F.col("run_"))
+    placed = pieces.join(found.select(*own, "place"), same).withColumn("at", F.col("place") + F.col("within"))
+    # Only pieces of short runs can cross a window's end.
+    ends = F.floor((F.col("at") + F.col("length") - 1) / window)
+    cut = placed.withColumn("sequence_id", F.explode(F.sequence(F.floor(F.col("at") / window), ends)))
+    begin = F.greatest("at", F.col("sequence_id") * window)
+    cut = cut.withColumn("skip", (begin - F.col("at")).cast("int")).withColumn("took", (F.least(F.col("at") + F.col("length"), (F.col("sequence_id") + 1) * window) - begin).cast("int"))
+    crc: Column = F.when(F.col("took") == F.col("length"), F.col("ids_crc32")).otherwise(F.crc32(F.substring("ids", F.col("skip") * 4 + 1, F.col("took") * 4)))
+    return cut.select(
+        "doc_id", "source", (F.col("start") + F.col("skip")).alias("start"), F.col("took").cast("long").alias("length"), crc.alias("ids_crc32"), "doc_tokens", "sequence_id",
+        (begin - F.col("sequence_id") * window).cast("long").alias("offset"),
+    )
 
 
 def op6_drr_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,4 +274,5 @@ def op6_drr_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of the documents; rows as in :func:`pack`'s module text."""
     return pack(docs)

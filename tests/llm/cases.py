@@ -18,7 +18,7 @@ def rows() -> list[tuple]:
     texts = [
         (1, prose(1, 80), "en", "a"), (2, prose(1, 80), "en", "b"), (3, prose(2, 200), "en", "a"), (4, None, "en", "a"), (5, "", None, None), (6, "   \n\t ", "fr", "b"),
         (7, "one", "fr", None), (8, "ONE", "fr", "c"), (9, long, "en", "a"), (10, long + " more", "en", "a"), (11, "日本語 ünï 😀  x y", "de", "c"), (None, prose(3, 50), "en", "a"),
-        (12, "12345 !!!", "de", "b"), (13, prose(4, 40), None, "d"), (13, prose(4, 40), None, "d"), (14, "a  b \n c", "de", "d"),
+        (12, "12345 !!!", "de", "b"), (13, prose(4, 40), None, "d"), (13, prose(4, 40), None, "d"), (14, "a  b \n c", "de", "d"), (15, "end <|endoftext|> of", "en", "a"),
     ]
     return [(i, t, la, s, len(t or ""), 1, 2, 3, "x", 4, "y", "z", 5, 6) for i, t, la, s in texts]
 
