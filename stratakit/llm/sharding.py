@@ -2,7 +2,12 @@
 
 Every record hashes into one of ``n_slots`` virtual slots for good.  A small
 table maps slots to shards; it is stored by version, and rebalancing edits it:
-a slot moves only if its shard is over the mean.  Records never hash anew.
+a slot moves only if its shard is over the mean or goes away.  Records never
+hash anew.  A later run loads the latest version, and stores a new one only if
+the shards have grown apart or their number has changed.
+
+Equal texts under different ids lie in different slots: one text may make up a
+third of all rows, and the law ``bytes`` asks for shards of near equal size.
 
 Rows: null ``doc_id`` and null text hash like any value; rows equal in id and
 text share a slot; an empty table gives an empty result and a full map.
@@ -10,6 +15,7 @@ text share a slot; an empty table gives an empty result and a full map.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -19,6 +25,8 @@ from stratakit.llm.common import documents, shared_dir, staged
 N_SLOTS = 4096
 N_SHARDS = 16
 SEED = 7
+#: A map stays while no shard is over the mean by more than this part of it.
+TOLERANCE = 0.01
 
 
 def virtual_slot(*cols: Column, n_slots: int = N_SLOTS) -> Column:
@@ -40,15 +48,15 @@ def rebalance(slot_map: DataFrame, sizes: DataFrame, n_shards: int = N_SHARDS) -
     """The next version of a map, near equal in bytes, by few moves.
 
     Within each shard the largest slots stay while their sum is within the
-    mean; what is over goes, largest first, to the shard that is lightest at
-    that point.  All of it is one fold over at most ``n_slots`` rows, whose
+    mean; what is over, and all of shards from ``n_shards`` on, goes, largest
+    first, to the shard that is lightest at that point.  All of it is one fold over at most ``n_slots`` rows, whose
     number doesn't grow with the data.
     """
     size = F.coalesce(F.col("slot_bytes"), F.lit(0)).cast("double")
     known = slot_map.join(sizes, "virtual_slot", "left").withColumn("b", size)
     mean = F.sum("b").over(W.partitionBy()) / n_shards
     upto = F.sum("b").over(W.partitionBy("shard").orderBy(F.desc("b"), "virtual_slot").rowsBetween(W.unboundedPreceding, 0))
-    marked = known.withColumn("stays", (upto <= mean) | (F.col("b") == 0))
+    marked = known.withColumn("stays", ((upto <= mean) | (F.col("b") == 0)) & (F.col("shard") < n_shards))
     slot = F.struct((-F.col("b")).alias("minus"), "virtual_slot", "shard")
     one = marked.agg(
         F.max("version").alias("version"),
@@ -71,13 +79,57 @@ def rebalance(slot_map: DataFrame, sizes: DataFrame, n_shards: int = N_SHARDS) -
     ).select("version", "e.virtual_slot", "e.shard")
 
 
-def store_map(slot_map: DataFrame, path: str) -> None:
-    """Appends one version; earlier versions stay readable."""
-    slot_map.coalesce(1).write.mode("append").partitionBy("version").parquet(path)
+def store_map(slot_map: DataFrame, path: str, version: int) -> None:
+    """Writes one version beside the others; a retry replaces it whole."""
+    slot_map.select("virtual_slot", "shard").coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
 def load_map(spark: SparkSession, path: str, version: int) -> DataFrame:
-    return spark.read.schema("virtual_slot int, shard int, version int").parquet(path).where(F.col("version") == version)
+    return spark.read.schema("virtual_slot int, shard int").parquet(f"{path}/version={version}").withColumn("version", F.lit(version))
+
+
+def latest_version(spark: SparkSession, path: str) -> int:
+    """The highest stored version; 0 where there is no map."""
+    try:
+        return spark.read.schema("virtual_slot int, shard int, version int").parquet(path).agg(F.max("version")).first()[0] or 0
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+
+
+def unevenness(slot_map: DataFrame, sizes: DataFrame, n_shards: int) -> tuple[float, int]:
+    """How far the largest shard is over the mean, as a part of the mean, and
+    slots on shards that are no more."""
+    size = F.coalesce(F.col("slot_bytes"), F.lit(0))
+    by = slot_map.join(sizes, "virtual_slot", "left").groupBy("shard").agg(F.sum(size).alias("b"), F.count(F.lit(1)).alias("slots"))
+    one = by.agg(F.max("b").alias("most"), F.sum("b").alias("total"), F.sum(F.when(F.col("shard") >= n_shards, F.col("slots")).otherwise(0)).alias("gone")).first()
+    return (one.most * n_shards / one.total - 1 if one.total else 0.0), one.gone or 0
+
+
+def current_map(spark: SparkSession, sizes: DataFrame, path: str, n_slots: int = N_SLOTS, n_shards: int = N_SHARDS) -> DataFrame:
+    """The map for these sizes: the latest stored version, edited if need be.
+
+    Edits go on while each lowers the largest shard by more than ``TOLERANCE``
+    of the mean, or empties shards that are no more; what comes of them is stored
+    as the next version.  So a second run over the same records edits nothing.
+    """
+    version = latest_version(spark, path)
+    if not version:
+        version = 1
+        store_map(first_map(spark, n_slots, n_shards), path, version)
+    old = found = load_map(spark, path, version)
+    apart, gone = unevenness(old, sizes, n_shards)
+    while gone or apart > TOLERANCE:
+        edited = staged(rebalance(found, sizes, n_shards))
+        now = unevenness(edited, sizes, n_shards)[0]
+        if not gone and now > apart - TOLERANCE:
+            break
+        found, apart, gone = edited, now, 0
+    if found is old:
+        return old
+    store_map(found, path, version + 1)
+    return load_map(spark, path, version + 1)
 
 
 def assign(records: DataFrame, slot_map: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -97,8 +149,9 @@ def assign(records: DataFrame, slot_map: DataFrame, sizes: DataFrame) -> DataFra
 def shard_documents(docs: DataFrame, n_slots: int = N_SLOTS, n_shards: int = N_SHARDS, map_path: str | None = None) -> DataFrame:
     """Puts all rows into shards of near equal bytes; see the module's text.
 
-    ``size`` is the text's UTF-8 bytes plus 1 (null text: 1).  Versions 1 (even
-    deal) and 2 (rebalanced) of the map are stored under ``map_path``.
+    ``size`` is the text's UTF-8 bytes plus 1 (null text: 1).  The map's
+    versions lie under ``map_path`` (None: a new folder, whose version 1 deals
+    slots evenly); see :func:`current_map`.
     """
     spark = docs.sparkSession
     text = F.col("text")
@@ -108,11 +161,8 @@ def shard_documents(docs: DataFrame, n_slots: int = N_SLOTS, n_shards: int = N_S
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).cast("long").alias("text_crc32"),
         virtual_slot(F.col("doc_id"), text, n_slots=n_slots).alias("virtual_slot"),
     ))
-    sizes = slot_bytes(records)
-    path = map_path or shared_dir(spark)
-    store_map(first_map(spark, n_slots, n_shards), path)
-    store_map(rebalance(load_map(spark, path, 1), sizes, n_shards), path)
-    return assign(records, load_map(spark, path, 2), sizes)
+    sizes = staged(slot_bytes(records))
+    return assign(records, current_map(spark, sizes, map_path or shared_dir(spark), n_slots, n_shards), sizes)
 
 
 def op5_fixed_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:

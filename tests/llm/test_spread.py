@@ -44,6 +44,22 @@ def test_shards_are_near_equal_and_maps_keep_versions(spark, tmp_path):
     assert 0 < len(moved) < len(used) / 2 and all(first[s] == second[s] for s in first.keys() - used)
 
 
+def test_map_is_edited_across_runs(spark, tmp_path):
+    docs, path = documents(spark, SF_DIR), f"{tmp_path}/map"
+    total = sum(len(text_bytes(r.text)) + 1 for r in docs.collect())
+    shards = lambda n: {r.doc_id: (r.shard, r.size) for r in sharding.shard_documents(docs, n_shards=n, map_path=path).collect()}
+    first, again = shards(16), shards(16)
+    assert first == again and sharding.latest_version(spark, path) == 2
+    grown = shards(17)
+    assert sharding.latest_version(spark, path) == 3
+    moved = sum(size for i, (shard, size) in grown.items() if shard != first[i][0])
+    assert 0 < moved < 0.35 * total and any(shard == 16 for shard, _ in grown.values())
+    fewer = shards(15)
+    assert {shard for shard, _ in fewer.values()} <= set(range(15)) and len(fewer) == len(first)
+    assert all(r.shard < 15 for r in sharding.load_map(spark, path, sharding.latest_version(spark, path)).collect())
+    assert shards(15) == fewer
+
+
 def brute_targets(sizes):
     weights = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
     target, free, left = {}, set(sizes), Fraction(3, 2) * sum(sizes.values())
