@@ -5,9 +5,18 @@ for digits, letters of the same case for letters, valid octets, the same card
 brand and check-digit state, names of the same gender and script.  Structured
 types go through a keyed permutation of all values of their shape (a Feistel
 network with cycle walking), so that different entities can't meet.  Names are
-drawn, and a grouped check over the distinct entities of all documents redraws
-those that met, until every surrogate stands for one entity.  The same entity
-gets the same surrogate in all documents; a surname alone gets the surname's.
+drawn, and a grouped check over the distinct names of all documents redraws
+those that met, with more syllables as draws go on, until every surrogate
+stands for one name.  The same entity gets the same surrogate in all documents,
+in whatever format it stands (a phone number with or without its ``+1``); a
+surname alone gets the surname's.
+
+The key is an argument, or the Spark setting ``KEY_SETTING``; where neither is
+given, each session draws a random key, so that nobody can turn surrogates back
+but nor do sessions agree.  With a key, structured types agree between runs by
+themselves, and names through a stored table (``names_path``).
+
+Bare runs of digits are cards only if their check digit holds.
 
 Rows: null text stays null; texts without entities come back unchanged; null or
 repeated ``doc_id`` rows are replaced one by one; an empty table gives an empty
@@ -18,23 +27,27 @@ from __future__ import annotations
 
 import hashlib
 import re
+import secrets
 import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratakit.llm.common import documents, staged
 
-KEY = "change-me"
-MAX_DRAWS = 50
+#: Spark setting that holds the secret key.
+KEY_SETTING = "spark.stratakit.pii.key"
+_SESSION_KEYS: dict[str, str] = {}
 
 # Titles before names, by gender.
 TITLES = {
     "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "господин"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Señorita", "госпожа"),
+    "": ("Dr", "Prof", "Professor"),
 }
 # Name endings by script and gender, and syllables by script.
 SYLLABLES = {
@@ -71,6 +84,11 @@ PATTERN = re.compile(
 _HINT = re.compile(rf"[0-9@=:]|(?:{_TITLE})")
 
 
+def secret_key(spark: SparkSession) -> str:
+    """The key set for Spark, or one drawn for this application."""
+    return spark.conf.get(KEY_SETTING, None) or _SESSION_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
+
+
 def keyed(key: str, *parts: object, size: int = 16) -> int:
     """A keyed number of ``size`` bytes."""
     return int.from_bytes(hashlib.blake2b("\x1f".join(map(str, parts)).encode(), key=key.encode()[:64], digest_size=size).digest(), "big")
@@ -132,10 +150,11 @@ def structured(kind: str, value: str, key: str) -> str:
         body = value[0] + recoded(value[1:-1], [DIGITS] * (len(value) - 2), key, kind, value[0], off)
         return body + str((luhn(body) + off) % 10)
     if kind == "phone":
-        national = len(value) - 10 if len(value) in (10, 11) else min(2, len(value) - 1)
-        alphabets: list[str | None] = [None] * national + [DIGITS] * (len(value) - national)
-        for k in (national, national + 3):  # area and exchange codes begin with 2 to 9
-            if len(value) - national == 10 and value[k] in DIGITS[2:]:
+        if value[0] == "+":  # sign and country code stay
+            return value[:3] + recoded(value[3:], [DIGITS] * (len(value) - 3), key, kind, value[:3])
+        alphabets: list[str | None] = [DIGITS] * len(value)
+        for k in (0, 3):  # area and exchange codes begin with 2 to 9
+            if value[k] in DIGITS[2:]:
                 alphabets[k] = DIGITS[2:]
         return recoded(value, alphabets, key, kind)
     if kind == "key":
@@ -172,7 +191,7 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str, str]]:
     """``start, end, kind, canonical value, text`` of the entities, in order.
 
     Canonical values leave out what formats the entity: case of mail addresses
-    and names, spaces and signs of numbers.
+    and names, spaces and signs of numbers, the country code 1.
     """
     start = 0
     while m := PATTERN.search(text, start):
@@ -193,67 +212,101 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str, str]]:
             continue
         raw = m[kind]
         value = raw.lower() if kind == "email" else re.sub(r"\D", "", raw) if kind in ("phone", "card", "ssn") else raw.replace(" ", "") if kind == "iban" else raw
+        if kind == "card" and raw.isdigit() and luhn(raw[:-1]) != int(raw[-1]):
+            continue
+        if kind == "phone":
+            value = value[-10:] if raw.startswith("+1") or raw[0] != "+" else f"+{value}"
         yield m.start(kind), m.end(kind), kind, value, raw
 
 
 def poured(kind: str, raw: str, value: str) -> str:
     """A surrogate in the format of one occurrence."""
     if kind in ("phone", "card", "ssn", "iban"):
-        left = iter(value)
+        found = sum(c.isalnum() for c in raw)
+        left = iter(value.lstrip("+").rjust(found, "1"))  # a country code 1 that the value leaves out
         return "".join(next(left) if c.isalnum() else c for c in raw)
     return value.upper() if (":" in kind or kind == "email") and raw.isupper() and len(raw) > 1 else value
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id, kind, value``, distinct within each batch's documents."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("kind", T.StringType()), T.StructField("value", T.StringType())])
+def name_occurrences(docs: DataFrame) -> DataFrame:
+    """``row1, row2, kind, value``: names, distinct within each document's text."""
+    schema = "row1 long, row2 long, kind string, value string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, k, v) for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()) for k, v in {(e[2], e[3]) for e in entities(t)}]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], batch.schema.field("doc_id").type), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], names=["doc_id", "kind", "value"])
+            rows = [(a, b, k, v) for a, b, t in zip(*(batch.column(c).to_pylist() for c in ("row1", "row2", "text"))) for k, v in {(e[2], e[3]) for e in entities(t) if ":" in e[2]}]
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["row1", "row2", "kind", "value"])
 
-    return docs.select("doc_id", "text").where(F.col("text").rlike(_HINT.pattern)).mapInArrow(run, schema)
+    titled = F.col("text").rlike(rf"\b(?:{_TITLE})\.? ")
+    return docs.where(titled).select(*row_keys(), "text").mapInArrow(run, schema)
 
 
-def draws(found: DataFrame, key: str) -> DataFrame:
-    """``kind, value, draw``: the draw at which no two entities meet."""
+def row_keys() -> tuple:
+    """128 bits of id and text: rows that agree in both have the same names."""
+    return F.xxhash64("doc_id", "text").alias("row1"), F.xxhash64(F.lit(0x5EED), "text", "doc_id").alias("row2")
+
+
+def draws(found: DataFrame, key: str, settled: DataFrame | None = None) -> DataFrame:
+    """``kind, value, draw, surrogate``: each name's first draw that no other
+    name has.  Names in ``settled``, rows of the same columns, keep theirs.
+
+    In each round the names without a surrogate draw one; of those that meet,
+    the least goes first, unless a settled name has it.  Later draws are
+    longer, so the rounds end, however many names there are.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kind, value, draw = (b.column(c).to_pylist() for c in ("kind", "value", "draw"))
-            out = [surrogate(*x) for x in zip(kind, value, [key] * len(kind), draw)]
+            out = [drawn_name(k, key, v, d) for k, v, d in zip(kind, value, draw)]
             yield pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(value, pa.string()), pa.array(draw, pa.int32()), pa.array(out, pa.string())], names=["kind", "value", "draw", "surrogate"])
 
-    table = found.select("kind", "value").distinct().withColumn("draw", F.lit(0))
-    for _ in range(MAX_DRAWS):
-        table = staged(table.select("kind", "value", "draw").mapInArrow(run, "kind string, value string, draw int, surrogate string"))
-        # The first entity at its present draw keeps a surrogate; the others redraw.
-        owners = table.groupBy("kind", F.col("surrogate")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("draw", "value")).alias("owner")).where("n > 1")
-        owners = owners.select(F.col("kind").alias("k_"), F.col("surrogate").alias("s_"), F.col("owner.value").alias("owner"))
-        met = (F.col("kind") == F.col("k_")) & (F.col("surrogate") == F.col("s_"))
-        losers = staged(table.join(owners, met).where("value <> owner").select("kind", "value"))
-        if losers.isEmpty():
-            return table
-        lost = losers.select(F.col("kind").alias("k_"), F.col("value").alias("v_"), F.lit(1).alias("more"))
-        table = table.join(lost, (F.col("kind") == F.col("k_")) & (F.col("value") == F.col("v_")), "left").withColumn("draw", (F.col("draw") + F.coalesce("more", F.lit(0))).cast("int"))
-    raise ValueError(f"surrogates still meet after {MAX_DRAWS} draws")
-
-
-def replace_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
+    names = found.select("kind", "value").distinct()
+    left = (names if settled is None else names.join(settled, ["kind", "value"], "left_anti")).withColumn("draw", F.lit(0))
+    while True:
+        made = staged(left.mapInArrow(run, "kind string, value string, draw int, surrogate string"))
+        free = made if settled is None else made.join(settled, ["kind", "surrogate"], "left_anti")
+        won = staged(free.groupBy("kind", "surrogate").agg(F.min(F.struct("value", "draw")).alias("first")).select("kind", "first.value", "first.draw", "surrogate"))
+        settled = won if settled is None else settled.unionByName(won)
+        left = made.join(won, ["kind", "value"], "left_anti").select("kind", "value", (F.col("draw") + 1).cast("int").alias("draw"))
+        if left.isEmpty():
+            return settled
+
+
+def stored_names(spark: SparkSession, path: str | None) -> DataFrame | None:
+    if path is None:
+        return None
+    try:
+        return staged(spark.read.schema("kind string, value string, draw int, surrogate string").parquet(path))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def replace_pii(docs: DataFrame, key: str, names_path: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text``, and ``n_entities`` (a column of that
     name is replaced).
 
-    Texts get first draws where they stand.  Redraws, few, come by a join on
-    ``doc_id`` whose small side Spark broadcasts if its size allows.
+    Texts get first draws where they stand.  Redraws come by a join on the keys
+    of the row, whose small side Spark broadcasts if its size allows.  With
+    ``names_path``, names keep the surrogates of earlier runs with the same key,
+    and new ones are appended there.
     """
-    found = staged(occurrences(docs))
-    redrawn = draws(found, key).where("draw > 0").select(F.col("kind").alias("k_"), F.col("value").alias("v_"), "draw")
-    same = (F.col("kind") == F.col("k_")) & (F.col("value") == F.col("v_"))
-    pairs = F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "value").alias("what"), "draw"))
-    per_doc = staged(found.join(redrawn, same).groupBy("doc_id").agg(pairs.alias("_redrawn")).withColumnRenamed("doc_id", "_doc"))
+    spark = docs.sparkSession
+    found = staged(name_occurrences(docs))
+    before = stored_names(spark, names_path)
+    table = draws(found, key, before)
+    if names_path is not None:
+        new = table if before is None else table.join(before, ["kind", "value"], "left_anti")
+        staged(new).write.mode("append").parquet(names_path)
+    redrawn = table.where("draw > 0").select("kind", "value", "draw")
+    pairs = F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "value").alias("what"), "draw"))
+    per_row = staged(found.distinct().join(redrawn, ["kind", "value"]).groupBy("row1", "row2").agg(pairs.alias("_redrawn")).withColumnsRenamed({"row1": "_row1", "row2": "_row2"}))
     columns = [c for c in docs.columns if c != "n_entities"]
-    joined = docs.select(*columns).join(per_doc, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
+    one, two = row_keys()
+    joined = docs.select(*columns, one.alias("_own1"), two.alias("_own2")).join(per_row, (F.col("_own1") == F.col("_row1")) & (F.col("_own2") == F.col("_row2")), "left").drop("_own1", "_own2", "_row1", "_row2")
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.select(*columns).schema] + [T.StructField("n_entities", T.IntegerType())])
 
     def replaced(text: str | None, redrawn: list | None) -> tuple[str | None, int]:
@@ -278,8 +331,10 @@ def replace_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
 
 def op9_surrogate_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' texts with surrogates for their personal data."""
-    return replace_pii(documents(spark, sf_dir)).select("doc_id", "text", "n_entities")
+    return replace_pii(documents(spark, sf_dir), secret_key(spark)).select("doc_id", "text", "n_entities")
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return replace_pii(docs).select(*docs.columns)
+    """``docs`` with surrogates in ``text``; null texts, repeated rows and other
+    columns pass as they are (see the module's text), no rows give none."""
+    return replace_pii(docs, secret_key(spark)).select(*docs.columns)
