@@ -8,13 +8,15 @@ sketches agree on a band of coordinates are candidates.
 
 Candidates are confirmed on full shingle sets, without pairing off groups:
 texts of equal sets form a class; in each band bucket the members are compared
-with one leader; then, where a bucket still holds several components, those
-outside its largest are compared with all its members, in blocks of bounded
-size.  So each two candidates are compared or already connected.
+with one leader, then, where a bucket still holds several components, with
+leaders from outside its largest; what is outside the largest after these rounds
+is compared with all members of the bucket, in blocks of bounded size.  So each
+two candidates are compared or already connected.
 
 Rows: null text, or text without a word, has no shingles and is linked with
 nothing; null ``doc_id`` is linked with nothing and kept; rows repeated in full
-are one class; an empty table gives an empty result.  Only named columns are read.
+are one class; different texts under one ``doc_id`` are linked by it; an empty
+table gives an empty result.  Only named columns are read.
 """
 
 from __future__ import annotations
@@ -34,7 +36,9 @@ BINS, ROWS = 200, 5  #: 40 bands; a pair at 0.8 agrees on none with probability
 PERCENT = 80
 #: Buckets of at most so many members are compared pair by pair; larger ones in blocks.
 SMALL_BUCKET = 8
-BLOCK_X, BLOCK_M = 256, 1024
+BLOCK_X, BLOCK_M = 64, 256
+#: Rounds of comparisons with one leader a bucket, before what is left is compared in full.
+LEADER_ROUNDS = 3
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _U = np.uint64
 
@@ -125,7 +129,7 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 sets = shingle_sets(batch.column("text").to_pylist(), words)
-                keys = [[int(mix(s ^ _U(c)).sum().astype(np.int64)) if len(s) else 0 for s in sets] for c in (0x51ED270B, 0xA0761D64)]
+                keys = set_keys(sets)
                 real = [s for s in sets if len(s)]
                 found = iter(bands(sketches(real))) if real else iter(())
                 out = [next(found) if len(s) else None for s in sets]
@@ -135,16 +139,22 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``rep, items``: the shingle set of each given document."""
+    """``key1, key2, n_shingles, items``: the shingle set of each text, and its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 sets = shingle_sets(batch.column("text").to_pylist(), words)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], names=["rep", "items"])
+                one, two = set_keys(sets)
+                yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.astype(np.int64) for x in sets], pa.list_(pa.int64()))], names=["key1", "key2", "n_shingles", "items"])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "rep long, items array<long>")
+    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "key1 long, key2 long, n_shingles long, items array<long>")
+
+
+def set_keys(sets: list[np.ndarray]) -> list[list[int]]:
+    """Two 64-bit keys of each set."""
+    return [[int(mix(s ^ _U(c)).sum().astype(np.int64)) if len(s) else 0 for s in sets] for c in (0x51ED270B, 0xA0761D64)]
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -207,39 +217,72 @@ def in_blocks(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return xs.groupBy("band", "i", "j").cogroup(ms.groupBy("band_m", "i_m", "j_m")).applyInArrow(run, "a long, b long").distinct()
 
 
+KEYS = ["key1", "key2", "n_shingles"]
+
+
+def led(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between each bucket's leader and members of other components.
+
+    ``members``: ``band, rep, n, weight, component, is_x``; leaders come from
+    those that ``is_x`` (outside their bucket's largest component) if there are any.
+    """
+    top = F.max(F.struct("is_x", "weight", (-F.col("rep")).alias("minus"), "n", "component")).alias("top")
+    leaders = members.groupBy("band").agg(top).select("band", (-F.col("top.minus")).alias("a"), F.col("top.n").alias("n_a"), F.col("top.component").alias("of_a"))
+    enough = (100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")) & (F.col("component") != F.col("of_a"))
+    return confirmed(members.join(leaders, "band").where(enough).select("a", F.col("rep").alias("b")).distinct(), sets, percent)
+
+
+def mixed_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of buckets with several components: ``band, rep, n, weight,
+    component, is_x, n_x, n_m``."""
+    placed = members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    by = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k"))
+    tops = by.groupBy("band").agg(F.count(F.lit(1)).alias("kinds"), F.sum("k").alias("n_m"), F.max(F.struct("k", "component")).alias("top")).where("kinds > 1")
+    tops = tops.select("band", "n_m", (F.col("n_m") - F.col("top.k")).alias("n_x"), F.col("top.component").alias("largest"))
+    return placed.join(tops, "band").select("band", "rep", "n", "weight", "component", (F.col("component") != F.col("largest")).alias("is_x"), "n_x", "n_m")
+
+
 def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, one row for each document."""
     rows = staged(sketched(docs, words))
     real = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = staged(real.groupBy("key1", "key2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")))
+    # Numbered once and staged, so that later reads see the same numbers.
+    classes = real.groupBy(*KEYS).agg(F.min("doc_id").alias("first_id"), F.min_by("bands", "doc_id").alias("bands"))
+    classes = staged(classes.withColumn("rep", F.monotonically_increasing_id()))
     # Buckets with more than one class; a leader that shares most buckets.
     spread = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     sizes = spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = staged(spread.join(sizes, "band"))
-    weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    leaders = members.join(weight, "rep").groupBy("band").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"), "n")).alias("top"))
-    leaders = leaders.select("band", (-F.col("top.minus")).alias("a"), F.col("top.n").alias("n_a"))
-    enough = (100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")) & (F.col("rep") != F.col("a"))
-    stars = members.join(leaders, "band").where(enough).select("a", F.col("rep").alias("b")).distinct()
-    needed = members.select(F.col("rep").alias("r_")).distinct()
-    bodies = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("r_"), "left_semi")
-    sets = staged(full_sets(bodies, words).dropDuplicates(["rep"]))
-    links = staged(confirmed(stars, sets, percent))
-    first = components(links)
+    shared = spread.join(sizes, "band")
+    members = staged(shared.join(shared.groupBy("rep").agg(F.sum("size").alias("weight")), "rep").select("band", "rep", "n", "weight"))
+    needed = members.select("rep").distinct().join(classes, "rep").select("first_id", "rep", *KEYS)
+    bodies = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("first_id"), "left_semi")
+    sets = staged(full_sets(bodies, words).join(needed, KEYS).select("rep", "items").dropDuplicates(["rep"]))
+    # Texts under one doc_id are one document.
+    of_doc = real.select("doc_id", *KEYS).distinct().join(classes, KEYS).select("doc_id", "rep")
+    several = of_doc.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("doc_id", "a")
+    links = staged(of_doc.join(several, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")))
+    mixed = members.withColumns({"component": F.col("rep"), "is_x": F.lit(True)})
+    found = None
+    for _ in range(LEADER_ROUNDS):
+        links = staged(links.unionByName(led(mixed, sets, percent)).distinct())
+        found = components(links)
+        mixed = staged(mixed_buckets(members, found))
+        if mixed.isEmpty():
+            break
     # Buckets that hold more than one component still.
-    placed = members.join(first, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    by = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k"))
-    tops = by.groupBy("band").agg(F.count(F.lit(1)).alias("kinds"), F.sum("k").alias("n_m"), F.max(F.struct("k", "component")).alias("top")).where("kinds > 1")
-    tops = tops.select("band", "n_m", (F.col("n_m") - F.col("top.k")).alias("n_x"), F.col("top.component").alias("largest"))
-    mixed = staged(placed.join(tops, "band").select("band", "rep", "n", "component", (F.col("component") != F.col("largest")).alias("is_x"), "n_x", "n_m"))
     few = mixed.where(f"n_m <= {SMALL_BUCKET}")
     other = few.select("band", F.col("rep").alias("b"), F.col("component").alias("of_b"), F.col("n").alias("n_b"))
     enough = (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")) & (F.col("component") != F.col("of_b"))
     pairs = few.where("is_x").join(other, "band").where(enough).select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
     more = staged(confirmed(pairs, sets, percent).unionByName(in_blocks(mixed.where(f"n_m > {SMALL_BUCKET}"), sets, percent)))
-    found = components(links.unionByName(more))
-    keys = classes.select("key1", "key2", "n_shingles", "rep").join(found, "rep", "left").select(F.col("key1").alias("k1_"), F.col("key2").alias("k2_"), F.col("n_shingles").alias("n_"), F.coalesce("component", "rep").alias("component_id"))
-    same = (F.col("key1") == F.col("k1_")) & (F.col("key2") == F.col("k2_")) & (F.col("n_shingles") == F.col("n_")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    if not more.isEmpty():
+        found = components(links.unionByName(more))
+    placed = classes.select(*KEYS, "rep", "first_id").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    keys = placed.join(least, "component").select(*[F.col(c).alias(f"{c}_") for c in KEYS], "component_id")
+    same = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    for c in KEYS:
+        same &= F.col(c) == F.col(f"{c}_")
     out = rows.drop("bands").join(keys, same, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
@@ -250,6 +293,12 @@ def op2_similarity_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    gone = near_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("r_")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("r_")), "left_anti")
+    """One row of each group of near duplicates stays: the least ``doc_id``, null
+    last.  Rows are told apart by a number of their own, so rows that repeat an
+    id or have none are compared like others; rows without words all stay; no
+    rows give none; other columns pass."""
+    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()))
+    groups = near_groups(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_of"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = rows.select("doc_id", "_row").join(groups, F.col("_row") == F.col("_of")).groupBy("component_id").agg(F.min_by("_row", order).alias("_kept"))
+    return rows.join(first.select("_kept"), F.col("_row") == F.col("_kept"), "left_semi").select(*docs.columns)

@@ -21,7 +21,7 @@ def shingles(t, k):
 
 def brute_components(docs, k, percent=80):
     sets = [(i, shingles(t, k)) for i, t in docs if i is not None]
-    parent = {i: i for i, _ in sets}
+    parent = {i: i for i, _ in sets}  # rows of one id are one document
 
     def root(x):
         while parent[x] != x:
@@ -77,6 +77,7 @@ def test_ball_of_near_copies_with_far_edges(spark):
 
 def test_large_buckets_go_through_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 0)
+    monkeypatch.setattr(near_dedup, "LEADER_ROUNDS", 1)
     monkeypatch.setattr(near_dedup, "BLOCK_X", 3)
     monkeypatch.setattr(near_dedup, "BLOCK_M", 4)
     rng, docs = random.Random(9), []
@@ -89,6 +90,23 @@ def test_large_buckets_go_through_blocks(spark, monkeypatch):
     same_as_brute(spark, docs, 2)
 
 
+def test_texts_under_one_id_are_linked_by_it(spark):
+    one, two = prose(31, 60), prose(32, 60)
+    docs = [(5, one), (5, two), (7, f"{one} x"), (9, f"{two} x"), (11, prose(33, 60))]
+    found = near_dedup.near_groups(spark.createDataFrame(docs, "doc_id long, text string"), 2).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in found) == [(5, 5, True), (5, 5, True), (7, 5, False), (9, 5, False), (11, 11, True)]
+
+
+def test_stage_keeps_one_row_of_repeated_and_missing_ids(spark):
+    one, two = prose(31, 60), prose(32, 60)
+    docs = [(5, one, "a"), (5, one, "b"), (None, one, "c"), (5, two, "d"), (None, two, "e"), (None, None, "f"), (None, "", "g"), (None, prose(33, 60), "h"), (None, prose(33, 60), "i")]
+    out = near_dedup.dedup_stage(spark, spark.createDataFrame(docs, "doc_id long, text string, _x string"), SF_DIR)
+    assert out.columns == ["doc_id", "text", "_x"]
+    found = [(r.doc_id, r.text) for r in out.collect()]
+    assert Counter(found) == Counter([(5, one), (5, two), (None, None), (None, ""), (None, prose(33, 60))])
+    assert near_dedup.dedup_stage(spark, empty(spark), SF_DIR).count() == 0
+
+
 def test_sketches_fill_and_estimate():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 2**63, 900).astype(np.uint64))
@@ -152,14 +170,50 @@ def test_permutation_is_one_to_one():
 
 def test_redraws_keep_names_apart(spark):
     names = spark.createDataFrame([("last::LATIN", f"name{i}") for i in range(4000)] + [("first:f:GREEK", f"n{i}") for i in range(500)], "kind string, value string")
-    rows = pii.draws(names.union(names), "k").collect()
+    table = pii.draws(names.union(names), "k")
+    rows = table.collect()
     assert len(rows) == 4500 and len({(r.kind, r.surrogate) for r in rows}) == 4500 and max(r.draw for r in rows) > 0
+    more = pii.draws(names.union(spark.createDataFrame([("last::LATIN", f"more{i}") for i in range(500)], names.schema)), "k", table).collect()
+    assert len(more) == 5000 == len({(r.kind, r.surrogate) for r in more}) and set(rows) <= set(more)
+
+
+def test_names_stay_apart_without_ids(spark):
+    data = [(None, f"Mr Nam{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}") for i in range(3000)]
+    docs = spark.createDataFrame(data + data[:3], "doc_id long, text string")
+    found = [r.text for r in pii.replace_pii(docs, "k").collect()]
+    assert len(found) == 3003 and len(set(found)) == 3000
+
+
+def test_stored_names_keep_their_surrogates(spark, tmp_path):
+    frame_of = lambda a, b: spark.createDataFrame([(i, f"Mr Nam{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(a, b)], "doc_id long, text string")
+    first = {r.doc_id: r.text for r in pii.replace_pii(frame_of(100, 500), "k", f"{tmp_path}/names").collect()}
+    second = {r.doc_id: r.text for r in pii.replace_pii(frame_of(0, 600), "k", f"{tmp_path}/names").collect()}
+    assert first.items() <= second.items() and len(set(second.values())) == 600
+
+
+def test_key_is_set_or_drawn(spark):
+    assert pii.secret_key(spark) == pii.secret_key(spark) and len(pii.secret_key(spark)) == 64
+    spark.conf.set(pii.KEY_SETTING, "own")
+    try:
+        assert pii.secret_key(spark) == "own"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
+def test_phone_numbers_are_one_in_all_formats():
+    forms = ["+1 (988) 555-2485", "988-555-2485", "(988) 555-2485", "9885552485", "+1 988 555 2485"]
+    found = [next(pii.entities(f)) for f in forms]
+    assert {e[3] for e in found} == {"9885552485"}
+    new = [pii.poured(e[2], e[4], pii.surrogate(e[2], e[3], "k")) for e in found]
+    assert len({re.sub(r"\D", "", x)[-10:] for x in new}) == 1 and all(x.startswith("+1") for x in new if x[0] == "+")
+    other = next(pii.entities("+49 30 1234 567"))
+    assert pii.poured("phone", other[4], pii.surrogate("phone", other[3], "k")).startswith("+49 ")
 
 
 def test_texts_keep_all_but_entities(spark):
     data = [(i, t, "keep") for i, t in enumerate(PII)] + [(90, None, "keep"), (91, "", "keep"), (None, PII[0], "keep"), (1, PII[1], "keep")]
     df = spark.createDataFrame(data, "doc_id long, text string, n_entities string")
-    found = pii.replace_pii(df).collect()
+    found = pii.replace_pii(df, "k").collect()
     assert len(found) == len(data)
     by = {(r.doc_id, r.n_entities): r.text for r in found}
     assert by[(4, 0)] == PII[4] and by[(90, 0)] is None and by[(91, 0)] == ""
@@ -169,14 +223,14 @@ def test_texts_keep_all_but_entities(spark):
     first, second = by[(0, 4)], by[(1, 3)]
     assert pii.PATTERN.search(first)["email"].lower() == pii.PATTERN.search(second)["email"].lower()
     assert by[(None, 4)] == first
-    assert pii.replace_pii(empty(spark)).count() == 0
+    assert pii.replace_pii(empty(spark), "k").count() == 0
     edge = pii.pii_stage(spark, frame(spark), SF_DIR)
     assert edge.columns == frame(spark).columns and edge.count() == frame(spark).count()
 
 
 def test_clean_documents_are_left_alone(spark):
     docs = documents(spark, SF_DIR)
-    found = {r.doc_id: r for r in pii.replace_pii(docs).collect()}
+    found = {r.doc_id: r for r in pii.replace_pii(docs, "k").collect()}
     for r in docs.collect():
         plain = not re.search(r"@|\d{4}|AKIA|password|token|\d\.\d+\.", r.text)
         assert not plain or (found[r.doc_id].text == r.text and found[r.doc_id].n_entities == 0)
@@ -265,6 +319,9 @@ def test_query_equals_its_sql(spark):
     ("card 3782 822463 10005, 3782-822463-10005", [("card", "3782 822463 10005"), ("card", "3782-822463-10005")]),
     ("call 9885552485.", [("phone", "9885552485")]),
     ("id 1234567890 and 98855524851 stay", []),
+    ("order 4041894974608794, time 1700000000001 stay", []),
+    ("order 4041894974608795 goes", [("card", "4041894974608795")]),
+    ("Dr. Ada Byron", [("first::LATIN", "Ada"), ("last::LATIN", "Byron")]),
 ])
 def test_entities_behind_names_and_other_forms(text, want):
     assert entities_in(text) == want
