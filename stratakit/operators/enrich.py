@@ -48,13 +48,14 @@ def enrich(df: DataFrame, reference: DataFrame, how: Lookup, null_safe: bool = T
     return out.drop("_found")
 
 
+# Columns and their new names, kept and dropped columns: part of the data contracts (fixed values).
 STATE = Lookup({"sigla_uf": "sigla"}, {"nome": "nome_uf", "regiao": "regiao_uf", "id_uf": "id_uf"})
 MUNICIPALITY = Lookup({"id_municipio": "id_municipio"}, {"nome": "nome_municipio", "sigla_uf": "sigla_uf", "nome_uf": "nome_uf", "nome_regiao": "regiao_municipio", "capital_uf": "capital_uf"})
 TERRITORY = Lookup({"id_municipio": "id_municipio"}, {"sigla_uf": "sigla_uf"}, match=None)
 
 
 def enrich_state_targets(targets: DataFrame, states: DataFrame) -> DataFrame:
-    require_columns(states, ["sigla", "nome"], "states")
+    require_columns(states, ["sigla", "nome", "regiao", "id_uf"], "states")
     return enrich(targets, states, STATE)
 
 
@@ -78,6 +79,7 @@ class Keep:
     drop_prefixes: tuple[str, ...] = ()
 
 
+# Fixed values.
 STUDENT_COLUMNS = Keep(
     columns=("ano", "id_aluno", "id_municipio", "rede", "alfabetizado", "proficiencia", "peso_aluno", "_ingestion_timestamp"),
     prefixes=("_silver_",),

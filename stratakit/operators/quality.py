@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from stratakit.functions.scalars import full_match, text_of
 
@@ -111,14 +110,28 @@ def check(df: DataFrame, rules: Iterable[Rule], references: dict[str, DataFrame]
                     out = out.join(known, F.col(rule.column).cast("string") == F.col(f"{marker}_k"), "left")
                 masks[f"_fails_{k}"] = F.col(rule.column).isNotNull() & F.col(marker).isNull()
                 continue
+        if active and rule.kind == UNIQUE and (keys := _columns(rule)) and all(c in df.columns for c in keys):
+            # Keys that repeat, counted before the shuffle, meet the rows; no task gets all rows of a key at once.
+            marker = f"_fails_key_u{k}"
+            again = df.groupBy(*[F.col(c).alias(f"{marker}_{i}") for i, c in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n").withColumn(marker, F.lit(True))
+            same = F.lit(True)
+            for i, c in enumerate(keys):
+                same = same & F.col(c).eqNullSafe(F.col(f"{marker}_{i}"))
+            out = out.join(again, same, "left")
+            masks[f"_fails_{k}"] = F.col(marker).isNotNull()
+            continue
         masks[f"_fails_{k}"] = F.coalesce(_mask(df, rule), F.lit(False)) if active else F.lit(False)
     out = out.withColumns(masks) if masks else out
     helpers = [c for c in out.columns if c.startswith("_fails_key_")]
     return Checked(out.drop(*helpers), rules, quarantined_at)
 
 
+def _columns(rule: Rule) -> tuple[str, ...]:
+    return rule.columns or ((rule.column,) if rule.column else ())
+
+
 def _mask(df: DataFrame, rule: Rule) -> Column:
-    columns = rule.columns or ((rule.column,) if rule.column else ())
+    columns = _columns(rule)
     if not columns:
         return F.lit(False)
     present = all(c in df.columns for c in columns)
@@ -136,8 +149,6 @@ def _mask(df: DataFrame, rule: Rule) -> Column:
     if rule.kind == RANGE and present:
         x = F.col(columns[0]).try_cast("double")
         return ~F.isnan(x) & ~x.between(rule.low, rule.high)
-    if rule.kind == UNIQUE and present:
-        return F.count(F.lit(1)).over(W.partitionBy(*columns)) > 1
     if rule.kind == SUM and present:
         total = sum((F.col(c) for c in columns[1:]), F.col(columns[0]))
         return F.abs(total - rule.total) > rule.tolerance

@@ -71,7 +71,7 @@ def upsert_parquet(batch: DataFrame, path: str, keys: list[str], arrival: list[s
     a key must stay in their partition, so the partition column is a key.  The
     result is staged beside the table before partitions are replaced, so a
     failure while merging leaves the table as it was; a rerun repeats the same
-    result.
+    result.  The staged copy is deleted once the partitions are replaced.
     """
     spark = batch.sparkSession
     if partition_by and partition_by not in keys:
@@ -85,8 +85,17 @@ def upsert_parquet(batch: DataFrame, path: str, keys: list[str], arrival: list[s
             target = target.where(hit | F.col(partition_by).isNull() if None in touched else hit)
         rows = merged(target, rows, keys, preserve, newer_than)
     stage = f"{path.rstrip('/')}_staging/{uuid.uuid4().hex}"
-    rows.write.parquet(stage)
-    writer = spark.read.schema(rows.schema).parquet(stage).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    try:
+        rows.write.parquet(stage)
+        writer = spark.read.schema(rows.schema).parquet(stage).write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
+    finally:
+        delete(spark, stage)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder in any store that Spark can write to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

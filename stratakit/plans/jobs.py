@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import time
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -60,8 +61,7 @@ def ingest(spark: SparkSession, sources: dict[str, str], bronze: str, run: Run,
     rows = []
     for name in selected(names, BATCH_SOURCES):
         entity = ENTITIES[name]
-        placed = Entity(**{**entity.__dict__, "source": sources[name], "schema": None})
-        df = read_source(spark, placed, run.years, run.limit, None, source_format, **options).persist(StorageLevel.MEMORY_AND_DISK)
+        df = read_source(spark, sources[name], None, run.years if entity.year_filter else None, entity.partition or "ano", run.limit, None, source_format, **options).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             n = df.count()
             done = n > 0 and write_bronze(df, f"{bronze}/{name}", entity.source, run.batch_id, run.at, entity.required, entity.partition, run.overwrite)
@@ -71,9 +71,25 @@ def ingest(spark: SparkSession, sources: dict[str, str], bronze: str, run: Run,
     return spark.createDataFrame(rows, "source string, records long, written boolean")
 
 
-def ingestion_metrics(counts: DataFrame) -> DataFrame:
-    """One row: all records, sources with rows, sources without."""
-    return counts.agg(F.sum("records").alias("total_records"), F.count_if(F.col("records") > 0).alias("sources_processed"), F.count_if(F.col("records") == 0).alias("sources_empty"))
+def ingestion_metrics(counts: DataFrame, seconds: float = 0.0, failed: bool = False) -> DataFrame:
+    """One row: all records, sources with rows, sources without, the run's
+    duration, and 1 if it failed."""
+    return counts.agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("total_records"), F.count_if(F.col("records") > 0).alias("sources_processed"), F.count_if(F.col("records") == 0).alias("sources_empty"),
+        F.lit(float(seconds)).alias("duration_seconds"), F.lit(int(failed)).alias("job_failure"),
+    )
+
+
+def measured_ingest(spark: SparkSession, sources: dict[str, str], bronze: str, run: Run, report: Callable[[DataFrame], None], clock: Callable[[], float] = time.monotonic, **more: str) -> DataFrame:
+    """:func:`ingest`, whose metrics go to ``report`` whether it succeeds or not."""
+    began = clock()
+    try:
+        counts = ingest(spark, sources, bronze, run, **more)
+    except Exception:
+        report(ingestion_metrics(spark.createDataFrame([], "source string, records long"), clock() - began, True))
+        raise
+    report(ingestion_metrics(counts, clock() - began))
+    return counts
 
 
 def to_silver(df: DataFrame, entity: Entity, references: dict[str, DataFrame], run: Run) -> Checked:

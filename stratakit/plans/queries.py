@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from stratakit.operators import dedup, enrich, indicator, quality, reports, standardize, upsert
 from stratakit.operators.quality import FOREIGN_KEY, NOT_NULL, PATTERN, RANGE, SUM, UNIQUE, Rule
 from stratakit.plans import jobs
+from stratakit.plans.config import DOCUMENTED_RULES
 from stratakit.sources import readers, sinks
 from stratakit.sources.scratch import scratch_dir
 from stratakit.streaming import events as ev
@@ -123,6 +124,28 @@ def scan_year_filter(spark, sf_dir):
     return readers.scan(rows, ["o_orderkey", "o_custkey", "o_totalprice", "ano"], [1996, 1997], "ano", "o_totalprice > 1000")
 
 
+@query("select o_orderkey, o_totalprice, year(o_orderdate)::int ano from orders where year(o_orderdate) in (1996, 1997)")
+def scan_partition_pruning(spark, sf_dir):
+    """A table partitioned by year, of which two partitions are read."""
+    path = f"{scratch_dir(spark)}/orders"
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("ano"))
+    sinks.write_table(rows, path, "ano")
+    return readers.read_bronze(spark, path, [1996, 1997], schema=rows.schema)
+
+
+@query("select least(10, count(*))::bigint n_rows from orders")
+def scan_limit(spark, sf_dir):
+    """A limit above zero cuts; zero and below do not."""
+    rows = table(spark, sf_dir, "orders")
+    return readers.scan(readers.scan(readers.scan(rows, limit=0), limit=-1), limit=10).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("select count(*) n_rows from orders where false")
+def scan_missing_source(spark, sf_dir):
+    """Years and a limit over a source that isn't there."""
+    return readers.read_source(spark, f"{sf_dir}/absent.parquet", None, [2024], limit=5).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query(f"select n_nationkey, n_name, n_regionkey, '{AT}' _ingestion_timestamp, 'nation' _source_table, '{BATCH}' _batch_id from nation")
 def bronze_metadata(spark, sf_dir):
     return sinks.bronze_rows(table(spark, sf_dir, "nation"), "nation", BATCH, AT, ("n_nationkey", "n_name"))
@@ -214,6 +237,15 @@ def enrich_null_safe(spark, sf_dir):
     return enrich.enrich(left, right, enrich.Lookup({"k": "nk"}, {"n_name": "n_name"}))
 
 
+@query(f"""with {STATE_TARGETS} select ano, sigla_uf, rede, t taxa_alfabetizacao, r_name nome_uf, case when r_name is not null then 'x' end regiao_uf, r_regionkey::varchar id_uf, r_name is not null _join_match
+  from targets left join (select * from region where r_regionkey <> 2) on sigla_uf = 'R' || r_regionkey""")
+def enrich_states(spark, sf_dir):
+    """State targets with their state's columns; one state isn't known."""
+    regions = table(spark, sf_dir, "region").where("r_regionkey <> 2")
+    states = regions.select(F.col("r_regionkey").cast("string").alias("id_uf"), F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("sigla"), F.col("r_name").alias("nome"), F.lit("x").alias("regiao"))
+    return enrich.enrich_state_targets(state_targets(spark, sf_dir).select("ano", "sigla_uf", "rede", "taxa_alfabetizacao"), states)
+
+
 # ---- indicators -----------------------------------------------------------
 
 _KEYS = ["ano", "id_municipio", "rede"]
@@ -309,6 +341,16 @@ def quality_pass_rate(spark, sf_dir):
     return rounded(quality.metrics({"orders": checked_orders(spark, sf_dir)}), 6)
 
 
+@query(f"""with {MASKS}, s as ({STATE_TARGETS.replace("targets as (", "select * from (")}), n as (
+  select 'orders' entity, count(*) filter (where not (r1 or r2 or r3 or r4)) v, count(*) filter (where r1 or r2 or r3 or r4) q from masks
+  union all select 'targets', count(*) filter (where not (t > 100 or m24 > 100 or m30 > 100 or part > 100)), count(*) filter (where t > 100 or m24 > 100 or m30 > 100 or part > 100) from s)
+  select entity, v valid_rows, q quarantined_rows, round(v / (v + q), 6) pass_rate from n""")
+def quality_metrics_union(spark, sf_dir):
+    """Metrics of several checked tables in one."""
+    targets = quality.check(state_targets(spark, sf_dir), DOCUMENTED_RULES["targets"])
+    return rounded(quality.metrics({"orders": checked_orders(spark, sf_dir), "targets": targets}), 6)
+
+
 @query("""select l_orderkey, l_linenumber, count(*)::bigint n from lineitem where (l_orderkey, l_linenumber) in
   (select (l_orderkey, l_linenumber) from lineitem group by l_orderkey, l_linenumber having count(*) > 1) group by all""")
 def quality_unique(spark, sf_dir):
@@ -325,8 +367,6 @@ def quality_sum(spark, sf_dir):
 @query(f"""with {STATE_TARGETS} select count(*) input_rows, count(*) filter (where t > 100 or m24 > 100 or m30 > 100 or part > 100) quarantined_rows from targets""")
 def quality_target_ranges(spark, sf_dir):
     """The documented 0 to 100 ranges of targets and participation."""
-    from stratakit.plans.config import DOCUMENTED_RULES
-
     return quality.check(state_targets(spark, sf_dir), DOCUMENTED_RULES["targets"]).totals.select("input_rows", "quarantined_rows")
 
 
@@ -405,6 +445,48 @@ def event_dead_letters(spark, sf_dir):
     return ev.parse(messages(spark, sf_dir), _EVENT, ("ano", "id_aluno"), AT)[1].select("_dlq_rule_id", "_kafka_partition", "_kafka_offset")
 
 
+@query(f"""with e as (select *, event_id % 12 way, year(ts)::int y, '{{\\"id_aluno\\":\\"' || user_id || '\\",\\"ano\\":' || year(ts) || '}}' body from events),
+  r as (select *, case way when 3 then '' when 4 then event_id::varchar when 5 then event_id::varchar when 6 then event_id::varchar end id,
+  case way when 4 then '{{bad' when 5 then '[1]' when 6 then '{{\\"ano\\":' || y || '}}' else body end payload from e where way in (1, 2, 3, 4, 5, 6, 9, 10, 11))
+  select case way when 1 then 'bronze_invalid_envelope_json' when 2 then 'bronze_invalid_envelope_shape' when 4 then 'bronze_invalid_payload_json' when 5 then 'bronze_invalid_payload_shape'
+  when 6 then 'bronze_missing_natural_keys' when 10 then 'bronze_kafka_decode_error' when 11 then 'bronze_kafka_empty_value' else 'bronze_missing_event_fields' end _dlq_rule_id,
+  case way when 1 then 'the envelope isn''t JSON' when 2 then 'the envelope isn''t an object' when 4 then 'the payload isn''t JSON' when 5 then 'the payload isn''t an object'
+  when 6 then 'a natural key is missing' when 10 then 'the value isn''t UTF-8' when 11 then 'the message has no value' else 'the event id or the payload is missing' end _dlq_reason,
+  case way when 1 then '{{not json' when 2 then '[1, 2]' when 10 then 'wyg=' when 11 then null else '{{' || coalesce('"event_id":"' || id || '",', '') || '"event_type":"measure","event_timestamp":"t1","payload":"' || payload || '"}}' end _raw_payload,
+  id _event_id, case when way in (3, 4, 5, 6, 9) then 'measure' end _event_type, case when way in (3, 4, 5, 6, 9) then 't1' end _event_timestamp, 't' _kafka_topic, (event_id % 3)::int _kafka_partition, event_id _kafka_offset,
+  '{AT}' _ingestion_timestamp, case when way in (3, 6, 9) then y end ano from r""")
+def event_reject_records(spark, sf_dir):
+    """Dead letters with all that can be read of them."""
+    k, year = F.col("event_id"), F.year("ts")
+    body = F.to_json(F.struct(F.col("user_id").cast("string").alias("id_aluno"), year.alias("ano")))
+    wrap = lambda payload, event_id=k.cast("string"): F.to_json(F.struct(event_id.alias("event_id"), F.lit("measure").alias("event_type"), F.lit("t1").alias("event_timestamp"), payload.alias("payload")))
+    way = k % 12
+    text = (
+        F.when(way == 1, "{not json").when(way == 2, "[1, 2]").when(way == 3, wrap(body, F.lit(""))).when(way == 4, wrap(F.lit("{bad"))).when(way == 5, wrap(F.lit("[1]")))
+        .when(way == 6, wrap(F.to_json(F.struct(year.alias("ano"))))).when(way == 9, wrap(body, F.lit(None).cast("string"))).otherwise(wrap(body))
+    )
+    value = F.when(way == 10, F.unhex(F.lit("C328"))).when(way != 11, text.cast("binary"))
+    rows = table(spark, sf_dir, "events").select(value.alias("value"), F.lit("t").alias("topic"), (k % 3).cast("int").alias("partition"), k.alias("offset"))
+    return ev.parse(rows, _EVENT, ("ano", "id_aluno"), AT)[1]
+
+
+@query(f"""with valid as (select year(ts)::int ano, user_id::varchar id_aluno, value proficiencia, event_id, event_id % 3 part from events where event_id % 12 in (0, 7, 8)),
+  last as (select * from valid qualify row_number() over (partition by ano, id_aluno order by part desc, event_id desc) = 1)
+  select ano, id_aluno, proficiencia, 'known' _quality_rule_ids, 'silver' _quarantine_layer from last where id_aluno::bigint % 2 = 1""")
+def stream_quarantine(spark, sf_dir):
+    """Rows of a stream whose reference has every other student; a second
+    reference can't be read, and its rule passes."""
+    base = scratch_dir(spark)
+    messages(spark, sf_dir).coalesce(1).write.parquet(f"{base}/topic")
+    table(spark, sf_dir, "events").where("user_id % 2 = 0").select(F.col("user_id").cast("string").alias("id_aluno")).distinct().write.parquet(f"{base}/known")
+    rules = (Rule("known", FOREIGN_KEY, "id_aluno", reference="known.id_aluno"), Rule("other", FOREIGN_KEY, "id_aluno", reference="absent.id_aluno"))
+    tables = stream_jobs.StreamTables(f"{base}/bronze", f"{base}/silver", f"{base}/quarantine", _EVENT, ("ano", "id_aluno"), rules)
+    source = readers.read_file_stream(spark, f"{base}/topic", messages(spark, sf_dir).schema, 8)
+    references = lambda: readers.load_references(spark, {"known": f"{base}/known", "absent": f"{base}/none"})
+    stream_jobs.run_stream(source, tables, references, f"{base}/checkpoint", "stream", lambda: AT).awaitTermination()
+    return spark.read.parquet(tables.quarantine).select(F.col("ano").cast("int").alias("ano"), "id_aluno", "proficiencia", "_quality_rule_ids", "_quarantine_layer")
+
+
 @query(f"""with valid as (select year(ts)::int ano, user_id::varchar id_aluno, value proficiencia, event_id, event_id % 3 part from events where event_id % 12 in (0, 7, 8))
   select ano, id_aluno, proficiencia, '{AT}' _ingestion_timestamp, '{AT}' _silver_processed_at from valid
   qualify row_number() over (partition by ano, id_aluno order by part desc, event_id desc) = 1""")
@@ -436,11 +518,52 @@ def _sources(spark, sf_dir):
 
 @query(f"""with {LOCAL_TARGETS}, s as ({STATE_TARGETS.replace("targets as (", "select * from (")})
   select (select count(*) from region) + (select count(*) from nation where n_nationkey <> 4) + (select count(*) from targets) + (select count(*) from s) + (select count(*) from s where sigla_uf = 'R1') total_records,
-  5::bigint sources_processed, 0::bigint sources_empty""")
+  5::bigint sources_processed, 0::bigint sources_empty, 0::int job_failure""")
 def job_ingestion(spark, sf_dir):
     base, sources = _sources(spark, sf_dir)
     counts = jobs.ingest(spark, sources, f"{base}/bronze", jobs.Run(BATCH, AT))
-    return jobs.ingestion_metrics(counts)
+    return jobs.ingestion_metrics(counts).drop("duration_seconds")
+
+
+def _to_silver(spark, sf_dir):
+    """The folder of a run from the sources to Silver, and its metrics."""
+    base, sources = _sources(spark, sf_dir)
+    run = jobs.Run(BATCH, AT)
+    jobs.ingest(spark, sources, f"{base}/bronze", run)
+    sinks.write_table(students(spark, sf_dir).withColumn("_ingestion_timestamp", F.lit(AT)), f"{base}/bronze/alunos", "ano")
+    return base, jobs.silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/quarantine", run)
+
+
+@query(f"""with {LOCAL_TARGETS}, s as ({STATE_TARGETS.replace("targets as (", "select * from (")}), pupils as (select distinct year(l_shipdate) ano, l_orderkey, l_linenumber, l_partkey, l_suppkey, s_nationkey from lineitem left join supplier on l_suppkey = s_suppkey),
+  n as (select 'uf' entity, count(*) valid_rows, 0 quarantined_rows from region union all select 'municipio', count(*), 0 from nation where n_nationkey <> 4
+  union all select 'meta_brasil', count(*), 0 from s where sigla_uf = 'R1' union all select 'meta_uf', count(*), 0 from s
+  union all select 'meta_municipio', count(*) filter (where id_municipio <> '0000004'), count(*) filter (where id_municipio = '0000004') from targets
+  union all select 'alunos', count(*) filter (where s_nationkey is distinct from 4), count(*) filter (where s_nationkey = 4) from pupils)
+  select entity, valid_rows, quarantined_rows::bigint quarantined_rows, round(valid_rows / (valid_rows + quarantined_rows), 6) pass_rate from n""")
+def job_silver_metrics(spark, sf_dir):
+    """What the Silver job says of each entity."""
+    return rounded(_to_silver(spark, sf_dir)[1], 6)
+
+
+@query(f"""with {LOCAL_TARGETS} select ano, id_municipio, rede, t taxa_alfabetizacao, 'meta_municipio_fk' _quality_rule_ids, 'id_municipio deve existir na tabela municipio' _quality_messages,
+  '{AT}' _quarantined_at, 'silver' _quarantine_layer, '{BATCH}' _silver_batch_id from targets where id_municipio = '0000004'""")
+def job_silver_quarantine(spark, sf_dir):
+    """Targets of a town that isn't known, as the Silver job puts them aside."""
+    base, _ = _to_silver(spark, sf_dir)
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{base}/quarantine/meta_municipio")
+    return rows.select(F.col("ano").cast("int").alias("ano"), "id_municipio", "rede", "taxa_alfabetizacao", "_quality_rule_ids", "_quality_messages", "_quarantined_at", "_quarantine_layer", "_silver_batch_id")
+
+
+@query(f"""with {STUDENTS}, {STATE_TARGETS}, {TOWNS}, ind as (select ano, sigla_uf, rede, {_AGG} from students join towns using (id_municipio) group by all)
+  select i.ano, i.sigla_uf, i.rede, {_ROUND}, {_GAPS}, r_name nome_uf, '{BATCH}' _gold_batch_id
+  from ind i left join targets t on i.ano = t.ano and i.sigla_uf = t.sigla_uf and i.rede = t.rede left join region on t.sigla_uf = 'R' || r_regionkey""")
+def job_gold_state(spark, sf_dir):
+    """The state dataset of a run from the sources to Gold."""
+    base, _ = _to_silver(spark, sf_dir)
+    jobs.gold(spark, f"{base}/silver", f"{base}/gold", f"{base}/quarantine", jobs.Run(BATCH, AT), "uf")
+    out = spark.read.parquet(f"{base}/gold/indicador_crianca_alfabetizada_uf")
+    names = ["total_peso", "total_alfabetizados_ponderado", "proficiencia_media_ponderada", "taxa_crianca_alfabetizada", "taxa_alfabetizacao", "meta_alfabetizacao_2024", "meta_alfabetizacao_2030", "gap_taxa_vs_inep", "gap_meta_2024", "gap_meta_2030", "nome_uf", "_gold_batch_id"]
+    return rounded(out.select(F.col("ano").cast("int").alias("ano"), "sigla_uf", "rede", F.col("total_alunos").cast("long").alias("total_alunos"), *names))
 
 
 @query(f"""with {LOCAL} select ano, l.id_municipio, rede, {_ROUND}, round(taxa_crianca_alfabetizada - t, 4) gap_taxa_vs_inep, round(taxa_crianca_alfabetizada - m24, 4) gap_meta_2024,
@@ -448,12 +571,8 @@ def job_ingestion(spark, sf_dir):
   where l.id_municipio in (select id_municipio from towns)""")
 def job_gold(spark, sf_dir):
     """Ingestion, Silver and Gold one after the other, on Parquet tables."""
-    base, sources = _sources(spark, sf_dir)
-    run = jobs.Run(BATCH, AT)
-    jobs.ingest(spark, sources, f"{base}/bronze", run)
-    sinks.write_table(students(spark, sf_dir).withColumn("_ingestion_timestamp", F.lit(AT)), f"{base}/bronze/alunos", "ano")
-    jobs.silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/quarantine", run)
-    jobs.gold(spark, f"{base}/silver", f"{base}/gold", f"{base}/quarantine", run)
+    base, _ = _to_silver(spark, sf_dir)
+    jobs.gold(spark, f"{base}/silver", f"{base}/gold", f"{base}/quarantine", jobs.Run(BATCH, AT))
     out = spark.read.parquet(f"{base}/gold/indicador_crianca_alfabetizada_municipio")
     return rounded(out.select(F.col("ano").cast("int").alias("ano"), "id_municipio", "rede", F.col("total_alunos").cast("long").alias("total_alunos"), "total_peso", "total_alfabetizados_ponderado", "proficiencia_media_ponderada", "taxa_crianca_alfabetizada", "gap_taxa_vs_inep", "gap_meta_2024", "sigla_uf", "_gold_batch_id"))
 

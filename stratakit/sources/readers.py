@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -9,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratakit.plans.config import Entity
-
-MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+#: Errors of a source that isn't there, or has no data file yet.
+MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+log = logging.getLogger(__name__)
 
 
 def scan(df: DataFrame, columns: Iterable[str] | None = None, years: Iterable[int] | None = None, year_column: str = "ano", extra: Column | str | None = None, limit: int | None = None) -> DataFrame:
@@ -26,10 +27,16 @@ def scan(df: DataFrame, columns: Iterable[str] | None = None, years: Iterable[in
     return df.limit(limit) if limit and limit > 0 else df
 
 
-def read_source(spark: SparkSession, entity: Entity, years: Iterable[int] | None = None, limit: int | None = None, extra: Column | str | None = None, source_format: str = "parquet", **options: str) -> DataFrame:
-    """Scan of a registered source (any Spark format); a missing one is empty."""
-    raw = read_or_empty(spark, entity.source, entity.schema, source_format, **options)
-    return scan(raw, None, years if entity.year_filter else None, entity.partition or "ano", extra, limit)
+def read_source(
+    spark: SparkSession, source: str, schema: T.StructType | str | None = None, years: Iterable[int] | None = None, year_column: str = "ano",
+    limit: int | None = None, extra: Column | str | None = None, source_format: str = "parquet", **options: str,
+) -> DataFrame:
+    """Scan of a source (any Spark format); a missing one is empty, without
+    columns unless a schema is given.  Years apply where their column exists."""
+    raw = read_or_empty(spark, source, schema, source_format, **options)
+    if not raw.columns:
+        return raw
+    return scan(raw, None, years if year_column in raw.columns else None, year_column, extra, limit)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str | None = None, source_format: str = "parquet", **options: str) -> DataFrame:
@@ -57,6 +64,18 @@ def read_silver(spark: SparkSession, path: str, years: Iterable[int] | None = No
     return scan(df, None, years if year_column in df.columns else None, year_column or "ano")
 
 
+def load_references(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The reference tables that can be read; one that can't is left out with a
+    warning, so that a stream goes on without its foreign keys."""
+    found = {}
+    for name, path in paths.items():
+        try:
+            found[name] = read_silver(spark, path, None, None)
+        except Exception as e:  # whatever the store raises
+            log.warning("reference %s can't be read, its checks are left out: %s", name, e)
+    return found
+
+
 def read_kafka_stream(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest", max_offsets: int | None = None, **options: str) -> DataFrame:
     """``value, topic, partition, offset`` of a topic; data loss doesn't fail it."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", starting_offsets).option("failOnDataLoss", "false").options(**options)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratakit.operators.dedup import require_columns
@@ -16,16 +16,22 @@ def with_metadata(df: DataFrame, values: dict[str, str]) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, overwrite: bool = True) -> bool:
     """Parquet, partitioned if the column exists; an overwrite replaces only the
-    partitions that ``df`` has.  Empty frames write nothing and give False."""
-    if df.isEmpty():
+    partitions that ``df`` has.  Empty frames write no rows and give False.
+
+    A partitioned write or an append of no rows changes nothing, so it counts its
+    rows as it goes; only an overwrite of a whole table looks for a row first.
+    """
+    by_parts = bool(partition_by) and partition_by in df.columns
+    if overwrite and not by_parts and df.isEmpty():
         return False
-    writer = df.write.mode("overwrite" if overwrite else "append")
-    if partition_by and partition_by in df.columns:
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite" if overwrite else "append")
+    if by_parts:
         writer = writer.partitionBy(partition_by)
         if overwrite:
             writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
-    return True
+    return seen.get["rows"] > 0
 
 
 def bronze_rows(df: DataFrame, source: str, batch_id: str, ingested_at: str, required: tuple[str, ...] = ()) -> DataFrame:

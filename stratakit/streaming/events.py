@@ -48,14 +48,14 @@ def encode(rows: DataFrame, event_id: Column, event_type: str, event_time: Colum
     return rows.select(F.to_json(envelope).cast("binary").alias("value"))
 
 
-def _falsy(v: Column) -> Column:
-    """Null, empty text, zero, false, or an empty list or object."""
-    kind, text = F.schema_of_variant(v), F.to_json(v)
-    return v.isNull() | kind.isin("VOID") | text.isin('""', "false", "[]", "{}") | F.coalesce(~kind.startswith("STRING") & (text.try_cast("double") == 0), F.lit(False))
+def _falsy(text: Column) -> Column:
+    """JSON of nothing, empty text, zero, false, or an empty list or object."""
+    return text.isNull() | text.isin('""', "null", "false", "[]", "{}") | F.coalesce(~text.startswith('"') & (text.try_cast("double") == 0), F.lit(False))
 
 
-def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+def _opening(json: Column) -> Column:
+    """The character that tells what kind of value a JSON text is."""
+    return F.substring(F.ltrim(json, F.lit(" \t\r\n")), 1, 1)
 
 
 def computed(df: DataFrame, **columns: Column) -> DataFrame:
@@ -73,11 +73,11 @@ def classified(messages: DataFrame, keys: tuple[str, ...], year_column: str = "a
     env = messages.withColumn("_text", F.when(F.is_valid_utf8(text), text))
     env = computed(env, _env=F.try_parse_json("_text"))
     get = lambda name, kind: F.try_variant_get("_env", f"$.{name}", kind)
-    env = computed(env, _object=_is_object(F.col("_env")), _id=get("event_id", "variant"), _payload=get("payload", "variant"), _year=get(year_column, "string"))
-    kind = F.schema_of_variant("_payload")
-    parsed = F.when(kind == "STRING", F.try_parse_json(get("payload", "string"))).when(kind.startswith("OBJECT"), F.col("_payload"))
-    env = computed(env, _payload_kind=kind, _body=parsed)
-    env = computed(env, _falsy=_falsy(F.col("_id")), _body_object=_is_object(F.col("_body")), **{f"_key_{c}": F.try_variant_get("_body", f"$.{c}", "string") for c in keys})
+    env = computed(env, _object=F.col("_env").isNotNull() & (_opening(F.col("_text")) == "{"), _id=F.to_json(get("event_id", "variant")), _payload=F.to_json(get("payload", "variant")), _inner=get("payload", "string"), _year=get(year_column, "string"))
+    # A payload that is text holds JSON; one that is an object is JSON itself.
+    kind, inner = F.substring("_payload", 1, 1), F.when(F.substring("_payload", 1, 1) == '"', F.col("_inner")).when(F.substring("_payload", 1, 1) == "{", F.col("_payload"))
+    env = computed(env, _payload_kind=kind, _body=F.try_parse_json(inner), _body_opens=_opening(inner))
+    env = computed(env, _falsy=_falsy(F.col("_id")), _body_object=F.coalesce(F.col("_body").isNotNull() & (F.col("_body_opens") == "{"), F.lit(False)), **{f"_key_{c}": F.try_variant_get("_body", f"$.{c}", "string") for c in keys})
     present = F.lit(True)
     for c in keys:
         value = F.coalesce(F.col(f"_key_{c}"), F.col("_year")).try_cast("double").try_cast("int") if c == year_column else F.col(f"_key_{c}")
@@ -87,8 +87,8 @@ def classified(messages: DataFrame, keys: tuple[str, ...], year_column: str = "a
         .when(F.col("_text").isNull(), UNDECODABLE)
         .when(F.col("_env").isNull(), BAD_ENVELOPE)
         .when(~F.col("_object"), ENVELOPE_SHAPE)
-        .when(F.col("_falsy") | F.col("_payload").isNull() | (F.col("_payload_kind") == "VOID"), MISSING_FIELDS)
-        .when((F.col("_payload_kind") == "STRING") & F.col("_body").isNull(), BAD_PAYLOAD)
+        .when(F.col("_falsy") | F.col("_payload").isNull() | (F.col("_payload") == "null"), MISSING_FIELDS)
+        .when((F.col("_payload_kind") == '"') & F.col("_body").isNull(), BAD_PAYLOAD)
         .when(~F.col("_body_object"), PAYLOAD_SHAPE)
         .when(~present, MISSING_KEYS)
     )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratakit.operators import upsert
 from stratakit.operators.quality import FOREIGN_KEY, NOT_NULL, Rule
 from stratakit.plans import config, jobs
 from stratakit.sources import readers, sinks
@@ -88,6 +89,28 @@ def test_missing_sources_are_empty_and_strict_reads_raise(spark, tmp_path):
         sinks.bronze_rows(spark.createDataFrame([(1,)], "a int"), "s", "b", AT, ("b",))
 
 
+def test_ingest_skips_absent_sources_and_reports_failures(spark, tmp_path):
+    run, seen = jobs.Run("b1", AT, years=(2024,), limit=5), []
+    sources = {n: f"{tmp_path}/none/{n}" for n in config.BATCH_SOURCES}
+    counts = jobs.measured_ingest(spark, sources, f"{tmp_path}/bronze", run, lambda m: seen.append(m.first()), iter((1.0, 3.5)).__next__)
+    assert {(r.records, r.written) for r in counts.collect()} == {(0, False)}
+    assert (seen[0].sources_empty, seen[0].total_records, seen[0].duration_seconds, seen[0].job_failure) == (5, 0, 2.5, 0)
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{tmp_path}/none/uf")
+    with pytest.raises(ValueError, match="columns missing"):
+        jobs.measured_ingest(spark, sources, f"{tmp_path}/bronze", run, lambda m: seen.append(m.first()))
+    assert seen[1].job_failure == 1 and seen[1].duration_seconds > 0
+
+
+def test_references_that_cannot_be_read_are_left_out(spark, tmp_path):
+    spark.createDataFrame([(1,)], "a int").write.parquet(f"{tmp_path}/a")
+    assert readers.load_references(spark, {"a": f"{tmp_path}/a", "b": f"{tmp_path}/b"}).keys() == {"a"}
+
+
+def test_upsert_leaves_no_staged_copy(spark, tmp_path):
+    upsert.upsert_parquet(spark.createDataFrame([(1, 2)], "a int, b int"), f"{tmp_path}/t", ["a"], [])
+    assert list((tmp_path / "t_staging").iterdir()) == [] and spark.read.parquet(f"{tmp_path}/t").count() == 1
+
+
 def test_scan_prunes_partitions(spark, tmp_path):
     spark.createDataFrame([(2023, 1), (2024, 2)], "ano int, v int").write.partitionBy("ano").parquet(f"{tmp_path}/t")
     df = readers.read_silver(spark, f"{tmp_path}/t", [2024])
