@@ -1,14 +1,18 @@
 """Approximate nearest neighbours by robust-pruned directed graphs.
 
-Vectors are dealt by hash into shards of bounded size.  In each shard a graph
-is built: a greedy search proposes neighbours for a vector, and pruning with
+Vectors are dealt into shards of up to ``SHARD_BYTES``: by the power of two of
+their largest component, and by hash within one.  In each shard a graph is
+built: a greedy search proposes neighbours for a vector, and pruning with
 relaxed distances keeps diverse edges, both ways.  Every query runs a beam
-search in every shard, in blocks; exact inner products of the original vectors
-in double precision rank what the shards return.
+search in every shard; exact inner products of the original vectors in double
+precision rank what the shards return.  Queries meet a shard in blocks of the
+same order of size as its index, so an index is copied once for each such block
+and not for every few queries.
 
 Inner product is brought to Euclidean distance by one more coordinate that
-gives all vectors the largest norm.  Equal vectors are one node that carries
-its least ids: as many as any answer can use.
+gives all vectors of a shard its largest norm.  As norms of one shard are of one
+order, a few very long vectors don't blur the distances of the others.  Equal
+vectors are one node that carries its least ids: as many as any answer can use.
 
 Rows: a null ``vec_id``; null, empty or zero vectors; and those with null or
 non-finite components, or of another length than most, take no part.  Rows
@@ -27,9 +31,11 @@ from pyspark.sql.window import Window as W
 from stratakit.llm.common import staged
 
 K = 20
-SHARD_ROWS = 8192
-QUERY_BLOCK = 4096
-DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 28, 48, 80, 1.2
+#: Bytes of vectors in a shard, and of queries in a block.
+SHARD_BYTES, BLOCK_BYTES = 1 << 28, 1 << 27
+#: Shards of small tables, for graphs to be built side by side; a shard isn't made smaller than ``SMALL_SHARD`` rows for that.
+LEAST_SHARDS, SMALL_SHARD = 4, 4096
+DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 28, 48, 112, 1.2
 ENTRIES, WIDTH = 8, 4
 _CHUNK = 256
 
@@ -157,27 +163,46 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.values.to_numpy()[flat.offsets[0].as_py() :].reshape(len(flat), -1) if len(flat) else np.zeros((0, 1))
 
 
-def augmented(v: np.ndarray, norm: float) -> np.ndarray:
-    rest = np.sqrt(np.maximum(norm * norm - (v * v).sum(axis=1), 0))
-    return np.concatenate([v, rest[:, None]], axis=1).astype(np.float32) / np.float32(norm)
+def augmented(v: np.ndarray) -> np.ndarray:
+    """Vectors in single precision, relative to their largest norm, with the
+    coordinate that gives all of them that norm."""
+    v = v / np.abs(v).max()
+    square = (v * v).sum(axis=1)
+    rest = np.sqrt(np.maximum(square.max() - square, 0))
+    return (np.concatenate([v, rest[:, None]], axis=1) / np.sqrt(square.max())).astype(np.float32)
 
 
-def indexed(nodes: DataFrame, norm: float, shards: int) -> DataFrame:
+def dealt(nodes: DataFrame, shard_rows: int) -> tuple[DataFrame, int]:
+    """``shard, rep, vector``, and the number of shards.
+
+    A band is a power of two, so there are at most some 2,100 of them; their
+    sizes are what reaches the driver.
+    """
+    banded = nodes.withColumn("band", F.floor(F.log2(F.array_max(F.transform("vector", F.abs)))).cast("int"))
+    sizes, table, first = banded.groupBy("band").count().orderBy("band").collect(), [], 0
+    for r in sizes:
+        table.append((r["band"], first, -(-r["count"] // shard_rows)))
+        first += table[-1][2]
+    bands = nodes.sparkSession.createDataFrame(table, "band int, first int, parts int")
+    shard = F.col("first") + F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    return banded.join(F.broadcast(bands), "band").select(shard.alias("shard"), "rep", "vector"), first
+
+
+def indexed(shards: DataFrame) -> DataFrame:
     """One row for each shard: its ids, vectors, graph and entry nodes."""
 
     def run(group: pa.Table) -> pa.Table:
         v = _matrix(group.column("vector"))
-        graph, entries = build_graph(augmented(v, norm))
+        graph, entries = build_graph(augmented(v))
         return pa.table({"shard": group.column("shard")[:1], "ids": pa.array([group.column("rep").to_numpy().tobytes()], pa.binary()), "vectors": pa.array([v.tobytes()], pa.binary()), "graph": pa.array([graph.tobytes()], pa.binary()), "entries": pa.array([entries.astype(np.int64).tobytes()], pa.binary())})
 
-    dealt = nodes.select(F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int").alias("shard"), "rep", "vector")
-    return dealt.groupBy("shard").applyInArrow(run, "shard int, ids binary, vectors binary, graph binary, entries binary")
+    return shards.groupBy("shard").applyInArrow(run, "shard int, ids binary, vectors binary, graph binary, entries binary")
 
 
 def searched(index: DataFrame, queries: DataFrame, shards: int, blocks: int, keep: int) -> DataFrame:
     """``q, rep, score``: for each query vector the ``keep`` best of each shard."""
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = queries.select(F.col("rep").alias("q"), "vector", F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(blocks)).cast("int").alias("of_block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("of_shard"))
+    right = queries.select(F.col("rep").alias("q"), "vector", F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(blocks)).cast("int").alias("of_block"), F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1))).alias("of_shard"))
 
     def run(one: pa.Table, asked: pa.Table) -> pa.Table:
         q, rep, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
@@ -186,10 +211,10 @@ def searched(index: DataFrame, queries: DataFrame, shards: int, blocks: int, kee
             ids, entries = get("ids", np.int64), get("entries", np.int64)
             v = get("vectors", np.float64).reshape(len(ids), -1)
             graph = get("graph", np.int32).reshape(len(ids) + 1, -1)
-            x, asked_v, asked_q = v.astype(np.float32), _matrix(asked.column("vector")), asked.column("q").to_numpy()
+            x, asked_v, asked_q = (v / np.abs(v).max()).astype(np.float32), _matrix(asked.column("vector")), asked.column("q").to_numpy()
             for at in range(0, len(asked_q), _CHUNK):
                 own = asked_v[at : at + _CHUNK]
-                found, _ = beam_search(x, graph, entries, own.astype(np.float32), SEARCH_BEAM)
+                found, _ = beam_search(x, graph, entries, (own / np.abs(own).max(axis=1, keepdims=True)).astype(np.float32), SEARCH_BEAM)
                 exact = np.einsum("qd,qmd->qm", own, v[np.maximum(found, 0)])
                 exact[found < 0] = -np.inf
                 order = np.lexsort((ids[np.maximum(found, 0)], -exact), axis=1)[:, :keep]
@@ -203,19 +228,25 @@ def searched(index: DataFrame, queries: DataFrame, shards: int, blocks: int, kee
     return left.groupBy("shard", "block").cogroup(right.groupBy("of_shard", "of_block")).applyInArrow(run, "q long, rep long, score double")
 
 
-def nearest(vectors: DataFrame, is_query, k: int = K, shard_rows: int = SHARD_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, k: int = K, shard_rows: int | None = None, query_block: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` largest inner products found
-    for each row where the condition ``is_query`` holds, its own id left out."""
+    for each row where the condition ``is_query`` holds, its own id left out.
+
+    ``shard_rows`` and ``query_block`` are rows of a shard and of a block of
+    queries; None: as many as the bytes allow, and at least ``LEAST_SHARDS``
+    shards where the table has rows enough.
+    """
     rows = staged(usable(vectors))
     ids = W.partitionBy("vector").orderBy("vec_id")
     least = rows.distinct().withColumn("n", F.row_number().over(ids)).where(F.col("n") <= k + 1)
     nodes = staged(least.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
-    size = nodes.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.max(F.aggregate("vector", F.lit(0.0), lambda a, v: a + v * v))).alias("norm")).first()
-    shards = max(1, -(-size.n // shard_rows))
+    size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
+    bytes_each = 8 * (size.dim or 1)
+    by_shard, shards = dealt(nodes, shard_rows or max(1, min(SHARD_BYTES // bytes_each, max(SMALL_SHARD, -(-size.n // LEAST_SHARDS)))))
     asked = staged(rows.where(is_query).distinct().join(nodes.select("vector", "rep"), "vector").select(F.col("vec_id").alias("query_id"), "rep"))
     which = asked.select("rep").distinct()
-    blocks = max(1, -(-which.count() // query_block))
-    index = staged(indexed(nodes, size.norm or 1.0, shards))
+    blocks = max(1, -(-which.count() // (query_block or max(1, BLOCK_BYTES // bytes_each))))
+    index = staged(indexed(by_shard))
     found = staged(searched(index, nodes.join(which, "rep", "left_semi"), shards, blocks, k + 1))
     best = found.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "rep"))).where(F.col("n") <= k + 1)
     spread = best.join(nodes.select("rep", "ids"), "rep").select("q", "score", F.explode("ids").alias("vec_id"))

@@ -268,6 +268,31 @@ def test_nearest_against_brute_force(spark):
     assert hits >= 0.9 * 20 * len(want)
 
 
+def recall(found, want, k=20):
+    own = {q: set() for q in want}
+    for r in found:
+        own[r.query_id].add(r.vec_id)
+    return sum(len(own[q] & {i for i, _ in top}) for q, top in want.items()) / (k * len(want))
+
+
+def test_recall_on_the_test_table(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    data = [(r.vec_id, np.array(r.embedding, dtype=float)) for r in rows.collect() if r.embedding]
+    found = nearest.nearest(rows, F.col("vec_id") % 20 == 0).collect()
+    assert recall(found, brute_nearest(data, 20)) >= 0.95
+
+
+def test_one_very_long_vector_among_usual_ones(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 24))
+    x[1] *= 1e4
+    x[2] *= 1e-200
+    x[3] *= 1e150
+    rows = [(i, x[i].tolist()) for i in range(3000)]
+    found = nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, shard_rows=1000).collect()
+    assert recall(found, brute_nearest([(i, np.array(v)) for i, v in rows], 20)) >= 0.95
+
+
 @pytest.mark.parametrize("n", [1, 2, 5])
 def test_few_vectors(spark, n):
     df = spark.createDataFrame([(i * 20, [1.0, float(i)]) for i in range(n)], "vec_id long, embedding array<float>")
