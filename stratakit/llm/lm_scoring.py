@@ -1,449 +1,442 @@
-"""Language-model scoring with a probabilistic suffix tree (PST).
-
-A text is the byte string of its words, a space after each, and an end byte.
-Counts of all byte strings of length ``DEPTH`` + 1 in all training
-texts give each context's next-symbol distribution.  A context is kept if it
-comes ``LEAST`` times and its distribution diverges from its suffix's (or a kept
-context ends in it), so the tree grows with the corpus.  It is made in shards by
-context, and each block of texts gets the contexts that occur in it.  Distributions are smoothed towards their suffix's, and
-each byte is scored by the longest kept suffix before it.  A token's probability
-mixes three: the tree's for its first two bytes times the word's frequency
-among training words with these; the tree's for its whole spelling, with the
-share that new words have; and a part of the base's.
-
-Word counts, for the unigram base score, join documents block by block: the
-distinct words of a block of texts meet the corpus counts, not every word of
-every document, and return to their block as its dictionary.
+"""Language-model scoring with a probabilistic suffix tree (PST) over words.
+
+The symbols are a text's words and one end token.  A context is the one or two
+tokens before a token (an end token stands before a text).  It is kept if it
+comes ``LEAST`` times or more and its next-token distribution diverges from its
+suffix's: coding its tokens by its own frequencies instead of its suffix's saves
+``DIVERGENCE`` bits over the corpus; and if its suffix is kept.  Both bounds are
+absolute, so the tree grows with the corpus.  Each token is scored by the
+longest kept suffix of what stands before it.  Distributions are smoothed by
+absolute discounting towards the suffix's; at the root words have their
+frequencies less the share of new words (by Good and Turing), and that share is
+spread over all strings by a byte model of the corpus' distinct words.  So the
+probabilities of all strings after a context sum to one at most.
+
+How it runs: texts are tokenised once into blocks, one row each, in a table
+bucketed by block.  A block asks for the corpus counts of its distinct words,
+word pairs, contexts and word triples: it sends them, as 64-bit hashes, in order
+and packed, to shards of the hash; a shard adds up what all blocks sent and
+answers each block in the order in which it asked.  What a context needs (kinds
+of tokens after it, bits saved) is a sum over its distinct followers, each of
+which the shard leaves to one block, so no task ever holds all followers of a
+frequent word.  Blocks stay where they are; only questions and answers move.
 
 Rows: null or empty text is the end token alone; null ``doc_id`` trains and
 isn't held out; repeated rows count and score one by one; an empty table gives
-an empty result; without training text scores fall back to uniform bytes.
+an empty result; without training text all words are spelled, by uniform bytes.
 Only named columns are read.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratakit.llm.common import documents, staged
-from stratakit.llm.context_tree import ContextTree, backward, gram_counts, joined, positions
-
-DEPTH = 7
-#: Training bytes after a context that it needs, in a corpus of any size.
-LEAST = 16
-#: Depth of the contexts that every task holds (byte pairs, however large the
-#: corpus); deeper contexts are dealt out by their newest bytes.
-NEAR_DEPTH = 2
-#: Training bytes for each shard of contexts.
-SHARD_BYTES = 4_000_000
-#: A context diverges if coding by it instead of its suffix saves this many
-#: times log2(training bytes) bits over the corpus.
-DIVERGENCE = 4.0
-#: Weight of the suffix's distribution, in counts.
-SMOOTHING = 4.0
+from stratakit.llm.common import documents, shared_dir, staged
+
+#: Training tokens after a context that it needs, in a corpus of any size.
+LEAST = 2
+#: Bits that a context must save over the corpus.
+DIVERGENCE = 16.0
+#: Taken off each count, for the suffix's distribution.
+DISCOUNT = 0.9
 BLOCK_BYTES = 16_000_000
+#: Training tokens for each shard of hashes.
+SHARD_TOKENS = 4_000_000
 END = b"\n"
-_GRAM_BYTES = 4_000_000
-_SCORE_BYTES = 1_000_000
-_LN10 = float(np.log(10))
-
-
-def _block_rows(part: int, ids: list, held: list, bodies: list[bytes], names: list[str], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """The rows of one block: its documents, its words, its grams (those of held
-    out texts count 0)."""
-    words: Counter = Counter()
-    for body, out in zip(bodies, held):
-        tokens = body.split(b" ")
-        if out:
-            for w in tokens:
-                words.setdefault(w, 0)
-        else:
-            words.update(tokens)
-
-    def batch(kind: str, rows: int, **columns: pa.Array) -> pa.RecordBatch:
-        full = {"part": pa.array(np.full(rows, part)), "kind": pa.array([kind] * rows, pa.string()), **columns}
-        types = {"doc_id": id_type, "held_out": pa.bool_(), "body": pa.binary(), "gram": pa.int64(), "n": pa.int64()}
-        return pa.RecordBatch.from_arrays([full[x] if x in full else pa.nulls(rows, types[x]) for x in names], names=names)
-
-    yield batch("doc", len(ids), doc_id=pa.array(ids, id_type), held_out=pa.array(held), body=pa.array(bodies, pa.binary()))
-    yield batch("word", len(words), body=pa.array(list(words), pa.binary()), n=pa.array(list(words.values()), pa.int64()))
-    near = np.zeros(1 << 8 * (NEAR_DEPTH + 1), dtype=np.int64)
-    for chunk, out in _chunks(bodies, held):
-        if not out:
-            k, n = gram_counts(chunk, NEAR_DEPTH)
-            near[k] += n
-    seen = np.flatnonzero(near)
-    yield batch("near", len(seen), gram=pa.array(seen), n=pa.array(near[seen]))
-
-
-def _chunks(bodies: list[bytes], held: list[bool]) -> Iterator[tuple[list[bytes], bool]]:
-    """Bodies, held out or not, in lists of bounded size."""
-    for side in (False, True):
-        chunk, size = [], 0
-        for body in (x for x, out in zip(bodies, held) if out == side):
-            chunk.append(body)
-            size += len(body)
-            if size >= _GRAM_BYTES:
-                yield chunk, side
-                chunk, size = [], 0
-        if chunk:
-            yield chunk, side
-
-
-def block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Of each part: its distinct grams and their training counts (those of held
-    out texts count 0)."""
-
-    def whole(part: int, held: list, bodies: list) -> tuple[int, np.ndarray, np.ndarray]:
-        keys, counts = [], []
-        for chunk, out in _chunks(bodies, held):
-            k, n = gram_counts(chunk, DEPTH)
-            keys.append(k)
-            counts.append(n * (not out))
-        return part, *_summed(np.concatenate(keys), np.concatenate(counts))
-
-    part, held, bodies = None, [], []
-    for batch in batches:
-        for p, h, body in zip(*(batch.column(c).to_pylist() for c in ("part", "held_out", "body"))):
-            if bodies and p != part:
-                yield whole(part, held, bodies)
-                held, bodies = [], []
-            part = p
-            held.append(h)
-            bodies.append(body)
-    if bodies:
-        yield whole(part, held, bodies)
-
-
-def gram_rows(texts: DataFrame) -> DataFrame:
-    """``part, gram, n`` of staged texts."""
+#: Bits saved are added up in whole numbers of this part of a bit.
+_PART = 256
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+WORD, PAIR, NEAR, TRIPLE, FAR = range(5)  #: what blocks ask for; NEAR and FAR are contexts of one and two tokens
+
+
+def _hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word)
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of pairs of hashes."""
+    h = (a ^ np.uint64(0xD6E8FEB86659FD93)) * _MIX + b
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def _pressed(x: np.ndarray) -> bytes:
+    """64-bit numbers by byte planes, compressed."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpressed(x: bytes, size: int, kind: type = np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(x, 8 * size, codec="zstd", asbytes=True), np.uint8).reshape(8, size).T).view(kind).ravel()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, gram, n in block_grams(batches):
-            for at in range(0, len(gram), 1 << 17):
-                g = gram[at : at + (1 << 17)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), part)), pa.array(g), pa.array(n[at : at + (1 << 17)])], names=["part", "gram", "n"])
 
-    return texts.select("part", "held_out", "body").mapInArrow(run, "part long, gram long, n long")
+# ---- blocks ---------------------------------------------------------------
+
+
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Of all texts: the word number of each token, end tokens included (number
+    0), the words by falling frequency, and each text's tokens."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat = lists.flatten()
+    real = pc.not_equal(flat, "")
+    doc = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))[real.to_numpy(zero_copy_only=False)]
+    coded = flat.filter(real).dictionary_encode()
+    number, count = coded.indices.to_numpy(), np.bincount(doc, minlength=len(lists)) + 1
+    order = np.argsort(-np.bincount(number, minlength=len(coded.dictionary)), kind="stable")
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(1, len(order) + 1)
+    idx = np.zeros(len(number) + len(lists), dtype=np.int64)
+    inside = np.ones(len(idx), dtype=bool)
+    inside[np.cumsum(count) - 1] = False
+    idx[inside] = rank[number]
+    words = coded.dictionary.take(pa.array(order)).cast(pa.binary()).to_pylist()
+    return idx, [END, *words], count
+
+
+def trained(lengths: np.ndarray, held: np.ndarray) -> np.ndarray:
+    return np.repeat(~held, lengths)
 
 
 def blocks(docs: DataFrame, held_out) -> DataFrame:
-    """Documents in blocks with their words' and short grams' training counts,
-    staged; and their grams (``kind`` gram), made from these when they are read."""
-    rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).cast("binary").alias("body"))
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema]).add("part", "long").add("kind", "string").add("gram", "long").add("n", "long")
+    """One row a block: ids, which are held out, tokens a document, the packed
+    token numbers, the words' hashes, and those words, one after the other, that
+    no training text of the block has; and counts of byte triples in its other
+    distinct words."""
+    rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
+    id_kind = rows.schema["doc_id"].dataType
+    schema = T.StructType().add("part", "long").add("ids", T.ArrayType(id_kind)).add("held", T.ArrayType(T.BooleanType())).add("lengths", T.ArrayType(T.IntegerType()))
+    schema = schema.add("size", "long").add("trained", "long").add("idx", "binary").add("kinds", "long").add("hashes", "binary").add("new_words", "binary").add("grams", T.ArrayType(T.IntegerType())).add("gram_counts", T.ArrayType(T.LongType()))
+
+    def block(part: int, ids: pa.Array, held: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
+        idx, words, lengths = tokens_of(texts)
+        own = np.bincount(idx[trained(lengths, held)], minlength=len(words))
+        hashes = np.fromiter(map(_hash, words), dtype=np.uint64, count=len(words))
+        new = b" ".join(w for w, n in zip(words, own) if not n and w != END)
+        grams, n = byte_triples([w for w, k in zip(words, own) if k and w != END])
+        one = lambda x, t: pa.array([x], t)
+        of = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        columns = [
+            one(part, pa.int64()), of(ids), of(pa.array(held)), of(pa.array(lengths, pa.int32())), one(len(idx), pa.int64()), one(int(own.sum()), pa.int64()), one(_pressed(idx), pa.binary()),
+            one(len(words), pa.int64()), one(hashes.tobytes(), pa.binary()), one(new, pa.binary()), of(pa.array(grams, pa.int32())), of(pa.array(n, pa.int64())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, id_type = TaskContext.get().partitionId() << 24, None
-        ids, held, bodies, size = [], [], [], 0
+        part, waiting, size = TaskContext.get().partitionId() << 24, [], 0
         for batch in batches:
-            id_type = batch.schema.field("doc_id").type
-            for i, h, body in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "body"))):
-                ids.append(i)
-                held.append(h)
-                bodies.append(b" ".join([*body.lower().split(), END]))
-                size += len(bodies[-1])
-                if size >= BLOCK_BYTES:
-                    yield from _block_rows(part, ids, held, bodies, schema.names, id_type)
-                    ids, held, bodies, size, part = [], [], [], 0, part + 1
-        if ids:
-            yield from _block_rows(part, ids, held, bodies, schema.names, id_type)
-
-    out = staged(rows.mapInArrow(run, schema), "kind")
-    grams = gram_rows(out.where("kind = 'doc'")).withColumn("kind", F.lit("gram"))
-    return out.unionByName(grams.select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in grams.columns)))
-
-
-def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sums of ``n``."""
-    order = np.argsort(keys, kind="stable")
-    keys, n = keys[order], n[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(n, first) if len(first) else n
-
-
-def _turned(context: np.ndarray, d: int) -> np.ndarray:
-    """Contexts with their bytes in the other order."""
-    out = np.zeros_like(context)
-    for j in range(d):
-        out = out << 8 | context >> 8 * j & 255
-    return out
-
-
-@dataclass
-class Level:
-    """Frequent contexts of one depth, newest byte first and in order, with the
-    stretches of their symbols, and whether they diverge from their suffixes."""
-
-    context: np.ndarray
-    first: np.ndarray
-    symbol: np.ndarray
-    n: np.ndarray
-    total: np.ndarray
-    diverges: np.ndarray
-
-    @property
-    def size(self) -> np.ndarray:
-        return np.diff(np.append(self.first, len(self.symbol)))
-
-    @staticmethod
-    def of(context: np.ndarray, symbol: np.ndarray, n: np.ndarray, above: Level | None, least: int, bits: float) -> Level:
-        keys, n = _summed((context << 8 | symbol)[n > 0], n[n > 0])
-        context, symbol = keys >> 8, keys & 255
-        heads, nth = np.unique(context, return_inverse=True)
-        total = np.bincount(nth, n, len(heads))
-        often = (total >= least)[nth]
-        context, symbol, n = context[often], symbol[often], n[often]
-        heads, first, nth = np.unique(context, return_index=True, return_inverse=True)
-        total = np.bincount(nth, n, len(heads)).astype(np.int64)
-        saved = np.zeros(len(heads))
-        if above is not None and len(heads):
-            at = np.searchsorted(above.context, context >> 8)
-            suffix = np.searchsorted(np.repeat(above.context, above.size) << 8 | above.symbol, context >> 8 << 8 | symbol)
-            saved = np.bincount(nth, n * np.log2(n / total[nth] * above.total[at] / above.n[suffix]), len(heads))
-        return Level(heads, first, symbol, n, total, saved >= bits if above is not None else np.zeros(len(heads), bool))
-
-
-def near_levels(grams: DataFrame, total: int) -> list[Level]:
-    """The levels up to ``NEAR_DEPTH``: a table of byte strings of that length
-    and one more, which doesn't grow with the corpus once all have come."""
-    rows = grams.where("n > 0").groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * (NEAR_DEPTH + 1)) - 1)).alias("g")).agg(F.sum("n").alias("n")).toPandas()
-    g, n, out = rows.g.to_numpy(np.int64), rows.n.to_numpy(np.int64), []
-    for d in range(NEAR_DEPTH + 1):
-        context = _turned(g >> 8 & ((1 << 8 * d) - 1), d)
-        out.append(Level.of(context, g & 255, n, out[-1] if out else None, 1 if d == 0 else LEAST, DIVERGENCE * np.log2(max(total, 2))))
-    return out
+            bytes_so_far = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(bytes_so_far, (bytes_so_far[lo - 1] if lo else 0) + BLOCK_BYTES - size, "right")))
+                waiting.append(batch.slice(lo, hi - lo))
+                size += int(bytes_so_far[hi - 1] - (bytes_so_far[lo - 1] if lo else 0))
+                lo = hi
+                if lo < batch.num_rows or size >= BLOCK_BYTES:
+                    yield from made(part, waiting)
+                    part, waiting, size = part + 1, [], 0
+        if waiting:
+            yield from made(part, waiting)
+
+    def made(part: int, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        get = lambda c: pa.concat_arrays(table.column(c).chunks)
+        yield block(part, get("doc_id"), get("held_out").to_numpy(zero_copy_only=False), get("text"))
+
+    return rows.mapInArrow(run, schema)
+
+
+def bucketed(df: DataFrame, by: str) -> DataFrame:
+    """``df`` written once as a table of the shared folder, bucketed by a column,
+    so that later groupings by it move none of its rows."""
+    spark, name = df.sparkSession, f"stratakit_{uuid.uuid4().hex}"
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", shared_dir(spark)).option("compression", "zstd").bucketBy(buckets, by).saveAsTable(name)
+    found = spark.table(name)
+    found.schema  # noqa: B018
+    spark.sql(f"drop table {name}")  # the files stay, and so does the plan that reads them
+    return found
+
+
+# ---- bytes of new words ---------------------------------------------------
+
+
+def byte_triples(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings of length three, a space before and after each word, and how often they come."""
+    text = np.frombuffer(b"  " + b"  ".join(words) + b" ", dtype=np.uint8).astype(np.int64)
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys = text[:-2] << 16 | text[1:-1] << 8 | text[2:]
+    return np.unique(keys[text[1:-1] << 8 | text[2:] != 0x2020], return_counts=True)
+
+
+class Spelling:
+    """Probabilities of strings of bytes, each by the two before it, smoothed
+    towards the one before it, all bytes, and the uniform."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray):
+        self.levels = []
+        for mask in (0xFFFFFF, 0xFFFF, 0xFF):
+            keys, at = np.unique(grams & mask, return_inverse=True)
+            count = np.bincount(at, n, len(keys))
+            contexts, of = np.unique(keys >> 8, return_inverse=True)
+            self.levels.append((mask, keys, count, contexts, np.bincount(of, count, len(contexts)), np.bincount(of, minlength=len(contexts)).astype(float)))
+
+    def log10(self, words: list[bytes]) -> np.ndarray:
+        """Of each word and the space that ends it."""
+        if not words:
+            return np.zeros(0)
+        text = np.frombuffer(b"  " + b"  ".join(words) + b" ", dtype=np.uint8).astype(np.int64)
+        keys = text[:-2] << 16 | text[1:-1] << 8 | text[2:]
+        p = np.full(len(keys), 1 / 256)
+        for mask, known, count, contexts, total, kinds in reversed(self.levels):
+            if not len(known):
+                continue
+            key = keys & mask
+            at, of = np.minimum(np.searchsorted(known, key), len(known) - 1), np.minimum(np.searchsorted(contexts, key >> 8), len(contexts) - 1)
+            n, here = np.where(known[at] == key, count[at], 0), contexts[of] == key >> 8
+            p = np.where(here, (n + kinds[of] * p) / (total[of] + kinds[of]), p)
+        sizes = np.array([len(w) for w in words])
+        begin = np.cumsum(sizes + 2) - sizes - 2
+        inside = np.log10(p)
+        inside[begin[1:] - 1] = 0  # the second space between two words
+        return np.add.reduceat(inside, begin)
 
 
-def _pressed(x: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), codec="zstd", asbytes=True)
+# ---- questions and answers ------------------------------------------------
 
 
-def _unpressed(x: bytes, size: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(pa.decompress(x, 8 * size, codec="zstd", asbytes=True), np.uint8).reshape(8, size).T).view(np.int64).ravel()
+class Asked:
+    """Distinct hashes of one kind in a block, in the order in which it asks."""
 
+    def __init__(self, hashes: np.ndarray, shards: int):
+        self.keys, self.at = np.unique(hashes, return_inverse=True)
+        bits = min(64, 44 + shards.bit_length())
+        self.short = self.keys >> np.uint64(64 - bits)  # enough to tell a shard's hashes apart
+        shard = ((self.keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+        self.cuts = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard)) if len(shard) else np.zeros(1, np.int64)
+        self.shard = shard[self.cuts[:-1]].astype(np.int64)
 
-def _dealt(part: int, gram: np.ndarray, n: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
-    """A part's grams by shard, packed: in order, as differences by byte planes."""
-    newest = gram >> 8 & ((1 << 8 * (NEAR_DEPTH + 1)) - 1)
-    shard = (newest * 0x9E3779B1 >> 16) % shards
-    order = np.lexsort((gram, shard))
-    shard, gram, n = shard[order], gram[order], n[order]
-    cuts = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(gram)) if len(gram) else [0]
-    for lo in range(0, len(cuts) - 1, 256):
-        ends = cuts[lo : lo + 257]
-        runs = list(zip(ends, ends[1:]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(shard[ends[:-1]]), pa.array([part] * len(runs), pa.int64()), pa.array([b - a for a, b in runs], pa.int64()),
-             pa.array([_pressed(np.diff(gram[a:b], prepend=np.int64(0))) for a, b in runs], pa.binary()), pa.array([_pressed(n[a:b]) for a, b in runs], pa.binary())],
-            names=["shard", "part", "size", "gram", "n"],
-        )
+    def rows(self, part: int, kind: int, first: np.ndarray, second: np.ndarray | None = None) -> Iterator[tuple]:
+        """``kind, shard, part, size, keys, first, second``: a message for each shard."""
+        second = np.zeros(len(first), np.int64) if second is None else second
+        for s, a, b in zip(self.shard.tolist(), self.cuts[:-1].tolist(), self.cuts[1:].tolist()):
+            yield kind, s, part, b - a, _pressed(np.diff(self.short[a:b].astype(np.int64), prepend=np.int64(0))), _pressed(first[a:b].astype(np.int64)), _pressed(second[a:b])
 
 
-_PACKED = "shard long, part long, size long, gram binary, n binary"
+_QUESTION = "kind int, shard long, part long, size long, keys binary, first binary, second binary"
+_ANSWER = "kind int, shard long, part long, size long, answer binary, distinct long, once long"
 
 
-def context_shards(packed: DataFrame, total: int, near: list[Level], depth: int = DEPTH) -> DataFrame:
-    """``of_part, d, size, cells, contexts, lengths, symbols, counts``: the kept
-    contexts deeper than ``NEAR_DEPTH`` of each part whose grams have them, packed.
-
-    Contexts with the same newest bytes are in one shard, so a shard has all
-    counts of its contexts and of what ends in them.
-    """
-    least, bits = LEAST, DIVERGENCE * np.log2(max(total, 2))
-    kinds = {"of_part": pa.int64(), "d": pa.int32(), "size": pa.int64(), "cells": pa.int64(), "contexts": pa.binary(), "lengths": pa.binary(), "symbols": pa.binary(), "counts": pa.binary()}
-    schema = "of_part long, d int, size long, cells long, contexts binary, lengths binary, symbols binary, counts binary"
+def answered(questions: DataFrame) -> DataFrame:
+    """What all blocks sent, added up by hash: for each message twice the sum of
+    ``first`` and one more where this message is the first with any (counts), or
+    where the sum of ``second`` reaches the test (contexts).  A shard's message
+    to no block (-1) tells how many hashes it has, and how many came once."""
 
     def run(group: pa.Table) -> pa.Table:
-        size = group.column("size").to_numpy()
-        part = np.repeat(group.column("part").to_numpy(), size)
-        gram = np.concatenate([np.cumsum(_unpressed(x, k)) for x, k in zip(group.column("gram").to_pylist(), size)])
-        n = np.concatenate([_unpressed(x, k) for x, k in zip(group.column("n").to_pylist(), size)])
-        turned, symbol = _turned(gram >> 8, depth), gram & 255
-        levels, rows = [near[-1]], []
-        for d in range(NEAR_DEPTH + 1, depth + 1):
-            context = turned >> 8 * (depth - d)
-            levels.append(Level.of(context, symbol, n, levels[-1], least, bits))
-            here = np.isin(context, levels[-1].context)
-            part, turned, symbol, n = part[here], turned[here], symbol[here], n[here]
-            rows.append((part, context[here]))
-        kept, found = np.zeros(0, np.int64), []
-        for d in range(depth, NEAR_DEPTH, -1):
-            level, (part, context) = levels[d - NEAR_DEPTH], rows[d - NEAR_DEPTH - 1]
-            kept = np.union1d(level.context[level.diverges], kept >> 8)
-            if not len(kept):
-                continue
-            real = np.isin(context, kept)
-            parts, part_at = np.unique(part[real], return_inverse=True)
-            at, part_at = np.divmod(np.unique(np.searchsorted(level.context, context[real]) * len(parts) + part_at), len(parts))
-            size = level.size
-            for k, one in enumerate(parts):
-                own = at[part_at == k]
-                cells = np.repeat(level.first[own] - (np.cumsum(size[own]) - size[own]), size[own]) + np.arange(size[own].sum())
-                columns = (_turned(level.context[own], d), size[own], level.symbol[cells], level.n[cells])
-                found.append((int(one), d, len(own), len(cells), *(_pressed(x.astype(np.int64)) for x in columns)))
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*found)) or [()] * len(kinds), kinds.values())], names=list(kinds))
-
-    return packed.groupBy("shard").applyInArrow(run, schema)
-
-
-def near_rows(near: list[Level]) -> tuple[np.ndarray, ...]:
-    """``d, context, symbol, n, diverges`` of the levels: those that are frequent
-    are all kept, as what ends in them is in other shards."""
-    return tuple(np.concatenate(x) for x in zip(*((np.full(len(v.n), d), np.repeat(_turned(v.context, d), v.size), v.symbol, v.n, np.full(len(v.n), d > 0)) for d, v in enumerate(near))))
-
-
-def far_rows(packed: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    """``d, context, symbol, n, diverges`` of :func:`context_shards`' rows."""
-    out = [(np.zeros(0, np.int64),) * 4]
-    for d, size, cells, *columns in zip(*(packed.column(c).to_pylist() for c in ("d", "size", "cells", "contexts", "lengths", "symbols", "counts"))):
-        context, length, symbol, n = (_unpressed(x, k) for x, k in zip(columns, (size, size, cells, cells)))
-        out.append((np.full(cells, d), np.repeat(context, length), symbol, n))
-    d, context, symbol, n = (np.concatenate(x) for x in zip(*out))
-    return d, context, symbol, n, np.full(len(d), True)
-
-
-def suffix_contexts(grams: DataFrame, total: int, depth: int = DEPTH) -> DataFrame:
-    """``d, context, symbol, n, diverges`` of the whole tree's contexts."""
-    near = near_levels(grams, total)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield from _dealt(0, b.column("gram").to_numpy(), b.column("n").to_numpy(), 16)
-
-    far = context_shards(grams.select("gram", "n").mapInArrow(pack, _PACKED), total, near, depth)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(far_rows(b), (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()))], names=["d", "context", "symbol", "n", "diverges"])
-
-    rows = far.mapInArrow(spread, "d int, context long, symbol int, n long, diverges boolean")
-    return rows.unionByName(grams.sparkSession.createDataFrame([tuple(r) for r in zip(*(x.tolist() for x in near_rows(near)))], rows.schema))
-
-
-def suffix_tree(contexts: DataFrame, depth: int = DEPTH) -> tuple[ContextTree, np.ndarray]:
-    """:func:`tree_of` all rows at once, for small corpora."""
-    rows = contexts.toPandas()
-    return tree_of(*(rows[c].to_numpy() for c in ("d", "context", "symbol", "n", "diverges")), depth)
-
-
-def tree_of(d_: np.ndarray, key_: np.ndarray, symbol_: np.ndarray, n_: np.ndarray, diverges: np.ndarray, depth: int = DEPTH) -> tuple[ContextTree, np.ndarray]:
-    """The kept contexts' tree and log10 probabilities, nodes x symbols x 1."""
-    classes = np.zeros(256, dtype=np.int16)
-    shown = np.unique(symbol_[d_ == 0])
-    classes[shown] = np.arange(1, len(shown) + 1)
-    width = len(shown) + 1
-    context, symbol = backward((key_ << 8) | symbol_, depth, classes, width)
-    by_depth, keep = {}, [np.zeros(0, np.int64)] * (depth + 1)
-    for d in range(depth + 1):
-        here = d_ == d
-        by_depth[d] = context[here] // width ** (depth - d), symbol[here], n_[here]
-        if d:
-            keep[d] = np.unique(by_depth[d][0][diverges[here].astype(bool)])
-    for d in range(depth, 1, -1):  # a kept context keeps its suffixes
-        keep[d - 1] = np.union1d(keep[d - 1], keep[d] // width)
-    tree = ContextTree.of(keep[1:], classes, width)
-    p = np.zeros((tree.nodes, width), dtype=np.float32)
-    root = np.bincount(by_depth[0][1], by_depth[0][2], width).astype(float) + 0.5
-    p[0] = root / (root.sum() + 0.5 * (255 - len(shown)))
-    for d in range(1, depth + 1):
-        keys = tree.contexts[d - 1]
-        if not len(keys):
-            continue
-        first = tree.first[d - 1] + 1
-        above = p[tree.first[d - 2] + 1 + np.searchsorted(tree.contexts[d - 2], keys // width)] if d > 1 else np.repeat(p[:1], len(keys), axis=0)
-        context, symbol, n = by_depth[d]
-        at = np.minimum(np.searchsorted(keys, context), len(keys) - 1)
-        here = keys[at] == context
-        own = np.zeros((len(keys), width), dtype=np.float32)
-        own[at[here], symbol[here]] = n[here]
-        p[first : first + len(keys)] = (own + SMOOTHING * above) / (own.sum(axis=1, keepdims=True) + SMOOTHING)
-    return tree, np.log10(p, out=p)[:, :, None]
-
-
-def token_sums(tree: ContextTree, table: np.ndarray, prefixes: np.ndarray, bodies: list[bytes], count: dict[bytes, int], tokens: int, kinds: int, unseen: float) -> tuple[np.ndarray, ...]:
-    """Of each body: tokens, known tokens, unigram base score, model score."""
-    words = b" ".join(bodies).split(b" ")
-    c = np.fromiter(map(count.__getitem__, words), dtype=np.int64, count=len(words))
-    buffer, starts, ends = joined(bodies, tree.depth)
-    stop = np.flatnonzero(((buffer == 32) | (buffer == END[0])) & positions(starts, ends, len(buffer))) + 1
-    begin = np.concatenate([starts[:1], stop[:-1]])
-    first = np.searchsorted(stop, starts, "right")
-    begin[first] = starts
-    middle = np.minimum(begin + 2, stop)
-    halves = tree.segment_sums(buffer, np.stack([begin, middle], 1).ravel(), np.stack([middle, stop], 1).ravel(), table)[:, 0].reshape(-1, 2)
-    prefix = buffer[begin].astype(np.int64) * 256 + np.where(middle > begin + 1, buffer[middle - 1], 32)
-    listed = np.exp(_LN10 * np.maximum(halves[:, 0], -300)) * c / np.maximum(prefixes[prefix], 1)
-    spelled = np.exp(_LN10 * np.maximum(halves[:, 0] + halves[:, 1], -300))
-    simple = (c + 0.1) / (tokens + 0.1 * (kinds + 1))
-    own = np.log10(np.where(c > 0, 0.9 * ((1 - unseen) * listed + unseen * spelled) + 0.1 * simple, 0.5 * unseen * spelled + 0.5 * simple))
-    return np.diff(np.append(first, len(c))), np.add.reduceat((c > 0).astype(np.int64), first), np.add.reduceat(np.log10(simple), first), np.add.reduceat(own, first)
-
-
-def prefix_counts(totals: DataFrame) -> np.ndarray:
-    """Training tokens by the first two bytes of the word and its space: 65,536
-    numbers for any corpus."""
-    code = F.conv(F.hex(F.substring(F.concat("word", F.lit(b" ")), 1, 2)), 16, 10).cast("int")
-    rows = totals.groupBy(code.alias("code")).agg(F.sum("c").alias("c")).toPandas()
-    out = np.zeros(1 << 16, dtype=np.int64)
-    out[rows.code] = rows.c
-    return out
+        kind, sizes = group.column("kind")[0].as_py(), group.column("size").to_numpy()
+        get = lambda c: [_unpressed(x, k) for x, k in zip(group.column(c).to_pylist(), sizes.tolist())]
+        keys, first = np.concatenate([np.cumsum(x) for x in get("keys")]), np.concatenate(get("first"))
+        order = np.argsort(keys, kind="stable")
+        head = np.append(True, keys[order][1:] != keys[order][:-1])
+        nth = np.cumsum(head) - 1
+        total = np.bincount(nth, first[order]).astype(np.int64)
+        flag = np.zeros(len(keys), dtype=np.int64)
+        if kind in (NEAR, FAR):
+            saved = np.zeros(len(total), dtype=np.int64)
+            np.add.at(saved, nth, np.concatenate(get("second"))[order])
+            flag[order] = (saved >= DIVERGENCE * _PART)[nth]
+        else:
+            some = np.flatnonzero(first[order] > 0)
+            flag[order[some[np.append(True, nth[some][1:] != nth[some][:-1])]] if len(some) else []] = 1
+        answer = np.empty(len(keys), dtype=np.int64)
+        answer[order] = 2 * total[nth]
+        answer += flag
+        ends = np.cumsum(sizes)
+        rows = [(kind, s, p, k, _pressed(answer[e - k : e]), 0, 0) for s, p, k, e in zip(group.column("shard").to_pylist(), group.column("part").to_pylist(), sizes.tolist(), ends.tolist())]
+        rows.append((kind, group.column("shard")[0].as_py(), -1, 0, b"", int((total > 0).sum()), int((total == 1).sum())))
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()))], names=[x.split(" ")[0] for x in _ANSWER.split(", ")])
+
+    return questions.groupBy("kind", "shard").applyInArrow(run, _ANSWER)
+
+
+class Block:
+    """A block's tokens, what it asks, and what it makes of the answers."""
+
+    def __init__(self, row: dict, shards: int, tokens: int, answers: pa.Table | None = None):
+        self.part, self.tokens = row["part"], tokens
+        lengths, held = np.array(row["lengths"]), np.array(row["held"], dtype=bool)
+        idx = _unpressed(row["idx"], row["size"])
+        hashes = np.frombuffer(row["hashes"], dtype=np.uint64)
+        self.train, self.first = trained(lengths, held), np.zeros(len(idx), dtype=bool)
+        self.starts = np.cumsum(lengths) - lengths
+        self.first[self.starts] = True
+        self.shards, self.answers = shards, answers
+        own = np.bincount(idx[self.train], minlength=len(hashes))
+        self.word = Asked(hashes, shards)
+        self.place = self.word.at
+        self.word.own = np.bincount(self.place, own, len(self.word.keys)).astype(np.int64)
+        self.word.at = self.place[idx]
+        token = hashes[idx]
+        before = np.roll(token, 1)
+        before[self.first] = hashes[0]
+        self.pair = self.asked(_joined(before, token))
+        self.new_words, self.new_at = row["new_words"], np.flatnonzero(own[1:] == 0) + 1
+        self.idx, self.token, self.ended = idx, token, np.roll(idx, 1) * ~self.first
+        self.hashes = hashes
+
+    def asked(self, hashes: np.ndarray, where: np.ndarray | None = None) -> Asked:
+        """The distinct hashes of the tokens (of those in ``where``) and their training counts."""
+        found = Asked(hashes if where is None else hashes[where], self.shards)
+        found.own = np.bincount(found.at[self.train if where is None else self.train[where]], minlength=len(found.keys))
+        return found
+
+    def answer(self, kind: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sums and flags of all hashes of a kind."""
+        rows = self.answers.filter(pc.equal(self.answers.column("kind"), kind)).sort_by("shard")
+        parts = [_unpressed(x, k) for x, k in zip(rows.column("answer").to_pylist(), rows.column("size").to_pylist())]
+        found = np.concatenate([np.zeros(0, np.int64), *parts])
+        assert len(found) == size
+        return found >> 1, found & 1
+
+    def counts(self) -> Iterator[tuple]:
+        """First questions: words and pairs."""
+        yield from self.word.rows(self.part, WORD, self.word.own)
+        yield from self.pair.rows(self.part, PAIR, self.pair.own)
+
+    def near(self) -> None:
+        """What the answers to :meth:`counts` tell of each token."""
+        c, _ = self.answer(WORD, len(self.word.keys))
+        self.c = c[self.word.at]
+        self.of_near = self.place[self.ended]  # the word before, as a context
+        self.n1 = c[self.of_near]
+        c2, self.owns2 = self.answer(PAIR, len(self.pair.keys))
+        self.c2_of, self.c2 = c2, c2[self.pair.at]
+        # Two tokens as a context: the pair that ended one token earlier.
+        self.of_far = np.roll(self.pair.at, 1)
+        n2 = np.where(self.first, 0, c2[self.of_far])
+        self.may = (n2 >= LEAST) & (n2 * np.log2(np.maximum(self.n1, 1)) >= DIVERGENCE)
+        self.n2 = n2
+        pairs = _joined(self.pair.keys[self.of_far], self.token)
+        self.where = np.flatnonzero(self.may)
+        self.triple = self.asked(pairs, self.where)
+
+    def saved(self, asked: Asked, owns: np.ndarray, total: np.ndarray, context: np.ndarray, size: int, where: np.ndarray | None, n: np.ndarray, above: np.ndarray, n_above: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each context: its distinct followers that are this block's to count, and the bits they save."""
+        some = np.empty(len(asked.keys), dtype=np.int64)
+        some[asked.at] = np.arange(len(asked.at))  # a token for each hash
+        own = np.flatnonzero((owns > 0) & (total > 0))
+        t = some[own] if where is None else where[some[own]]
+        mine = n[t] >= LEAST
+        own, t = own[mine], t[mine]
+        bits = total[own] * np.log2(total[own] / n[t] * n_above[t] / above[t])
+        kinds, saved = np.bincount(context[t], minlength=size), np.zeros(size, dtype=np.int64)
+        np.add.at(saved, context[t], np.rint(bits * _PART).astype(np.int64))
+        return kinds, saved
+
+    def contexts(self) -> Iterator[tuple]:
+        """Second questions: contexts of one token, and triples."""
+        self.near()
+        size = len(self.word.keys)
+        kinds, saved = self.saved(self.pair, self.owns2, self.c2_of, self.of_near, size, None, self.n1, self.c, np.full(len(self.c), self.tokens))
+        yield from self.word.rows(self.part, NEAR, kinds, saved)
+        yield from self.triple.rows(self.part, TRIPLE, self.triple.own)
+
+    def far(self) -> Asked:
+        """The contexts of two tokens that may be kept."""
+        self.c3_of, self.owns3 = self.answer(TRIPLE, len(self.triple.keys))
+        found = Asked(self.pair.keys[self.of_far[self.where]], self.shards)
+        self.far_at = np.zeros(len(self.idx), dtype=np.int64)
+        self.far_at[self.where] = found.at
+        return found
+
+    def far_contexts(self) -> Iterator[tuple]:
+        """Third questions: contexts of two tokens."""
+        self.near()
+        found = self.far()
+        kinds, saved = self.saved(self.triple, self.owns3, self.c3_of, self.far_at, len(found.keys), self.where, self.n2, self.c2, self.n1)
+        yield from found.rows(self.part, FAR, kinds, saved)
+
+    def scores(self, known: int, once: int, spelling: Spelling) -> tuple[np.ndarray, ...]:
+        """Of each text: tokens, known tokens, base score, model score."""
+        self.near()
+        found = self.far()
+        base = np.log10((self.c + 0.1) / (self.tokens + 0.1 * (known + 1)))
+        unseen = (once + 1) / (self.tokens + 2)  # the share of new words
+        spelled = np.zeros(len(self.hashes))
+        spelled[self.new_at] = spelling.log10(self.new_words.split(b" ") if self.new_words else [])
+        # New words, in no count, only multiply what is left for them by their spelling.
+        more = np.where(self.c > 0, 0.0, np.log10(unseen) + spelled[self.idx])
+        p = np.where(self.c > 0, (1 - unseen) * self.c / max(self.tokens, 1), 1.0)
+        kinds, keep = self.answer(NEAR, len(self.word.keys))
+        kept = (keep[self.of_near] > 0) & (self.n1 >= LEAST)
+        p = np.where(kept, (np.maximum(self.c2 - DISCOUNT, 0) + DISCOUNT * kinds[self.of_near] * p) / np.maximum(self.n1, 1), p)
+        kinds, keep = self.answer(FAR, len(found.keys))
+        t = self.where[(keep[found.at] > 0) & kept[self.where]]
+        c3 = np.zeros(len(self.idx), dtype=np.int64)
+        c3[self.where] = self.c3_of[self.triple.at]
+        p[t] = (np.maximum(c3[t] - DISCOUNT, 0) + DISCOUNT * kinds[self.far_at[t]] * p[t]) / self.n2[t]
+        add = lambda x: np.add.reduceat(x, self.starts)
+        return add(np.ones(len(p), np.int64)), add((self.c > 0).astype(np.int64)), add(base), add(np.log10(p) + more)
 
 
 def score(docs: DataFrame, held_out) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``,
     learnt from the rows where the condition ``held_out`` is false."""
     spark = docs.sparkSession
-    rows = blocks(docs, held_out)
-    words = rows.where("kind = 'word'").select("part", F.col("body").alias("word"), "n")
-    totals = staged(words.groupBy("word").agg(F.sum("n").alias("c")))
-    one = totals.agg(F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("kinds"), F.count_if(F.col("c") == 1).alias("once")).first()
-    tokens, kinds = one.tokens or 0, one.kinds or 0
-    unseen = (one.once + 1) / (tokens + 2)  # the share of new words, by Good and Turing
-    short = rows.where("kind = 'near'")
-    total = short.agg(F.sum("n")).first()[0] or 0
-    near, shards = near_levels(short, total), max(16, total // SHARD_BYTES)
-    shared = spark.sparkContext.broadcast((near_rows(near), prefix_counts(totals)))
-    texts = rows.where("kind = 'doc'").select("part", "doc_id", "held_out", "body")
-    dictionary = words.select(F.col("part").alias("of_part"), "word").join(totals, "word").select("of_part", "word", "c")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, gram, n in block_grams(batches):
-            yield from _dealt(part, gram, n, shards)
-
-    packed = texts.select("part", "held_out", "body").mapInArrow(pack, _PACKED)
-    block_side = dictionary.unionByName(context_shards(packed, total, near), allowMissingColumns=True)
-    schema = texts.select("doc_id", "held_out").schema
+    state = bucketed(blocks(docs, held_out), "part")
+    tokens = state.agg(F.sum("trained")).first()[0] or 0
+    shards = max(16, tokens // SHARD_TOKENS)
+    # Byte triples: at most 256 ** 3 rows, whatever the corpus.
+    triples = state.select(F.explode(F.arrays_zip("grams", "gram_counts")).alias("x")).groupBy("x.grams").agg(F.sum("x.gram_counts").alias("n")).toPandas()
+    spelling = spark.sparkContext.broadcast(Spelling(triples.grams.to_numpy(np.int64), triples.n.to_numpy(np.int64)))
+    body = state.select("part", "lengths", "held", "size", "idx", "hashes", "new_words")
+    names = [x.split(" ")[0] for x in _QUESTION.split(", ")]
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+
+    def sent(rows: Iterator[tuple]) -> pa.Table:
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * len(kinds), kinds)], names=names)
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from sent(Block(row, shards, tokens).counts()).to_batches()
+
+    def ask(which: str):
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            return sent(getattr(Block(left.to_pylist()[0], shards, tokens, right), which)()) if left.num_rows else sent(iter(()))
+
+        return run
+
+    first = staged(answered(body.mapInArrow(counts, _QUESTION)))
+    one = first.where(f"kind = {WORD} and part = -1").agg(F.sum("distinct").alias("known"), F.sum("once").alias("once")).first()
+    known, once = one.known or 0, one.once or 0
+    to_block = ["part", "kind", "shard", "size", "answer"]
+    answers = first.where("part >= 0").select(*to_block)
+    for which in ("contexts", "far_contexts"):
+        asked = body.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(ask(which), _QUESTION)
+        answers = answers.unionByName(staged(answered(asked).where("part >= 0").select(*to_block)))
+    schema = docs.select("doc_id").schema.add("held_out", "boolean")
     for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")):
         schema = schema.add(name, kind)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        everywhere, prefixes = shared.value
-        known = right.filter(pc.is_valid(right.column("word")))
-        count = dict(zip(known.column("word").to_pylist(), known.column("c").to_pylist()))
-        own_rows = far_rows(right.filter(pc.is_valid(right.column("d"))))
-        tree, table = tree_of(*(np.concatenate(x) for x in zip(everywhere, own_rows)))
-        bodies, parts, chunk, size = left.column("body").to_pylist(), [], [], 0
-        for k, body in enumerate(bodies, 1):
-            chunk.append(body)
-            size += len(body)
-            if size >= _SCORE_BYTES or k == len(bodies):
-                parts.append(token_sums(tree, table, prefixes, chunk, count, tokens, kinds, unseen))
-                chunk, size = [], 0
-        n_tokens, n_known, base, own = (np.concatenate(x) for x in zip(*parts))
-        return pa.Table.from_arrays([left.column("doc_id"), left.column("held_out"), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(own), tokens)), pa.array(base), pa.array(own)], names=schema.names)
-
-    return texts.groupBy("part").cogroup(block_side.groupBy("of_part")).applyInArrow(run, schema)
+        if not left.num_rows:
+            return pa.Table.from_arrays([pa.array([], left.schema.field("ids").type.value_type), *(pa.array([], t) for t in (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))], names=schema.names)
+        ids = left.column("ids").chunk(0).flatten()
+        n_tokens, n_known, base, own = Block(left.drop_columns(["ids"]).to_pylist()[0], shards, tokens, right).scores(known, once, spelling.value)
+        return pa.Table.from_arrays([ids, left.column("held").chunk(0).flatten(), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(own), tokens)), pa.array(base), pa.array(own)], names=schema.names)
+
+    return state.select("part", "ids", "lengths", "held", "size", "idx", "hashes", "new_words").groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(run, schema)
 
 
 def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
