@@ -29,7 +29,6 @@ Only named columns are read.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratakit.llm.common import documents, shared_dir, staged
+from stratakit.llm.common import bucketed, documents, staged
 
 #: Training tokens after a context that it needs, in a corpus of any size.
 LEAST = 2
@@ -154,18 +153,6 @@ def blocks(docs: DataFrame, held_out) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def bucketed(df: DataFrame, by: str) -> DataFrame:
-    """``df`` written once as a table of the shared folder, bucketed by a column,
-    so that later groupings by it move none of its rows."""
-    spark, name = df.sparkSession, f"stratakit_{uuid.uuid4().hex}"
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").option("path", shared_dir(spark)).option("compression", "zstd").bucketBy(buckets, by).saveAsTable(name)
-    found = spark.table(name)
-    found.schema  # noqa: B018
-    spark.sql(f"drop table {name}")  # the files stay, and so does the plan that reads them
-    return found
-
-
 # ---- bytes of new words ---------------------------------------------------
 
 

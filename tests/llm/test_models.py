@@ -1,5 +1,6 @@
 """Language-model scoring, language identification, quality."""
 
+import functools
 import zlib
 from collections import Counter, defaultdict
 
@@ -192,6 +193,10 @@ def naive_kneser_ney(grams, order):
     levels = {order: Counter(grams)}
     for k in range(order - 1, 0, -1):
         levels[k] = Counter(g[1:] for g in levels[k + 1])
+    after = {k: defaultdict(dict) for k in levels}
+    for k, c in levels.items():
+        for g, v in c.items():
+            after[k][g[:-1]][g[-1]] = v
 
     def cuts(c):
         n = [0, *(sum(v == k for v in c.values()) for k in (1, 2, 3, 4))]
@@ -203,7 +208,7 @@ def naive_kneser_ney(grams, order):
     def p(g):
         k = len(g)
         below = p(g[1:]) if k > 1 else 1 / 256
-        own = {h[-1]: v for h, v in levels[k].items() if h[:-1] == g[:-1]}
+        own = after[k].get(g[:-1])
         if not own:
             return below
         total, d = sum(own.values()), discount[k]
@@ -216,11 +221,37 @@ def naive_kneser_ney(grams, order):
 def test_kneser_ney_against_dictionaries(spark):
     texts = [b"abracadabra", b"abraham", b"cadence and dance", b"barbara"]
     df = spark.createDataFrame([(bytearray(t),) for t in texts], "body binary")
-    tree, bits = quality.model(quality.kneser_ney(quality.gram_table(df, 3), 3), 3)
-    p = naive_kneser_ney([tuple((b"  " + t)[k : k + 3]) for t in texts for k in range(len(t))], 3)
-    for text in (b"abra", b"dance", b"zebra"):
-        want = -sum(np.log2(p(tuple((b"  " + text)[k : k + 3]))) for k in range(len(text)))
-        assert tree.sums([text], bits)[0, 0] == pytest.approx(want, rel=1e-3)
+    p = naive_kneser_ney([tuple((b"    " + t)[k : k + 5]) for t in texts for k in range(len(t))], 5)
+    asked = ["abra", "dance", "zebra", None, "", " \n\t", "a" * 3000, "\u000babra "]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(asked)], "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in quality.perplexities(docs, quality.kneser_ney(quality.gram_table(df))).collect()}
+    for i, t in enumerate(asked):
+        body = (t or "").strip(" \t\n\x0b\x0c\r").encode()
+        want = -sum(np.log2(p(tuple((b"    " + body)[k : k + 5]))) for k in range(len(body)))
+        assert found[i].n_bytes == len(body) and found[i].bits == pytest.approx(want, rel=1e-4)
+
+
+def test_quality_verdicts_against_brute_force(spark, monkeypatch):
+    """Perplexities, thresholds and verdicts of sf0.001, in many blocks."""
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 60_000)
+    docs, trusted = documents(spark, SF_DIR), {r.doc_id for r in quality.trusted_labels(spark, SF_DIR).collect()}
+    rows_ = {r.doc_id: (r.lang, (r.text or "").strip(" \t\n\x0b\x0c\r").encode()) for r in docs.collect()}
+    p = functools.cache(naive_kneser_ney([tuple((b"    " + t)[k : k + 5]) for i, (_, t) in rows_.items() if i in trusted for k in range(len(t))], 5))
+    bits = {i: -sum(np.log2(max(1e-12, p(tuple((b"    " + t)[k : k + 5])))) for k in range(len(t))) for i, (_, t) in rows_.items()}
+    by = defaultdict(list)
+    for i, (lang, t) in rows_.items():
+        if i in trusted and t:
+            by[lang].append(i), by[None].append(i)
+    mean = {g: sum(bits[i] for i in v) / sum(len(rows_[i][1]) for i in v) for g, v in by.items()}
+    group = lambda i: rows_[i][0] if len(by[rows_[i][0]]) >= quality.LEAST_TRUSTED else None
+    drawn = {i: (bits[i] + quality.PRIOR_BYTES * mean[group(i)]) / (len(t) + quality.PRIOR_BYTES) for i, (_, t) in rows_.items()}
+    limit = {g: sorted(drawn[i] for i in v)[int(np.ceil(quality.QUANTILE * len(v))) - 1] * quality.MARGIN for g, v in by.items()}
+    found = quality.classify(docs, quality.trusted_labels(spark, SF_DIR)).collect()
+    assert len(found) == len(rows_)
+    for r in found:
+        assert np.log2(r.perplexity) == pytest.approx(bits[r.doc_id] / len(rows_[r.doc_id][1]), rel=1e-3)
+        assert np.log2(r.threshold) == pytest.approx(limit[group(r.doc_id)], rel=1e-3)
+        assert r.kept == (drawn[r.doc_id] <= limit[group(r.doc_id)])
 
 
 def test_quality_keeps_trusted_prose_and_rejects_noise(spark):
