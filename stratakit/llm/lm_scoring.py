@@ -48,9 +48,9 @@ LEAST = 2
 DIVERGENCE = 16.0
 #: Taken off each count, for the suffix's distribution.
 DISCOUNT = 0.9
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 #: Training tokens for each shard of hashes.
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 END = b"\n"
 #: Bits saved are added up in whole numbers of this part of a bit.
 _PART = 256
@@ -205,7 +205,8 @@ class Asked:
     """Distinct hashes of one kind in a block, in the order in which it asks."""
 
     def __init__(self, hashes: np.ndarray, shards: int):
-        self.keys, self.at = np.unique(hashes, return_inverse=True)
+        self.keys, at = np.unique(hashes, return_inverse=True)
+        self.at = at.astype(np.int32)
         bits = min(64, 44 + shards.bit_length())
         self.short = self.keys >> np.uint64(64 - bits)  # enough to tell a shard's hashes apart
         shard = ((self.keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
@@ -278,6 +279,7 @@ class Block:
         before[self.first] = hashes[0]
         self.pair = self.asked(_joined(before, token))
         self.new_words, self.new_at = row["new_words"], np.flatnonzero(own[1:] == 0) + 1
+        idx = idx.astype(np.int32)
         self.idx, self.token, self.ended = idx, token, np.roll(idx, 1) * ~self.first
         self.hashes = hashes
 
