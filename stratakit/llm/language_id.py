@@ -29,6 +29,8 @@ SAMPLE_DOCS = 1000
 MOST_SAMPLED = 50_000
 #: A context needs this many occurrences, and this share of its language's bytes.
 LEAST_COUNT, LEAST_SHARE = 8, 1 / 20_000
+#: Numbers that the table of all languages' trees may hold (256 MB), whatever was sampled.
+MOST_CELLS = 1 << 26
 
 
 @dataclass
@@ -106,7 +108,7 @@ def fit(labelled: DataFrame, depth: int = DEPTH, docs: int = SAMPLE_DOCS) -> Ppm
     classes = np.zeros(256, dtype=np.uint8 if len(shown) < 256 else np.int16)
     classes[shown] = np.arange(1, len(shown) + 1)
     width = len(shown) + 1
-    tables, contexts = [], [np.zeros(0, np.int64)] * depth
+    tables, found = [], []
     for lang in langs:
         own = rows[rows.lang == lang]
         context, symbol = backward(own.gram.to_numpy(), depth, classes, width)
@@ -118,9 +120,16 @@ def fit(labelled: DataFrame, depth: int = DEPTH, docs: int = SAMPLE_DOCS) -> Ppm
             by_depth.append((pairs // width, pairs % width, count))
             if d:
                 keys, index = np.unique(pairs // width, return_inverse=True)
-                enough = np.bincount(index, count) >= max(LEAST_COUNT, LEAST_SHARE * n.sum())
-                contexts[d - 1] = np.union1d(contexts[d - 1], keys[enough])
+                total = np.bincount(index, count)
+                found.append((d, keys[total >= LEAST_COUNT], total[total >= LEAST_COUNT] / n.sum()))
         tables.append(by_depth)
+    # Contexts of all languages, rarer ones left out until the table of the sampled statistics keeps its size.
+    least = LEAST_SHARE
+    while True:
+        contexts = [np.unique(np.concatenate([keys[share >= least] for d, keys, share in found if d == k])) for k in range(1, depth + 1)]
+        if (1 + sum(map(len, contexts))) * width * len(langs) <= MOST_CELLS:
+            break
+        least *= 1.5
     tree = ContextTree.of(contexts, classes, width)
     bits = np.stack([-np.log2(probabilities(tree, t, len(shown))) for t in tables], axis=-1)
     return Ppm(langs, tree, bits.astype(np.float32))

@@ -175,6 +175,56 @@ def test_language_of_held_out_texts(spark):
     assert sum(r.ok for r in right) >= 0.97 * len(right) and all(0 <= r.score <= 1 for r in right)
 
 
+def naive_ppm(texts, kept, seen):
+    """Method C with exclusion over kept contexts, by dictionaries."""
+    after = defaultdict(Counter)
+    for t in texts:
+        padded = b"   " + t
+        for i in range(3, len(padded)):
+            for d in range(4):
+                after[padded[i - d : i]][padded[i]] += 1
+
+    @functools.cache
+    def p(context):
+        below = {b: 1 / 256 for b in range(256)} if not context else p(context[1:])
+        if context and context not in kept or not after[context]:
+            return below
+        nexts, total = after[context], sum(after[context].values()) + len(after[context])
+        rest = max(sum(q for b, q in below.items() if b not in nexts), 1e-12)
+        return {b: nexts[b] / total if b in nexts else len(nexts) / total * q / rest for b, q in below.items()}
+
+    def bits(text):
+        padded, out = b"   " + text, 0.0
+        for i in range(3, len(padded)):
+            d = next(d for d in range(3, -1, -1) if not d or padded[i - d : i] in kept)
+            out -= np.log2(p(padded[i - d : i])[padded[i]])
+        return out
+
+    return bits
+
+
+def test_ppm_code_lengths_against_dictionaries(spark, monkeypatch):
+    texts = {"a": ["abracadabra " * 12, "barbara and abraham " * 9], "b": ["los pueblos " * 14, "donde la luna " * 11, "ñandú"]}
+    docs = spark.createDataFrame([(i, lang, t) for i, (lang, t) in enumerate((k, t) for k, v in texts.items() for t in v)], "doc_id long, lang string, text string")
+    for most in (language_id.MOST_CELLS, 3000):
+        monkeypatch.setattr(language_id, "MOST_CELLS", most)
+        model = language_id.fit(docs)
+        assert model.bits.size <= most
+        shown = {int(c): b for b, c in enumerate(model.tree.classes.tolist()) if c}
+        kept = set()
+        for d, keys in enumerate(model.tree.contexts, 1):
+            for key in keys.tolist():
+                back = []
+                for _ in range(d):
+                    back.append(shown[key % model.tree.width])
+                    key //= model.tree.width
+                kept.add(bytes(back))
+        asked = [b"abra la luna", b"zz \xc3\xb1", b"", b"donde barbara"]
+        for k, lang in enumerate(model.langs):
+            bits = naive_ppm([t.encode() for t in texts[lang]], kept, shown)
+            assert model.tree.sums(asked, model.bits)[:, k] == pytest.approx([bits(t) for t in asked], rel=1e-4)
+
+
 def test_language_edge_rows(spark):
     docs = frame(spark)
     model = language_id.fit(docs.where("text is not null and lang is not null").select("doc_id", "lang", "text"))
