@@ -380,7 +380,8 @@ class Block:
 
 def score(docs: DataFrame, held_out) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``,
-    learnt from the rows where the condition ``held_out`` is false."""
+    and ``mean_score``, a token's; learnt from the rows where the condition
+    ``held_out`` is false."""
     spark = docs.sparkSession
     state = bucketed(blocks(docs, held_out), "part")
     tokens = state.agg(F.sum("trained")).first()[0] or 0
@@ -425,7 +426,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         n_tokens, n_known, base, own = Block(left.drop_columns(["ids"]).to_pylist()[0], shards, tokens, right).scores(known, once, spelling.value)
         return pa.Table.from_arrays([ids, left.column("held").chunk(0).flatten(), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(own), tokens)), pa.array(base), pa.array(own)], names=schema.names)
 
-    return state.select("part", "ids", "lengths", "held", "size", "idx", "hashes", "new_words").groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(run, schema)
+    return state.select("part", "ids", "lengths", "held", "size", "idx", "hashes", "new_words").groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(run, schema).withColumn("mean_score", F.col("score") / F.col("n_tokens"))
 
 
 def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

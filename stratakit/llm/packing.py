@@ -34,6 +34,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from stratakit.llm.common import documents, running_before, staged
@@ -198,11 +199,11 @@ def shares(sources: DataFrame, weights: dict | None) -> DataFrame:
     if weights is not None:
         if any(w < 0 for w in weights.values()):
             raise ValueError("a weight is below 0")
-        named = F.lit(0.0)
-        for name, w in weights.items():
-            named = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(named)
-        last = named <= 0
-        weight = F.when(last, weight).otherwise(named)
+        kind = T.StructType().add("w_", sources.schema["source"].dataType).add("named", "double")
+        named = sources.sparkSession.createDataFrame([(k, float(w)) for k, w in weights.items()], kind)
+        sources = sources.join(named, F.col("source").eqNullSafe(F.col("w_")), "left")
+        last = F.coalesce(F.col("named") <= 0, F.lit(True))
+        weight = F.when(last, weight).otherwise(F.col("named"))
     rows = sources.withColumn("last", last).withColumn("weight", weight)
     sums = rows.groupBy(F.col("last").alias("l_")).agg(F.sum("weight").alias("all_weights"))
     return rows.join(F.broadcast(sums), F.col("last") == F.col("l_")).select("source", "last", (F.col("weight") / F.col("all_weights")).alias("share"))

@@ -281,6 +281,15 @@ def test_kneser_ney_against_dictionaries(spark):
         assert found[i].n_bytes == len(body) and found[i].bits == pytest.approx(want, rel=1e-4)
 
 
+def test_hashed_values():
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(0, 2**40, 5000))
+    values = rng.random(len(keys))
+    asked = rng.integers(0, len(keys), 9000)
+    assert (quality.Hashed(keys, values).of(keys[asked]) == values[asked]).all()
+    assert len(quality.Hashed(keys[:0], values[:0]).of(keys[:0])) == 0
+
+
 def test_quality_verdicts_against_brute_force(spark, monkeypatch):
     """Perplexities, thresholds and verdicts of sf0.001, in many blocks."""
     monkeypatch.setattr(quality, "BLOCK_BYTES", 60_000)
