@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratakit.llm.common import bucketed, documents, staged
+from stratakit.llm.hashed import distinct
 
 #: Training tokens after a context that it needs, in a corpus of any size.
 LEAST = 2
@@ -205,8 +206,7 @@ class Asked:
     """Distinct hashes of one kind in a block, in the order in which it asks."""
 
     def __init__(self, hashes: np.ndarray, shards: int):
-        self.keys, at = np.unique(hashes, return_inverse=True)
-        self.at = at.astype(np.int32)
+        self.keys, self.at = distinct(hashes)
         bits = min(64, 44 + shards.bit_length())
         self.short = self.keys >> np.uint64(64 - bits)  # enough to tell a shard's hashes apart
         shard = ((self.keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratakit.llm import language_id, lm_scoring, quality
+from stratakit.llm import hashed, language_id, lm_scoring, quality
 from stratakit.llm.common import documents
 from stratakit.llm.context_tree import gram_counts
 from tests.conftest import SF_DIR
@@ -286,8 +286,8 @@ def test_hashed_values():
     keys = np.unique(rng.integers(0, 2**40, 5000))
     values = rng.random(len(keys))
     asked = rng.integers(0, len(keys), 9000)
-    assert (quality.Hashed(keys, values).of(keys[asked]) == values[asked]).all()
-    assert len(quality.Hashed(keys[:0], values[:0]).of(keys[:0])) == 0
+    assert (hashed.Hashed(keys, values).of(keys[asked]) == values[asked]).all()
+    assert len(hashed.Hashed(keys[:0], values[:0]).of(keys[:0])) == 0
 
 
 def test_quality_verdicts_against_brute_force(spark, monkeypatch):
