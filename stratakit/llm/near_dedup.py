@@ -300,5 +300,8 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()))
     groups = near_groups(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_of"), "component_id")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    first = rows.select("doc_id", "_row").join(groups, F.col("_row") == F.col("_of")).groupBy("component_id").agg(F.min_by("_row", order).alias("_kept"))
-    return rows.join(first.select("_kept"), F.col("_row") == F.col("_kept"), "left_semi").select(*docs.columns)
+    several = staged(rows.select("doc_id", "_row").join(groups, F.col("_row") == F.col("_of")))
+    first = several.groupBy("component_id").agg(F.min_by("_row", order).alias("_kept"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # The rows that go are the fewer ones: staged, so that Spark needn't shuffle texts where they are few.
+    gone = staged(several.join(first, "component_id").where("_of <> _kept").select("_of"))
+    return rows.join(gone, F.col("_row") == F.col("_of"), "left_anti").select(*docs.columns)
