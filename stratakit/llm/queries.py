@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from stratakit.llm.divergence import SQL as DIVERGENCE_SQL
+from stratakit.llm.divergence import op11_source_divergence
 from stratakit.llm.language_id import op8_ppm_language
 from stratakit.llm.lm_scoring import op1_suffix_tree_scores
 from stratakit.llm.media import op4_lossless_webp
@@ -24,6 +26,7 @@ QUERIES = {
     "op8_ppm_language": op8_ppm_language,
     "op9_surrogate_pii": op9_surrogate_pii,
     "op10_pruned_graph_neighbours": op10_pruned_graph_neighbours,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 #: SQL where it can express the whole result.  The other operators rest on
@@ -41,4 +44,5 @@ links as (select a.doc_id x, b.doc_id y from items a join items b on a.item = b.
 reach as (select doc_id, doc_id c from sized union select y, c from reach join links on doc_id = x),
 least_id as (select doc_id, min(c) component_id from reach group by doc_id)
 select doc_id, n::bigint n_shingles, component_id, doc_id = component_id kept from sized join least_id using (doc_id)""",
+    "op11_source_divergence": DIVERGENCE_SQL,
 }
