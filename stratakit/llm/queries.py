@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratakit.llm.alignment import op12_lockstep_alignment
 from stratakit.llm.divergence import SQL as DIVERGENCE_SQL
 from stratakit.llm.divergence import op11_source_divergence
 from stratakit.llm.language_id import op8_ppm_language
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_surrogate_pii": op9_surrogate_pii,
     "op10_pruned_graph_neighbours": op10_pruned_graph_neighbours,
     "op11_source_divergence": op11_source_divergence,
+    "op12_lockstep_alignment": op12_lockstep_alignment,
 }
 
 #: SQL where it can express the whole result.  The other operators rest on
