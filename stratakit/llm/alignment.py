@@ -44,8 +44,10 @@ from pyspark.sql.window import Window as W
 
 from stratakit.llm.common import documents, staged
 
-#: Bytes of text whose distinct words are encoded together, that are aligned together, and of one unit of a long text.
-SLAB_BYTES, BLOCK_BYTES, UNIT_BYTES = 32_000_000, 8_000_000, 4_000_000
+#: Bytes of text whose distinct words are encoded together, that are merged together, and of one unit of a long text.
+SLAB_BYTES, MERGE_BYTES, UNIT_BYTES = 12_000_000, 2_000_000, 2_000_000
+#: Bytes of text of a block's documents.
+BLOCK_BYTES = 8_000_000
 #: A tokens after which a document goes on in another lane.
 LANE = 256
 _B_BITS, _PAIR_BITS = 15, 31
@@ -250,14 +252,14 @@ def align(units: list[Unit], encoders: Encoders) -> None:
     ends = np.cumsum(chunks)
     upto, at = np.cumsum(size), 0
     while at < len(units):
-        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BLOCK_BYTES, side="right")))
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + MERGE_BYTES, side="right")))
         span = slice(int(ends[at] - chunks[at]), int(ends[to - 1]))
         keep = ~lost[unit[span]]
-        align_block(units, unit[span][keep], code[span][keep], a, b, encoders)
+        merge(units, unit[span][keep], code[span][keep], a, b, encoders)
         at = to
 
 
-def align_block(units: list[Unit], unit: np.ndarray, code: np.ndarray, a: Pieces, b: Pieces, encoders: Encoders) -> None:
+def merge(units: list[Unit], unit: np.ndarray, code: np.ndarray, a: Pieces, b: Pieces, encoders: Encoders) -> None:
     """``unit`` and ``code``: of each word, its unit and its number among ``a`` and ``b``."""
     if not len(unit):
         return

@@ -95,7 +95,7 @@ def test_odd_rows(spark, own):
 
 @pytest.mark.parametrize("sizes", [(60, 1, 30), (500, 8, 100), (10**6, 10**6, 10**6)])
 def test_units_lanes_and_blocks_change_nothing(own, monkeypatch, sizes):
-    for name, value in zip(("UNIT_BYTES", "LANE", "BLOCK_BYTES"), sizes):
+    for name, value in zip(("UNIT_BYTES", "LANE", "MERGE_BYTES"), sizes):
         monkeypatch.setattr(alignment, name, value)
     encoders, texts = Encoders(*tokenizer_paths()), [r[1] for r in cases.rows() if r[1]] + ODD
     units = [u for n, t in enumerate(texts) for u in units_of(n, t.encode())]
