@@ -15,6 +15,8 @@ from stratakit.llm.packing import op6_drr_packing
 from stratakit.llm.pii import op9_surrogate_pii
 from stratakit.llm.quality import op3_kneser_ney_quality
 from stratakit.llm.sharding import op5_fixed_virtual_slots
+from stratakit.llm.url_filter import SQL as URL_SQL
+from stratakit.llm.url_filter import op13_link_graph_url_filter
 
 QUERIES = {
     "op1_suffix_tree_scores": op1_suffix_tree_scores,
@@ -29,6 +31,7 @@ QUERIES = {
     "op10_pruned_graph_neighbours": op10_pruned_graph_neighbours,
     "op11_source_divergence": op11_source_divergence,
     "op12_lockstep_alignment": op12_lockstep_alignment,
+    "op13_link_graph_url_filter": op13_link_graph_url_filter,
 }
 
 #: SQL where it can express the whole result.  The other operators rest on
@@ -47,4 +50,5 @@ reach as (select doc_id, doc_id c from sized union select y, c from reach join l
 least_id as (select doc_id, min(c) component_id from reach group by doc_id)
 select doc_id, n::bigint n_shingles, component_id, doc_id = component_id kept from sized join least_id using (doc_id)""",
     "op11_source_divergence": DIVERGENCE_SQL,
+    "op13_link_graph_url_filter": URL_SQL,
 }
