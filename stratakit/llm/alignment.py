@@ -45,7 +45,7 @@ from pyspark.sql.window import Window as W
 from stratakit.llm.common import documents, staged
 
 #: Bytes of text whose distinct words are encoded together, that are merged together, and of one unit of a long text.
-SLAB_BYTES, MERGE_BYTES, UNIT_BYTES = 12_000_000, 2_000_000, 2_000_000
+SLAB_BYTES, MERGE_BYTES, UNIT_BYTES = 8_000_000, 2_000_000, 2_000_000
 #: Bytes of text of a block's documents.
 BLOCK_BYTES = 8_000_000
 #: A tokens after which a document goes on in another lane.
@@ -373,9 +373,10 @@ def blocks(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataFrame:
                     done, size, number = [], 0, number + 1
 
         units, held, at = [], 0, 0
-        for batch in batches:
-            kind = batch.schema.field("doc_id").type
-            for id_, data in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+        rows = (batch.slice(k, 256) for batch in batches for k in range(0, len(batch), 256))
+        for part in rows:
+            kind = part.schema.field("doc_id").type
+            for id_, data in zip(part.column("doc_id").to_pylist(), part.column("text").cast(pa.binary()).to_pylist()):
                 if not data:
                     done.append(Document(id_, False))
                     continue
