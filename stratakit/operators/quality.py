@@ -7,16 +7,19 @@ is quarantined.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratakit.functions.scalars import full_match, text_of
 
 # Rule kinds as the data contracts name them (fixed values).
 NOT_NULL, PATTERN, FOREIGN_KEY, RANGE, UNIQUE, SUM = "completude", "dominio", "referencial", "faixa", "unicidade", "consistencia"
+KINDS = (NOT_NULL, PATTERN, FOREIGN_KEY, RANGE, UNIQUE, SUM)
+log = logging.getLogger(__name__)
 #: Patterns of known columns.
 PATTERNS = {"id_municipio": r"\d{7}"}
 
@@ -81,6 +84,39 @@ class Checked:
         one = self.masked.agg(F.count(F.lit(1)).alias("input_rows"), F.count_if(self._any).alias("quarantined_rows"))
         return one.withColumn("pass_rate", pass_rate(F.col("input_rows") - F.col("quarantined_rows"), F.col("quarantined_rows")))
 
+    @property
+    def failures_in_quarantine(self) -> dict[str, Column]:
+        """What to count of :attr:`quarantine`, which has every failing row, while it
+        is written: the failures of each rule (equal ids are one rule)."""
+        ids = F.split("_quality_rule_ids", ",")
+        return {r.id: F.count_if(F.array_contains(ids, r.id)) for r in self.rules}
+
+
+@dataclass(frozen=True)
+class Written:
+    """What the passes that wrote valid rows and quarantine counted."""
+
+    valid_rows: int
+    quarantined_rows: int
+    failures: dict[str, int]
+
+
+def written(checked: Checked, valid: dict[str, int], quarantine: dict[str, int]) -> Written:
+    """From the counts of both passes; the quarantine's are ``rows`` and
+    :attr:`Checked.failures_in_quarantine`."""
+    return Written(valid["rows"], quarantine["rows"], {r.id: quarantine[r.id] for r in checked.rules})
+
+
+def metrics_of(spark: SparkSession, written: dict[str, Written]) -> DataFrame:
+    """``entity, valid_rows, quarantined_rows, pass_rate`` without reading any row."""
+    rows = spark.createDataFrame([(e, w.valid_rows, w.quarantined_rows) for e, w in written.items()], "entity string, valid_rows long, quarantined_rows long")
+    return rows.withColumn("pass_rate", pass_rate(F.col("valid_rows"), F.col("quarantined_rows")))
+
+
+def failures_of(spark: SparkSession, written: dict[str, Written]) -> DataFrame:
+    """``entity, rule_id, failures`` without reading any row."""
+    return spark.createDataFrame([(e, r, n) for e, w in written.items() for r, n in w.failures.items()], "entity string, rule_id string, failures long")
+
 
 def pass_rate(valid: Column, quarantined: Column) -> Column:
     return F.coalesce(F.try_divide(valid.cast("double"), valid + quarantined), F.lit(1.0))
@@ -92,9 +128,15 @@ def check(df: DataFrame, rules: Iterable[Rule], references: dict[str, DataFrame]
     Not null, pattern, and foreign key on an absent column fail every row; a
     range or sum on absent columns, a foreign key without its reference table,
     a pattern rule on a column without pattern, a rule without columns and an
-    unknown kind fail none.  ``kinds`` limits which kinds act.
+    unknown kind fail none; the last two are logged as warnings.  ``kinds`` limits
+    which kinds act.
     """
     references, rules = references or {}, tuple(rules)
+    for rule in rules:
+        if rule.kind not in KINDS:
+            log.warning("rule %s has the unknown kind %s and fails no row", rule.id, rule.kind)
+        elif not _columns(rule):
+            log.warning("rule %s names no column and fails no row", rule.id)
     masks: dict[str, Column] = {}
     out = df
     joined: dict[tuple[str, str], str] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
@@ -13,12 +14,14 @@ from pyspark.sql import functions as F
 from stratakit.operators.dedup import latest
 from stratakit.operators.enrich import enrich_municipality_targets, enrich_state_targets, prune, STUDENT_COLUMNS
 from stratakit.operators.indicator import local_indicator, state_indicator
-from stratakit.operators.quality import FOREIGN_KEY, Checked, check, metrics
+from stratakit.operators.quality import FOREIGN_KEY, Checked, check, failures_of, metrics_of, written
 from stratakit.operators.standardize import standardize_common
 from stratakit.plans.config import BATCH_SOURCES, ENTITIES, GOLD_RULES, Entity
 from stratakit.sources.readers import read_bronze, read_silver, read_source
 from stratakit.sources.sinks import write_bronze, write_gold, write_quarantine, write_silver
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Run:
@@ -105,32 +108,45 @@ def to_silver(df: DataFrame, entity: Entity, references: dict[str, DataFrame], r
     return check(out, entity.rules, references, run.at)
 
 
-def silver(spark: SparkSession, bronze: str, silver_path: str, quarantine: str, run: Run, names: Iterable[str] | str = "all", references: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Bronze to Silver, valid rows and quarantine; gives metrics by entity.
+def silver(
+    spark: SparkSession, bronze: str, silver_path: str, quarantine: str, run: Run, names: Iterable[str] | str = "all", references: dict[str, DataFrame] | None = None,
+    report: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
+    """Bronze to Silver, valid rows and quarantine; gives metrics by entity, and
+    ``report`` gets ``entity, rule_id, failures``.
 
-    Entities go in the configured order, so that references are ready; each
-    stage's masks are kept while its outputs are written.
+    Entities go in the configured order, so that references are ready; masks are
+    kept until all that need them are written.  The passes that write count what
+    the metrics say; no other pass does.
     """
-    found, done = dict(references or {}), {}
-    for name in selected(names, ENTITIES):
-        entity = ENTITIES[name]
-        raw = read_bronze(spark, f"{bronze}/{name}", run.years if entity.year_filter else None, entity.partition)
-        if not raw.columns:
-            continue
-        checked = to_silver(raw, entity, found, run)
-        checked.masked.persist(StorageLevel.MEMORY_AND_DISK)
-        write_silver(checked.valid, f"{silver_path}/{name}", run.batch_id, run.at, entity.partition, run.overwrite)
-        write_quarantine(checked.quarantine, f"{quarantine}/{name}", run.batch_id, "silver")
-        found[name], done[name] = checked.valid, checked
-    out = metrics(done) if done else spark.createDataFrame([], "entity string, valid_rows long, quarantined_rows long, pass_rate double")
-    out = spark.createDataFrame(out.collect(), out.schema)  # one row an entity
-    for checked in done.values():
-        checked.masked.unpersist()
-    return out
-
-
-def gold(spark: SparkSession, silver_path: str, gold_path: str, quarantine: str, run: Run, names: Iterable[str] | str = "all") -> DataFrame:
-    """Silver to the two indicators; gives metrics by dataset."""
+    found, kept, done = dict(references or {}), [], {}
+    try:
+        for name in selected(names, ENTITIES):
+            entity = ENTITIES[name]
+            raw = read_bronze(spark, f"{bronze}/{name}", run.years if entity.year_filter else None, entity.partition)
+            if not raw.columns:
+                continue
+            checked = to_silver(raw, entity, found, run)
+            kept.append(checked.masked.persist(StorageLevel.MEMORY_AND_DISK))
+            matching = {"unmatched": F.count_if(~F.col("_join_match"))} if "_join_match" in checked.masked.columns else {}
+            good = write_silver(checked.valid, f"{silver_path}/{name}", run.batch_id, run.at, entity.partition, run.overwrite, matching)
+            bad = write_quarantine(checked.quarantine, f"{quarantine}/{name}", run.batch_id, "silver", {**checked.failures_in_quarantine, **matching})
+            if unmatched := good.get("unmatched", 0) + bad.get("unmatched", 0):
+                log.warning("%s: %d rows match no row of %s", name, unmatched, entity.enrich_with)
+            found[name], done[name] = checked.valid, written(checked, good, bad)
+    finally:
+        for masked in kept:
+            masked.unpersist()
+    if report:
+        report(failures_of(spark, done))
+    return metrics_of(spark, done)
+
+
+def gold(
+    spark: SparkSession, silver_path: str, gold_path: str, quarantine: str, run: Run, names: Iterable[str] | str = "all", report: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
+    """Silver to the two indicators; gives metrics by dataset, and ``report`` gets
+    ``entity, rule_id, failures``.  Both are counted by the passes that write."""
     students, towns = read_silver(spark, f"{silver_path}/alunos", run.years), read_silver(spark, f"{silver_path}/municipio", None, None)
     done = {}
     for name in selected(names, GOLD_RULES):
@@ -139,11 +155,12 @@ def gold(spark: SparkSession, silver_path: str, gold_path: str, quarantine: str,
         checked = check(rows, GOLD_RULES[name], {"municipio": towns}, run.at)
         checked.masked.persist(StorageLevel.MEMORY_AND_DISK)
         dataset = f"indicador_crianca_alfabetizada_{name}"
-        write_gold(checked.valid, f"{gold_path}/{dataset}", run.batch_id, run.at, "ano", run.overwrite)
-        write_quarantine(checked.quarantine, f"{quarantine}/{dataset}", run.batch_id, "gold")
-        done[dataset] = checked
-    out = metrics(done)
-    out = spark.createDataFrame(out.collect(), out.schema)
-    for checked in done.values():
-        checked.masked.unpersist()
-    return out
+        try:
+            good = write_gold(checked.valid, f"{gold_path}/{dataset}", run.batch_id, run.at, "ano", run.overwrite)
+            bad = write_quarantine(checked.quarantine, f"{quarantine}/{dataset}", run.batch_id, "gold", checked.failures_in_quarantine)
+        finally:
+            checked.masked.unpersist()
+        done[dataset] = written(checked, good, bad)
+    if report:
+        report(failures_of(spark, done))
+    return metrics_of(spark, done)

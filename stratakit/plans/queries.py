@@ -16,7 +16,7 @@ from stratakit.operators import dedup, enrich, indicator, quality, reports, stan
 from stratakit.operators.quality import FOREIGN_KEY, NOT_NULL, PATTERN, RANGE, SUM, UNIQUE, Rule
 from stratakit.plans import jobs
 from stratakit.plans.config import DOCUMENTED_RULES
-from stratakit.sources import readers, sinks
+from stratakit.sources import readers, schemas, sinks
 from stratakit.sources.scratch import scratch_dir
 from stratakit.streaming import events as ev
 from stratakit.streaming import jobs as stream_jobs
@@ -119,9 +119,9 @@ LOCAL = f"""{STUDENTS}, {LOCAL_TARGETS}, {TOWNS}, ind as (select ano, id_municip
 
 @query("select o_orderkey, o_custkey, o_totalprice, year(o_orderdate)::int ano from orders where year(o_orderdate) in (1996, 1997) and o_totalprice > 1000")
 def scan_year_filter(spark, sf_dir):
-    """Years, one more condition, and columns, pushed towards the scan."""
-    rows = table(spark, sf_dir, "orders").withColumn("ano", F.year("o_orderdate"))
-    return readers.scan(rows, ["o_orderkey", "o_custkey", "o_totalprice", "ano"], [1996, 1997], "ano", "o_totalprice > 1000")
+    """Years of a date, one more condition, and columns, all taken by the scan."""
+    rows = readers.scan(table(spark, sf_dir, "orders"), None, [1996, 1997], extra="o_totalprice > 1000", date_column="o_orderdate")
+    return rows.select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("ano"))
 
 
 @query("select o_orderkey, o_totalprice, year(o_orderdate)::int ano from orders where year(o_orderdate) in (1996, 1997)")
@@ -140,10 +140,35 @@ def scan_limit(spark, sf_dir):
     return readers.scan(readers.scan(readers.scan(rows, limit=0), limit=-1), limit=10).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("select count(*) n_rows from orders where false")
+@query("select o_orderkey, o_totalprice, year(o_orderdate)::int ano from orders where year(o_orderdate) in (1996, 1997)")
 def scan_missing_source(spark, sf_dir):
-    """Years and a limit over a source that isn't there."""
-    return readers.read_source(spark, f"{sf_dir}/absent.parquet", None, [2024], limit=5).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Years of two sources of one table, one of which isn't there."""
+    schema = table(spark, sf_dir, "orders").schema
+    sources = [readers.read_source(spark, f"{sf_dir}/{name}.parquet", schema, [1996, 1997], date_column="o_orderdate") for name in ("absent", "orders")]
+    return schemas.union_fragments(sources).select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("ano"))
+
+
+@query("""select o_orderkey::bigint o_orderkey, year(o_orderdate)::int ano, case when year(o_orderdate) > 1995 then o_orderpriority end o_orderpriority,
+  case when year(o_orderdate) <= 1995 then o_orderstatus end o_orderstatus, case when year(o_orderdate) > 1995 then 3000000000 else 0 end + o_custkey code from orders""")
+def bronze_fragments(spark, sf_dir):
+    """Partitions of one Bronze table whose columns differ: later years have one
+    column more and one less, and their code, an int before, is a long."""
+    path, orders = f"{scratch_dir(spark)}/orders", table(spark, sf_dir, "orders").withColumn("ano", F.year("o_orderdate"))
+    old = orders.where("ano <= 1995").select(F.col("o_orderkey").cast("int").alias("o_orderkey"), "ano", "o_orderstatus", F.col("o_custkey").cast("int").alias("code"))
+    new = orders.where("ano > 1995").select("o_orderkey", "ano", "o_orderpriority", (F.lit(3000000000) + F.col("o_custkey")).alias("code"))
+    for rows in (old, new):
+        sinks.write_table(rows, path, "ano")
+    return readers.read_bronze(spark, path).select("o_orderkey", "ano", "o_orderpriority", "o_orderstatus", "code")
+
+
+@query("""with o as (select o_orderkey, o_totalprice, year(o_orderdate)::int ano from orders)
+select 'a' fragment, o_orderkey, o_totalprice, null::int ano from o where o_orderkey % 2 = 0 union all select 'b', o_orderkey, o_totalprice::int::double, ano from o where o_orderkey % 2 = 1""")
+def fragments_union(spark, sf_dir):
+    """Fragments with other columns and types under one schema."""
+    orders = table(spark, sf_dir, "orders")
+    a = orders.where("o_orderkey % 2 = 0").select(F.lit("a").alias("fragment"), "o_orderkey", "o_totalprice")
+    b = orders.where("o_orderkey % 2 = 1").select(F.year("o_orderdate").alias("ano"), F.bround("o_totalprice").cast("int").alias("o_totalprice"), F.col("o_orderkey").cast("int").alias("o_orderkey"), F.lit("b").alias("fragment"))
+    return schemas.union_fragments([a, b])
 
 
 @query(f"select n_nationkey, n_name, n_regionkey, '{AT}' _ingestion_timestamp, 'nation' _source_table, '{BATCH}' _batch_id from nation")
@@ -403,6 +428,41 @@ def upsert_parquet_table(spark, sf_dir):
     return spark.read.schema("o_orderkey long, ano int, o_totalprice double, o_orderstatus string, o_orderpriority string").parquet(path)
 
 
+def _bucketed_orders(spark, sf_dir):
+    """The same table with 16 buckets a year, after both upserts."""
+    base, batch = _upsert_sides(spark, sf_dir)
+    path = f"{scratch_dir(spark)}/orders"
+    for rows in (base, batch):
+        upsert.upsert_parquet(rows, path, ["o_orderkey", "ano"], [], ("o_orderstatus",), "ano", buckets=16)
+    return path
+
+
+@query(UPSERTED)
+def upsert_buckets(spark, sf_dir):
+    """Upserts into buckets of the key: the same rows as without them."""
+    return readers.read_silver(spark, _bucketed_orders(spark, sf_dir), None).select("o_orderkey", "ano", "o_totalprice", "o_orderstatus", "o_orderpriority")
+
+
+@query(f"""with t as ({UPSERTED}), k as (select max(o_orderkey) k from t)
+select 1::bigint parts_rewritten, 0::bigint rows_lost, (select count(*) from t) n_rows, sum(case when o_orderkey = k then -1 else o_totalprice end) total from t, k""")
+def upsert_buckets_touched(spark, sf_dir):
+    """One key upserted: by the files' names, one bucket of one year is new and
+    all other files are as they were."""
+    path = _bucketed_orders(spark, sf_dir)
+    place = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("place")
+    read = lambda: schemas.read_table(spark, path)
+    files = lambda: read().select(place, F.col("_metadata.file_name").alias("file")).distinct()
+    kept = f"{scratch_dir(spark)}/files"
+    files().write.parquet(kept)
+    last = read().agg(F.max_by(F.struct("o_orderkey", "ano"), "o_orderkey").alias("k"), F.count(F.lit(1)).alias("n")).first()
+    one = spark.createDataFrame([(last.k.o_orderkey, last.k.ano, -1.0)], "o_orderkey long, ano int, o_totalprice double")
+    upsert.upsert_parquet(one, path, ["o_orderkey", "ano"], [], (), "ano", buckets=16)
+    new = files().join(spark.read.schema("place string, file string").parquet(kept), ["place", "file"], "anti")
+    parts = new.agg(F.countDistinct("place").alias("parts_rewritten"), F.lit(1).alias("one"))
+    sums = read().agg((F.lit(last.n) - F.count(F.lit(1))).alias("rows_lost"), F.count(F.lit(1)).alias("n_rows"), F.sum("o_totalprice").alias("total"), F.lit(1).alias("one"))
+    return parts.join(sums, "one").drop("one")
+
+
 # ---- events ---------------------------------------------------------------
 
 _EVENT = T.StructType().add("ano", "integer").add("id_aluno", "string").add("proficiencia", "double")
@@ -550,7 +610,7 @@ def job_silver_metrics(spark, sf_dir):
 def job_silver_quarantine(spark, sf_dir):
     """Targets of a town that isn't known, as the Silver job puts them aside."""
     base, _ = _to_silver(spark, sf_dir)
-    rows = spark.read.option("mergeSchema", "true").parquet(f"{base}/quarantine/meta_municipio")
+    rows = readers.read_silver(spark, f"{base}/quarantine/meta_municipio", None)
     return rows.select(F.col("ano").cast("int").alias("ano"), "id_municipio", "rede", "taxa_alfabetizacao", "_quality_rule_ids", "_quality_messages", "_quarantined_at", "_quarantine_layer", "_silver_batch_id")
 
 

@@ -10,16 +10,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratakit.sources.schemas import kept, read_table, without_buckets
+
 #: Errors of a source that isn't there, or has no data file yet.
 MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 log = logging.getLogger(__name__)
 
 
-def scan(df: DataFrame, columns: Iterable[str] | None = None, years: Iterable[int] | None = None, year_column: str = "ano", extra: Column | str | None = None, limit: int | None = None) -> DataFrame:
+def in_years(column: str, years: Iterable[int]) -> Column:
+    """Whether a date or timestamp lies in one of the years: a range for each run
+    of years, which a scan takes, unlike a year computed from the column."""
+    condition, run = F.lit(False), []
+    for y in [*sorted(set(years)), None]:
+        if run and (y is None or y != run[-1] + 1):
+            first, after = (F.make_date(F.lit(x), F.lit(1), F.lit(1)) for x in (run[0], run[-1] + 1))
+            condition, run = condition | (F.col(column) >= first) & (F.col(column) < after), []
+        run.append(y)
+    return condition
+
+
+def scan(
+    df: DataFrame, columns: Iterable[str] | None = None, years: Iterable[int] | None = None, year_column: str = "ano", extra: Column | str | None = None, limit: int | None = None,
+    date_column: str | None = None,
+) -> DataFrame:
     """A source's rows: years, one more condition, columns, and a limit if it is
-    above zero.  All of it is left to the optimiser to push into the scan."""
+    above zero.  All of it is left to the optimiser to push into the scan.  A
+    source without a year column can give a date instead: ``date_column``."""
     if years:
-        df = df.where(F.col(year_column).isin(*years))
+        df = df.where(in_years(date_column, years) if date_column else F.col(year_column).isin(*years))
     if extra is not None:
         df = df.where(extra)
     if columns:
@@ -29,14 +47,16 @@ def scan(df: DataFrame, columns: Iterable[str] | None = None, years: Iterable[in
 
 def read_source(
     spark: SparkSession, source: str, schema: T.StructType | str | None = None, years: Iterable[int] | None = None, year_column: str = "ano",
-    limit: int | None = None, extra: Column | str | None = None, source_format: str = "parquet", **options: str,
+    limit: int | None = None, extra: Column | str | None = None, source_format: str = "parquet", date_column: str | None = None, **options: str,
 ) -> DataFrame:
     """Scan of a source (any Spark format); a missing one is empty, without
-    columns unless a schema is given.  Years apply where their column exists."""
+    columns unless a schema is given.  Years apply where their column exists:
+    that of the year, or else that of the date."""
     raw = read_or_empty(spark, source, schema, source_format, **options)
     if not raw.columns:
         return raw
-    return scan(raw, None, years if year_column in raw.columns else None, year_column, extra, limit)
+    by_date = date_column if year_column not in raw.columns and date_column in raw.columns else None
+    return scan(raw, None, years if by_date or year_column in raw.columns else None, year_column, extra, limit, by_date)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str | None = None, source_format: str = "parquet", **options: str) -> DataFrame:
@@ -53,14 +73,20 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str | N
 
 
 def read_bronze(spark: SparkSession, path: str, years: Iterable[int] | None = None, year_column: str | None = "ano", schema: T.StructType | str | None = None) -> DataFrame:
-    """Tolerant read; partitions are pruned by year."""
-    df = read_or_empty(spark, path, schema)
+    """Tolerant read under the table's own schema, so that columns and wider
+    types that came later are there; partitions are pruned by year."""
+    try:
+        df = without_buckets(read_table(spark, path, schema))
+    except AnalysisException as e:
+        if e.getCondition() not in MISSING:
+            raise
+        df = spark.createDataFrame([], schema if schema is not None else kept(spark, path) or T.StructType([]))
     return scan(df, None, years if year_column in df.columns else None, year_column or "ano")
 
 
 def read_silver(spark: SparkSession, path: str, years: Iterable[int] | None = None, year_column: str | None = "ano") -> DataFrame:
     """Strict read: a missing table is an error."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    df = without_buckets(read_table(spark, path))
     return scan(df, None, years if year_column in df.columns else None, year_column or "ano")
 
 

@@ -103,12 +103,12 @@ def valid_rows(done: DataFrame, schema: T.StructType, ingested_at: str, year_col
         own = F.try_variant_get("_body", f"$.{f.name}", "string")
         if f.name == year_column:
             own = F.coalesce(own, F.try_variant_get("_env", f"$.{f.name}", "string"))
-        if isinstance(f.dataType, T.IntegralType):
-            own = own.try_cast("double")
+        if isinstance(f.dataType, T.IntegralType):  # as it stands, or else from a number with a point
+            return F.coalesce(own.try_cast(f.dataType), own.try_cast("double").try_cast(f.dataType)).alias(f.name)
         return own.try_cast(f.dataType).alias(f.name)
 
     known = [f.name for f in schema]
-    rest = F.map_filter(F.from_json(F.to_json("_body"), "map<string,string>"), lambda k, _: ~k.isin(*known))
+    rest = F.map_filter(F.try_variant_get("_body", "$", "map<string,string>"), lambda k, _: ~k.isin(*known))
     found = computed(done.where(F.col("_rule").isNull()), _rest=rest)
     return found.select(
         *[value(f) for f in schema],
