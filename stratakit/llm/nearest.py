@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by robust-pruned directed graphs.
 
-Vectors are dealt into shards of up to ``SHARD_BYTES``: by the power of two of
+Vectors are dealt into shards of up to ``SHARD_ROWS`` and ``SHARD_BYTES``: by the power of two of
 their largest component, and by hash within one.  In each shard a graph is
 built: a greedy search proposes neighbours for a vector, and pruning with
 relaxed distances keeps diverse edges, both ways.  Every query runs a beam
@@ -9,6 +9,11 @@ precision rank what the shards return.  Queries meet a shard in blocks of the
 same order of size as its index, so an index is copied once for each such block
 and not for every few queries.
 
+How wide a beam must be depends on the vectors: a few hundred nodes do where they
+lie in clusters, and most of a shard where all directions are alike.  So each
+shard measures, against brute force over itself, what its graph finds for a
+sample of its vectors, and keeps the beam that reaches ``GOAL`` with its index.
+
 Inner product is brought to Euclidean distance by one more coordinate that
 gives all vectors of a shard its largest norm.  As norms of one shard are of one
 order, a few very long vectors don't blur the distances of the others.  Equal
@@ -16,7 +21,8 @@ vectors are one node that carries its least ids: as many as any answer can use.
 
 Rows: a null ``vec_id``; null, empty or zero vectors; and those with null or
 non-finite components, or of another length than most, take no part.  Rows
-repeated in full count once.  Ties go to the smaller ``vec_id``.  An empty
+repeated in full count once; rows that share the query's id with another vector
+are left out of its answers with it, and are else rows like others.  Ties go to the smaller ``vec_id``.  An empty
 table gives an empty result.  Only named columns are read.
 """
 
@@ -33,9 +39,14 @@ from stratakit.llm.common import staged
 K = 20
 #: Bytes of vectors in a shard, and of queries in a block.
 SHARD_BYTES, BLOCK_BYTES = 1 << 28, 1 << 27
+#: Rows of a shard: in larger graphs of this degree the same beam finds less.
+SHARD_ROWS = 16384
 #: Shards of small tables, for graphs to be built side by side; a shard isn't made smaller than ``SMALL_SHARD`` rows for that.
 LEAST_SHARDS, SMALL_SHARD = 4, 4096
-DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 28, 48, 112, 1.2
+DEGREE, BUILD_BEAM, ALPHA = 48, 96, 1.2
+#: The narrowest beam of a search; a shard whose beam finds less than ``GOAL`` of the
+#: nearest of ``SAMPLE`` of its own vectors gets one twice as wide, and so on.
+SEARCH_BEAM, GOAL, SAMPLE = 112, 0.97, 64
 ENTRIES, WIDTH = 8, 4
 _CHUNK = 256
 
@@ -149,6 +160,22 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alp
     return graph, entries
 
 
+def needed_beam(x: np.ndarray, graph: np.ndarray, entries: np.ndarray, k: int = K + 1, seed: int = 6) -> int:
+    """The beam with which a search of this graph finds ``GOAL`` of the ``k``
+    nearest of a sample of its own vectors."""
+    own = np.random.default_rng(seed).permutation(len(x))[:SAMPLE]
+    k, beam = min(k, len(x)), SEARCH_BEAM
+    exact = x[own] @ x.T
+    least = -np.partition(-exact, k - 1, axis=1)[:, k - 1 : k]  # of the k nearest; ties are as good
+    while beam < len(x):
+        found, _ = beam_search(x, graph, entries, x[own], beam)
+        hit = np.take_along_axis(exact, np.maximum(found, 0), 1) >= least * (1 - 1e-6 * np.sign(least))
+        if (np.minimum((hit & (found >= 0)).sum(axis=1), k)).mean() >= GOAL * k:
+            break
+        beam *= 2
+    return min(beam, len(x))
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """``vec_id, vector`` of the rows that take part."""
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")).where("vec_id IS NOT NULL AND size(vector) > 0")
@@ -189,14 +216,16 @@ def dealt(nodes: DataFrame, shard_rows: int) -> tuple[DataFrame, int]:
 
 
 def indexed(shards: DataFrame) -> DataFrame:
-    """One row for each shard: its ids, vectors, graph and entry nodes."""
+    """One row for each shard: the beam to search it with, its ids, vectors, graph
+    and entry nodes."""
 
     def run(group: pa.Table) -> pa.Table:
         v = _matrix(group.column("vector"))
         graph, entries = build_graph(augmented(v))
-        return pa.table({"shard": group.column("shard")[:1], "ids": pa.array([group.column("rep").to_numpy().tobytes()], pa.binary()), "vectors": pa.array([v.tobytes()], pa.binary()), "graph": pa.array([graph.tobytes()], pa.binary()), "entries": pa.array([entries.astype(np.int64).tobytes()], pa.binary())})
+        beam = needed_beam((v / np.abs(v).max()).astype(np.float32), graph, entries)
+        return pa.table({"shard": group.column("shard")[:1], "beam": pa.array([beam], pa.int32()), "ids": pa.array([group.column("rep").to_numpy().tobytes()], pa.binary()), "vectors": pa.array([v.tobytes()], pa.binary()), "graph": pa.array([graph.tobytes()], pa.binary()), "entries": pa.array([entries.astype(np.int64).tobytes()], pa.binary())})
 
-    return shards.groupBy("shard").applyInArrow(run, "shard int, ids binary, vectors binary, graph binary, entries binary")
+    return shards.groupBy("shard").applyInArrow(run, "shard int, beam int, ids binary, vectors binary, graph binary, entries binary")
 
 
 def searched(index: DataFrame, queries: DataFrame, shards: int, blocks: int, keep: int) -> DataFrame:
@@ -214,7 +243,7 @@ def searched(index: DataFrame, queries: DataFrame, shards: int, blocks: int, kee
             x, asked_v, asked_q = (v / np.abs(v).max()).astype(np.float32), _matrix(asked.column("vector")), asked.column("q").to_numpy()
             for at in range(0, len(asked_q), _CHUNK):
                 own = asked_v[at : at + _CHUNK]
-                found, _ = beam_search(x, graph, entries, (own / np.abs(own).max(axis=1, keepdims=True)).astype(np.float32), SEARCH_BEAM)
+                found, _ = beam_search(x, graph, entries, (own / np.abs(own).max(axis=1, keepdims=True)).astype(np.float32), one.column("beam")[0].as_py())
                 exact = np.einsum("qd,qmd->qm", own, v[np.maximum(found, 0)])
                 exact[found < 0] = -np.inf
                 order = np.lexsort((ids[np.maximum(found, 0)], -exact), axis=1)[:, :keep]
@@ -242,7 +271,7 @@ def nearest(vectors: DataFrame, is_query, k: int = K, shard_rows: int | None = N
     nodes = staged(least.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
     size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
     bytes_each = 8 * (size.dim or 1)
-    by_shard, shards = dealt(nodes, shard_rows or max(1, min(SHARD_BYTES // bytes_each, max(SMALL_SHARD, -(-size.n // LEAST_SHARDS)))))
+    by_shard, shards = dealt(nodes, shard_rows or max(1, min(SHARD_BYTES // bytes_each, SHARD_ROWS, max(SMALL_SHARD, -(-size.n // LEAST_SHARDS)))))
     asked = staged(rows.where(is_query).distinct().join(nodes.select("vector", "rep"), "vector").select(F.col("vec_id").alias("query_id"), "rep"))
     which = asked.select("rep").distinct()
     blocks = max(1, -(-which.count() // (query_block or max(1, BLOCK_BYTES // bytes_each))))

@@ -293,6 +293,20 @@ def test_one_very_long_vector_among_usual_ones(spark):
     assert recall(found, brute_nearest([(i, np.array(v)) for i, v in rows], 20)) >= 0.95
 
 
+@pytest.mark.parametrize("kind,n", [("gauss", 5_000), ("clusters", 14_000)])
+def test_recall_where_a_beam_of_the_least_width_would_fail(spark, kind, n):
+    """One shard of 64 dimensions: all directions alike, or hundreds of clusters."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(n, 64)) if kind == "gauss" else rng.normal(size=(n // 200, 64))[rng.integers(0, n // 200, n)] + 0.3 * rng.normal(size=(n, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = nearest.nearest(df, F.col("vec_id") % 100 == 0, shard_rows=n).collect()
+    asked = np.arange(0, n, 100)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    want = {int(q): [(int(i), 0) for i in np.argsort(-s)[:20]] for q, s in zip(asked, scores)}
+    assert recall(found, want) >= 0.95
+
+
 @pytest.mark.parametrize("n", [1, 2, 5])
 def test_few_vectors(spark, n):
     df = spark.createDataFrame([(i * 20, [1.0, float(i)]) for i in range(n)], "vec_id long, embedding array<float>")
