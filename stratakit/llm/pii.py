@@ -9,7 +9,9 @@ drawn, and a grouped check over the distinct names of all documents redraws
 those that met, with more syllables as draws go on, until every surrogate
 stands for one name.  The same entity gets the same surrogate in all documents,
 in whatever format it stands (a phone number with or without its ``+1``); a
-surname alone gets the surname's.
+surname alone gets the surname's.  A first name's gender is that of the titles
+before it in most rows of all documents (as many: female; none: neither), so it is
+one name after any title.
 
 The key is an argument, or the Spark setting ``KEY_SETTING``; where neither is
 given, each session draws a random key, so that nobody can turn surrogates back
@@ -39,8 +41,8 @@ from pyspark.sql import types as T
 
 from stratakit.llm.common import documents, staged
 
-#: Spark setting that holds the secret key.
-KEY_SETTING = "spark.stratakit.pii.key"
+#: Spark setting that holds the secret key; Spark redacts values of settings so named in its pages and logs.
+KEY_SETTING = "spark.stratakit.pii.secret"
 _SESSION_KEYS: dict[str, str] = {}
 
 # Titles before names, by gender.
@@ -63,7 +65,9 @@ ENDINGS = {
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_TITLE = "|".join(t for ts in TITLES.values() for t in ts)
+#: Titles in capitals, before names in capitals; shorter ones are more often something else.
+_CAPITALS = {t.upper(): t for ts in TITLES.values() for t in ts if t not in ("Ms", "Sr") and t.upper() != t}
+_TITLE = "|".join([*(t for ts in TITLES.values() for t in ts), *_CAPITALS])
 _MAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _ACCESS = r"AKIA[0-9A-Z]{16}"
 _BEFORE_SECRET = r"(?i:\b(?:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|token)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)"
@@ -81,6 +85,7 @@ PATTERN = re.compile(
     rf"|\b(?P<iban>{_IBAN})\b"
     rf"|\b(?P<title>{_TITLE})\.? (?P<name>{_NAME}(?: {_NAME})?)"
 )
+_OWNED = re.compile(r"(?<=\w)'[sS]?$")
 _HINT = re.compile(rf"[0-9@=:]|(?:{_TITLE})")
 
 
@@ -133,12 +138,19 @@ def luhn(digits: str) -> int:
     return -sum(sum(divmod(2 * int(d), 10)) if i % 2 == 0 else int(d) for i, d in enumerate(reversed(digits))) % 10
 
 
+def iban_check(value: str) -> int:
+    """The check digits of an IBAN, whichever it has."""
+    return 98 - int("".join(str(int(c, 36)) for c in f"{value[4:]}{value[:2]}00")) % 97
+
+
 def structured(kind: str, value: str, key: str) -> str:
     """The surrogate of a canonical value of a structured type."""
     if kind == "email":
         local, domain = value.split("@")
         labels = domain.split(".")
         kept = 2 if labels[-2] == "example" else 1
+        if kept == len(labels):  # a domain that nobody owns stays
+            return f"{recoded(local, by_class(local), key, kind, domain)}@{domain}"
         body = f"{local}@{'.'.join(labels[:-kept])}"
         return ".".join([recoded(body, by_class(body), key, kind, *labels[-kept:]), *labels[-kept:]])
     if kind == "ip":
@@ -160,7 +172,9 @@ def structured(kind: str, value: str, key: str) -> str:
     if kind == "key":
         return value[:4] + recoded(value[4:], [DIGITS + UPPER] * 16, key, kind)
     if kind == "iban":
-        return value[:2] + recoded(value[2:], by_class(value[2:]), key, kind)
+        off = (int(value[2:4]) - iban_check(value)) % 100  # as with cards
+        body = recoded(value[4:], by_class(value[4:]), key, kind, value[:2], off)
+        return f"{value[:2]}{(iban_check(f'{value[:2]}00{body}') + off) % 100:02}{body}"
     if kind == "secret" and all(c in DIGITS + LOWER[:6] for c in value):
         return recoded(value, [DIGITS + LOWER[:6]] * len(value), key, kind)
     return recoded(value, by_class(value), key, kind)
@@ -201,9 +215,14 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str, str]]:
             if not words[0][0].isupper():
                 start = at  # what stands behind the title may be an entity itself
                 continue
-            if len(words) > 1 and not words[1][0].isupper():
+            title = _CAPITALS.get(m["title"], m["title"])
+            if title != m["title"] and not words[0].isupper():
+                start = at
+                continue
+            if len(words) > 1 and (not words[1][0].isupper() or title != m["title"] and not words[1].isupper() or _OWNED.search(words[0])):
                 words = words[:1]
-            gender = next(g for g, ts in TITLES.items() if m["title"] in ts)
+            words[-1] = _OWNED.sub("", words[-1])  # the name's owner, without the mark
+            gender = next(g for g, ts in TITLES.items() if title in ts)
             for k, w in enumerate(words):
                 role = f"last::{script_of(w)}" if k == len(words) - 1 else f"first:{gender}:{script_of(w)}"
                 yield at, at + len(w), role, w.casefold(), w
@@ -274,6 +293,22 @@ def draws(found: DataFrame, key: str, settled: DataFrame | None = None) -> DataF
             return settled
 
 
+def one_gender(found: DataFrame, settled: DataFrame | None = None) -> DataFrame:
+    """``kind, value, as_kind``: under which kind each name found draws.  First
+    names that are settled stay under theirs; see the module's text for others."""
+    gender, other = F.regexp_extract("kind", "^first:(.?):", 1), F.regexp_replace("kind", "^first:.?:", "first::")
+    rows = found.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n")).withColumns({"gender": gender, "other": other})
+    of = lambda g: F.sum(F.when(F.col("gender") == g, F.col("n")).otherwise(0))
+    sums = rows.groupBy("other", "value").agg(of("f").alias("f"), of("m").alias("m"))
+    best = F.when((F.col("f") == 0) & (F.col("m") == 0), "").when(F.col("f") >= F.col("m"), "f").otherwise("m")
+    sums = sums.select("other", "value", best.alias("best"))
+    if settled is not None:
+        held = settled.where(F.col("kind").startswith("first:")).groupBy(other.alias("other"), "value").agg(F.min(gender).alias("held"))
+        sums = sums.join(held, ["other", "value"], "left").select("other", "value", F.coalesce("held", "best").alias("best"))
+    as_kind = F.when(F.col("kind").startswith("first:"), F.regexp_replace("other", "^first::", F.concat(F.lit("first:"), F.col("best"), F.lit(":")))).otherwise(F.col("kind"))
+    return rows.join(sums, ["other", "value"]).select("kind", "value", as_kind.alias("as_kind"))
+
+
 def stored_names(spark: SparkSession, path: str | None) -> DataFrame | None:
     if path is None:
         return None
@@ -289,7 +324,8 @@ def replace_pii(docs: DataFrame, key: str, names_path: str | None = None) -> Dat
     """``docs`` with surrogates in ``text``, and ``n_entities`` (a column of that
     name is replaced).
 
-    Texts get first draws where they stand.  Redraws come by a join on the keys
+    Texts get first draws where they stand.  Redraws, and names whose gender is
+    another than their title's, come by a join on the keys
     of the row, whose small side Spark broadcasts if its size allows.  With
     ``names_path``, names keep the surrogates of earlier runs with the same key,
     and new ones are appended there.
@@ -297,12 +333,14 @@ def replace_pii(docs: DataFrame, key: str, names_path: str | None = None) -> Dat
     spark = docs.sparkSession
     found = staged(name_occurrences(docs))
     before = stored_names(spark, names_path)
-    table = draws(found, key, before)
+    kinds = staged(one_gender(found, before))
+    table = draws(kinds.select(F.col("as_kind").alias("kind"), "value"), key, before)
     if names_path is not None:
         new = table if before is None else table.join(before, ["kind", "value"], "left_anti")
         staged(new).write.mode("append").parquet(names_path)
-    redrawn = table.where("draw > 0").select("kind", "value", "draw")
-    pairs = F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "value").alias("what"), "draw"))
+    drawn = table.select(F.col("kind").alias("as_kind"), "value", "draw")
+    redrawn = kinds.join(drawn, ["as_kind", "value"]).where("draw > 0 OR kind <> as_kind")
+    pairs = F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "value").alias("what"), "as_kind", "draw"))
     per_row = staged(found.distinct().join(redrawn, ["kind", "value"]).groupBy("row1", "row2").agg(pairs.alias("_redrawn")).withColumnsRenamed({"row1": "_row1", "row2": "_row2"}))
     columns = [c for c in docs.columns if c != "n_entities"]
     one, two = row_keys()
@@ -312,10 +350,11 @@ def replace_pii(docs: DataFrame, key: str, names_path: str | None = None) -> Dat
     def replaced(text: str | None, redrawn: list | None) -> tuple[str | None, int]:
         if text is None or not _HINT.search(text):
             return text, 0
-        draw = {x["what"]: x["draw"] for x in redrawn or ()}
+        draw = {x["what"]: (x["as_kind"], x["draw"]) for x in redrawn or ()}
         out, at, n = [], 0, 0
         for start, end, kind, value, raw in entities(text):
-            new = poured(kind, raw, surrogate(kind, value, key, draw.get(f"{kind}\x1f{value}", 0)))
+            as_kind, n_draw = draw.get(f"{kind}\x1f{value}", (kind, 0))
+            new = poured(kind, raw, surrogate(as_kind, value, key, n_draw))
             out += [text[at:start], new]
             at, n = end, n + 1
         return ("".join([*out, text[at:]]), n) if n else (text, 0)

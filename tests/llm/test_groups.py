@@ -161,6 +161,73 @@ def test_names_by_gender_script_and_coreference():
     assert pii.surrogate("first:f:LATIN", "anna", "k")[-1] == "a"
 
 
+def test_mail_names_and_accounts_keep_their_form(spark):
+    for mail in ("a.b@example.com", "x@example.org", "joe@mail.example.net", "joe@firm.de", "joe.x@a.b.firm.co"):
+        new = pii.surrogate("email", mail, "k")
+        assert pii.PATTERN.fullmatch(new)["email"] == new and new.count(".") == mail.count(".") and "@." not in new
+        assert not mail.endswith(("example.com", "example.org")) or new.split("@")[1] == mail.split("@")[1]
+    good, bad = "DE89370400440532013000", "DE88370400440532013000"
+    assert pii.iban_check(good) == 89
+    new = [pii.surrogate("iban", x, "k") for x in (good, bad, "GB82WEST12345698765432")]
+    assert [pii.iban_check(x) - int(x[2:4]) for x in new] == [0, 1, 0] and new[0][:2] == "DE" and new[2][4:8].isalpha()
+    assert len({pii.surrogate("iban", f"DE{pii.iban_check(f'DE00{i:018}'):02}{i:018}", "k") for i in range(500)}) == 500
+    assert entities_in("Mr Smith's car, Mr Smith and Mrs O'Brien; Mr James' Hat") == [("last::LATIN", x) for x in ("Smith", "Smith", "O'Brien", "James")]
+    assert entities_in("MR JOHN SMITH and DR MEYER met. MS WORD, DR Congo, MR Smith") == [("first:m:LATIN", "JOHN"), ("last::LATIN", "SMITH"), ("last::LATIN", "MEYER")]
+    assert "secret" in pii.KEY_SETTING
+
+
+def replaced_plainly(texts, key):
+    """Whole texts, with names' genders and draws settled in plain loops."""
+    found = [list(pii.entities(t)) if t is not None else [] for t in texts]
+    votes = {}
+    for one in {(t, *{(e[2], e[3]) for e in es}) for t, es in zip(texts, found)}:
+        for kind, value in one[1:]:
+            if kind.startswith("first:"):
+                _, g, script = kind.split(":")
+                votes.setdefault((script, value), []).append(g)
+
+    def settled(kind, value):
+        if not kind.startswith("first:"):
+            return kind
+        script = kind.split(":")[2]
+        f, m = (votes[script, value].count(g) for g in "fm")
+        return f"first:{'' if not f + m else 'f' if f >= m else 'm'}:{script}"
+
+    left = {(settled(e[2], e[3]), e[3]): 0 for es in found for e in es if ":" in e[2]}
+    taken, name = {}, {}
+    while left:
+        made = {x: pii.surrogate(*x, key, d) for x, d in left.items()}
+        for x in sorted(made):
+            if (x[0], made[x]) not in taken:
+                taken[x[0], made[x]] = name[x] = made[x]
+        left = {x: left[x] + 1 for x in made if x not in name}
+    out = []
+    for t, es in zip(texts, found):
+        parts, at = [], 0
+        for start, end, kind, value, raw in es:
+            new = name[settled(kind, value), value] if ":" in kind else pii.surrogate(kind, value, key)
+            parts += [t[at:start], pii.poured(kind, raw, new)]
+            at = end
+        out.append("".join([*parts, t[at:]]) if t is not None else None)
+    return out
+
+
+def test_whole_texts_against_plain_loops(spark):
+    docs = [(r.doc_id, r.text) for r in documents(spark, SF_DIR).collect()]
+    more = ["Mrs Anna Meyer and Dr Anna Meyer", "Dr Anna Kurz, Mr Kim Oh", "Mrs Kim Li", "Prof Uli Ahn", "Mr Uwe Ahn's dog", None, "", *PII, *(f"Mr Nam{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} Fam{chr(97 + i // 13 % 26)}{i % 7}" for i in range(700))]
+    rows = docs + [(10**6 + i, t) for i, t in enumerate(more)]
+    found = {r.doc_id: r.text for r in pii.replace_pii(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), "k").collect()}
+    want = replaced_plainly([t for _, t in rows], "k")
+    assert [found[i] for i, _ in rows] == want
+    first, second = (re.findall(r"(?:Mrs|Dr) (\S+) (\S+)", found[10**6]))
+    assert first == second and first[0][-1] == "a"
+
+
+def test_stored_first_names_keep_their_gender(spark, tmp_path):
+    run = lambda texts: [r.text for r in pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k", f"{tmp_path}/n").orderBy("doc_id").collect()]
+    assert run(["Dr Anna Kurz"])[0] == run(["Dr Anna Kurz", "Mrs Anna Kurz"])[0]
+
+
 def test_permutation_is_one_to_one():
     for total in (1, 2, 10, 77, 1000):
         assert sorted(pii.permuted(i, total, "k", "t") for i in range(total)) == list(range(total))
