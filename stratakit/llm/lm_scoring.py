@@ -55,7 +55,7 @@ END = b"\n"
 #: Bits saved are added up in whole numbers of this part of a bit.
 _PART = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-WORD, PAIR, NEAR, TRIPLE, FAR = range(5)  #: what blocks ask for; NEAR and FAR are contexts of one and two tokens
+WORD, PAIR, NEAR, TRIPLE, FAR, GRAMS = range(6)  #: what blocks ask for; NEAR and FAR are contexts of one and two tokens, GRAMS what they tell of bytes
 
 
 def _hash(word: bytes) -> int:
@@ -107,25 +107,23 @@ def trained(lengths: np.ndarray, held: np.ndarray) -> np.ndarray:
 
 def blocks(docs: DataFrame, held_out) -> DataFrame:
     """One row a block: ids, which are held out, tokens a document, the packed
-    token numbers, the words' hashes, and those words, one after the other, that
-    no training text of the block has; and counts of byte triples in its other
-    distinct words."""
+    token numbers, the words' hashes, and the words themselves, one after the
+    other: those that no training text of the block has, and the others."""
     rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     id_kind = rows.schema["doc_id"].dataType
     schema = T.StructType().add("part", "long").add("ids", T.ArrayType(id_kind)).add("held", T.ArrayType(T.BooleanType())).add("lengths", T.ArrayType(T.IntegerType()))
-    schema = schema.add("size", "long").add("trained", "long").add("idx", "binary").add("kinds", "long").add("hashes", "binary").add("new_words", "binary").add("grams", T.ArrayType(T.IntegerType())).add("gram_counts", T.ArrayType(T.LongType()))
+    schema = schema.add("size", "long").add("trained", "long").add("idx", "binary").add("kinds", "long").add("hashes", "binary").add("new_words", "binary").add("old_words", "binary")
 
     def block(part: int, ids: pa.Array, held: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
         idx, words, lengths = tokens_of(texts)
         own = np.bincount(idx[trained(lengths, held)], minlength=len(words))
         hashes = np.fromiter(map(_hash, words), dtype=np.uint64, count=len(words))
-        new = b" ".join(w for w, n in zip(words, own) if not n and w != END)
-        grams, n = byte_triples([w for w, k in zip(words, own) if k and w != END])
+        new, old = (b" ".join(w for w, n in zip(words, own) if (n > 0) == some and w != END) for some in (False, True))
         one = lambda x, t: pa.array([x], t)
         of = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         columns = [
             one(part, pa.int64()), of(ids), of(pa.array(held)), of(pa.array(lengths, pa.int32())), one(len(idx), pa.int64()), one(int(own.sum()), pa.int64()), one(_pressed(idx), pa.binary()),
-            one(len(words), pa.int64()), one(hashes.tobytes(), pa.binary()), one(new, pa.binary()), of(pa.array(grams, pa.int32())), of(pa.array(n, pa.int64())),
+            one(len(words), pa.int64()), one(hashes.tobytes(), pa.binary()), one(new, pa.binary()), one(old, pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
@@ -228,7 +226,8 @@ def answered(questions: DataFrame) -> DataFrame:
     """What all blocks sent, added up by hash: for each message twice the sum of
     ``first`` and one more where this message is the first with any (counts), or
     where the sum of ``second`` reaches the test (contexts).  A shard's message
-    to no block (-1) tells how many hashes it has, and how many came once."""
+    to no block (-1) tells how many hashes it has, and how many came once.  Of byte
+    triples only their sums come back, to no block (triples -1, counts -2)."""
 
     def run(group: pa.Table) -> pa.Table:
         kind, sizes = group.column("kind")[0].as_py(), group.column("size").to_numpy()
@@ -238,6 +237,9 @@ def answered(questions: DataFrame) -> DataFrame:
         head = np.append(True, keys[order][1:] != keys[order][:-1])
         nth = np.cumsum(head) - 1
         total = np.bincount(nth, first[order]).astype(np.int64)
+        if kind == GRAMS:
+            shard = group.column("shard")[0].as_py()
+            return table_of([(kind, shard, -1, len(total), _pressed(keys[order][head]), 0, 0), (kind, shard, -2, len(total), _pressed(total), 0, 0)])
         flag = np.zeros(len(keys), dtype=np.int64)
         if kind in (NEAR, FAR):
             saved = np.zeros(len(total), dtype=np.int64)
@@ -252,6 +254,9 @@ def answered(questions: DataFrame) -> DataFrame:
         ends = np.cumsum(sizes)
         rows = [(kind, s, p, k, _pressed(answer[e - k : e]), 0, 0) for s, p, k, e in zip(group.column("shard").to_pylist(), group.column("part").to_pylist(), sizes.tolist(), ends.tolist())]
         rows.append((kind, group.column("shard")[0].as_py(), -1, 0, b"", int((total > 0).sum()), int((total == 1).sum())))
+        return table_of(rows)
+
+    def table_of(rows: list[tuple]) -> pa.Table:
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()))], names=[x.split(" ")[0] for x in _ANSWER.split(", ")])
 
     return questions.groupBy("kind", "shard").applyInArrow(run, _ANSWER)
@@ -279,6 +284,7 @@ class Block:
         before[self.first] = hashes[0]
         self.pair = self.asked(_joined(before, token))
         self.new_words, self.new_at = row["new_words"], np.flatnonzero(own[1:] == 0) + 1
+        self.old_words, self.old_at = row.get("old_words"), np.flatnonzero(own[1:]) + 1
         idx = idx.astype(np.int32)
         self.idx, self.token, self.ended = idx, token, np.roll(idx, 1) * ~self.first
         self.hashes = hashes
@@ -304,7 +310,7 @@ class Block:
 
     def near(self) -> None:
         """What the answers to :meth:`counts` tell of each token."""
-        c, _ = self.answer(WORD, len(self.word.keys))
+        c, self.owns1 = self.answer(WORD, len(self.word.keys))
         self.c = c[self.word.at]
         self.of_near = self.place[self.ended]  # the word before, as a context
         self.n1 = c[self.of_near]
@@ -332,9 +338,19 @@ class Block:
         np.add.at(saved, context[t], np.rint(bits * _PART).astype(np.int64))
         return kinds, saved
 
+    def grams(self) -> Iterator[tuple]:
+        """Byte triples of those distinct words that are this block's to count."""
+        words = self.old_words.split(b" ") if self.old_words else []
+        keys, n = byte_triples([w for w, own in zip(words, self.owns1[self.place[self.old_at]]) if own])
+        cuts = np.searchsorted(keys, np.arange(257) << 16)
+        for shard, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if a < b:
+                yield GRAMS, shard, self.part, int(b - a), _pressed(np.diff(keys[a:b], prepend=np.int64(0))), _pressed(n[a:b].astype(np.int64)), _pressed(np.zeros(b - a, np.int64))
+
     def contexts(self) -> Iterator[tuple]:
-        """Second questions: contexts of one token, and triples."""
+        """Second questions: contexts of one token, and triples; and what bytes its words have."""
         self.near()
+        yield from self.grams()
         size = len(self.word.keys)
         kinds, saved = self.saved(self.pair, self.owns2, self.c2_of, self.of_near, size, None, self.n1, self.c, np.full(len(self.c), self.tokens))
         yield from self.word.rows(self.part, NEAR, kinds, saved)
@@ -386,9 +402,6 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     state = bucketed(blocks(docs, held_out), "part")
     tokens = state.agg(F.sum("trained")).first()[0] or 0
     shards = max(16, tokens // SHARD_TOKENS)
-    # Byte triples: at most 256 ** 3 rows, whatever the corpus.
-    triples = state.select(F.explode(F.arrays_zip("grams", "gram_counts")).alias("x")).groupBy("x.grams").agg(F.sum("x.gram_counts").alias("n")).toPandas()
-    spelling = spark.sparkContext.broadcast(Spelling(triples.grams.to_numpy(np.int64), triples.n.to_numpy(np.int64)))
     body = state.select("part", "lengths", "held", "size", "idx", "hashes", "new_words")
     names = [x.split(" ")[0] for x in _QUESTION.split(", ")]
     kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
@@ -412,9 +425,15 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     known, once = one.known or 0, one.once or 0
     to_block = ["part", "kind", "shard", "size", "answer"]
     answers = first.where("part >= 0").select(*to_block)
-    for which in ("contexts", "far_contexts"):
-        asked = body.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(ask(which), _QUESTION)
-        answers = answers.unionByName(staged(answered(asked).where("part >= 0").select(*to_block)))
+    with_words = state.select(*body.columns, "old_words")
+    second = staged(answered(with_words.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(ask("contexts"), _QUESTION)))
+    # Byte triples: at most 256 ** 3, whatever the corpus.
+    grams = second.where(f"kind = {GRAMS}").orderBy("shard").select("part", "size", "answer").toPandas()
+    keys, sums = (np.concatenate([np.zeros(0, np.int64), *(_unpressed(x, n) for p, n, x in grams.itertuples(index=False) if p == which)]) for which in (-1, -2))
+    spelling = spark.sparkContext.broadcast(Spelling(keys, sums))
+    answers = answers.unionByName(second.where("part >= 0").select(*to_block))
+    third = answered(body.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(ask("far_contexts"), _QUESTION))
+    answers = answers.unionByName(staged(third.where("part >= 0").select(*to_block)))
     schema = docs.select("doc_id").schema.add("held_out", "boolean")
     for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")):
         schema = schema.add(name, kind)

@@ -120,8 +120,9 @@ def test_lm_spelling_against_dictionaries():
 
 
 @pytest.mark.parametrize("make", [frame, lambda s: documents(s, SF_DIR)], ids=["edge", "sf0.001"])
-def test_lm_model_against_brute_force(spark, make):
-    docs = make(spark).coalesce(1)
+def test_lm_model_against_brute_force(spark, make, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 50_000)
+    docs = make(spark).repartition(5)
     texts = [(r.doc_id, (*words(r.text), b"\n")) for r in docs.select("doc_id", "text").collect()]
     naive = NaiveTree([own for i, own in texts if not held(i)])
     assert naive.near and (make is frame or naive.far)
@@ -340,6 +341,4 @@ def test_blocks_and_shards_do_not_change_scores(spark, monkeypatch):
     parts = {r.doc_id: r for r in lm_scoring.score(docs, out()).collect()}
     assert whole.keys() == parts.keys()
     for i, r in whole.items():
-        # Blocks count distinct words, for the spelling of new ones, each for itself.
-        close = 1e-6 if r.n_known == r.n_tokens else 0.1
-        assert parts[i].score == pytest.approx(r.score, rel=close) and parts[i].base_score == pytest.approx(r.base_score) and parts[i].n_known == r.n_known
+        assert parts[i].score == pytest.approx(r.score, rel=1e-6) and parts[i].base_score == pytest.approx(r.base_score) and parts[i].n_known == r.n_known
