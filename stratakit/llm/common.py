@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="stratakit-")
         spark.sparkContext.setCheckpointDir(base)
