@@ -294,6 +294,7 @@ def test_hashed_values():
 def test_quality_verdicts_against_brute_force(spark, monkeypatch):
     """Perplexities, thresholds and verdicts of sf0.001, in many blocks."""
     monkeypatch.setattr(quality, "BLOCK_BYTES", 60_000)
+    monkeypatch.setattr(quality, "GROUP_BLOCKS", 3)
     docs, trusted = documents(spark, SF_DIR), {r.doc_id for r in quality.trusted_labels(spark, SF_DIR).collect()}
     rows_ = {r.doc_id: (r.lang, (r.text or "").strip(" \t\n\x0b\x0c\r").encode()) for r in docs.collect()}
     p = functools.cache(naive_kneser_ney([tuple((b"    " + t)[k : k + 5]) for i, (_, t) in rows_.items() if i in trusted for k in range(len(t))], 5))
