@@ -148,15 +148,18 @@ def check(df: DataFrame, rules: Iterable[Rule], references: dict[str, DataFrame]
                 marker = joined.get((rule.column, rule.reference))
                 if marker is None:
                     marker = joined[(rule.column, rule.reference)] = f"_fails_key_{len(joined)}"
-                    known = references[table].select(F.col(key).cast("string").alias(f"{marker}_k")).where(F.col(f"{marker}_k").isNotNull()).distinct().withColumn(marker, F.lit(True))
-                    out = out.join(known, F.col(rule.column).cast("string") == F.col(f"{marker}_k"), "left")
+                    known = references[table].select(F.col(key).cast("string").alias(f"{marker}_k")).where(F.col(f"{marker}_k").isNotNull()).distinct()
+                    known, own = known.withColumns({marker: F.lit(True), f"{marker}_h": F.hash(f"{marker}_k")}), F.col(rule.column).cast("string")
+                    # With the hash beside the key, the join shuffles both sides itself, and only such shuffles does AQE split where a key is hot.
+                    out = out.join(known, (own == F.col(f"{marker}_k")) & (F.hash(own) == F.col(f"{marker}_h")), "left")
                 masks[f"_fails_{k}"] = F.col(rule.column).isNotNull() & F.col(marker).isNull()
                 continue
         if active and rule.kind == UNIQUE and (keys := _columns(rule)) and all(c in df.columns for c in keys):
             # Keys that repeat, counted before the shuffle, meet the rows; no task gets all rows of a key at once.
             marker = f"_fails_key_u{k}"
-            again = df.groupBy(*[F.col(c).alias(f"{marker}_{i}") for i, c in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n").withColumn(marker, F.lit(True))
-            same = F.lit(True)
+            again = df.groupBy(*[F.col(c).alias(f"{marker}_{i}") for i, c in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+            again = again.withColumns({marker: F.lit(True), f"{marker}_h": F.hash(*[f"{marker}_{i}" for i in range(len(keys))])})
+            same = F.hash(*keys) == F.col(f"{marker}_h")  # as above
             for i, c in enumerate(keys):
                 same = same & F.col(c).eqNullSafe(F.col(f"{marker}_{i}"))
             out = out.join(again, same, "left")

@@ -189,3 +189,27 @@ def test_a_replayed_batch_keeps_its_time_and_metrics_have_a_row_a_batch(spark, t
     (row,) = stream_jobs.batch_metrics(spark, tables.metrics).collect()
     # of each of three students the last arrival counts: towns 3550301, 3550300, 3550301
     assert row.asDict() == {"batch": "s-0", "at": "a", "messages": 8, "parsed_rows": 6, "rejected_rows": 2, "valid_rows": 1, "quarantined_rows": 2, "pass_rate": 1 / 3}
+
+
+# ---- foreign keys ----------------------------------------------------------
+
+
+def test_a_hot_foreign_key_is_split_where_the_reference_is_too_large_to_copy(spark):
+    """Both sides only move by the key, so Spark may cut the hot key's rows into several tasks."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ref = spark.range(20_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"))
+        rows = spark.range(300_000, numPartitions=12).select(F.when(F.col("id") % 3 > 0, "k1").otherwise(F.concat(F.lit("k"), (F.col("id") % 30_000).cast("string"))).alias("k"), F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("s"))
+        checked = check(rows, (Rule("fk", FOREIGN_KEY, "k", reference="ref.k"),), {"ref": ref})
+        seen = checked.quarantine.select("id", "s")
+        assert len(seen.collect()) == 33_330
+        assert "skew=true" in seen._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
