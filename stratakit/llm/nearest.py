@@ -21,8 +21,8 @@ vectors are one node that carries its least ids: as many as any answer can use.
 
 Rows: a null ``vec_id``; null, empty or zero vectors; and those with null or
 non-finite components, or of another length than most, take no part.  Rows
-repeated in full count once; rows that share the query's id with another vector
-are left out of its answers with it, and are else rows like others.  Ties go to the smaller ``vec_id``.  An empty
+repeated in full count once; rows that share an id with other vectors are queries
+and candidates each, and only its own row is left out of a query's answers.  Ties go to the smaller ``vec_id``.  An empty
 table gives an empty result.  Only named columns are read.
 """
 
@@ -200,7 +200,7 @@ def augmented(v: np.ndarray) -> np.ndarray:
 
 
 def dealt(nodes: DataFrame, shard_rows: int) -> tuple[DataFrame, int]:
-    """``shard, rep, vector``, and the number of shards.
+    """``shard, rep, least, vector``, and the number of shards.
 
     A band is a power of two, so there are at most some 2,100 of them; their
     sizes are what reaches the driver.
@@ -211,8 +211,8 @@ def dealt(nodes: DataFrame, shard_rows: int) -> tuple[DataFrame, int]:
         table.append((r["band"], first, -(-r["count"] // shard_rows)))
         first += table[-1][2]
     bands = nodes.sparkSession.createDataFrame(table, "band int, first int, parts int")
-    shard = F.col("first") + F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    return banded.join(F.broadcast(bands), "band").select(shard.alias("shard"), "rep", "vector"), first
+    shard = F.col("first") + F.pmod(F.xxhash64("least", "vector"), F.col("parts")).cast("int")
+    return banded.join(F.broadcast(bands), "band").select(shard.alias("shard"), "rep", "least", "vector"), first
 
 
 def indexed(shards: DataFrame) -> DataFrame:
@@ -223,21 +223,22 @@ def indexed(shards: DataFrame) -> DataFrame:
         v = _matrix(group.column("vector"))
         graph, entries = build_graph(augmented(v))
         beam = needed_beam((v / np.abs(v).max()).astype(np.float32), graph, entries)
-        return pa.table({"shard": group.column("shard")[:1], "beam": pa.array([beam], pa.int32()), "ids": pa.array([group.column("rep").to_numpy().tobytes()], pa.binary()), "vectors": pa.array([v.tobytes()], pa.binary()), "graph": pa.array([graph.tobytes()], pa.binary()), "entries": pa.array([entries.astype(np.int64).tobytes()], pa.binary())})
+        return pa.table({"shard": group.column("shard")[:1], "beam": pa.array([beam], pa.int32()), "ids": pa.array([group.column("rep").to_numpy().tobytes()], pa.binary()), "least": pa.array([group.column("least").to_numpy().tobytes()], pa.binary()), "vectors": pa.array([v.tobytes()], pa.binary()), "graph": pa.array([graph.tobytes()], pa.binary()), "entries": pa.array([entries.astype(np.int64).tobytes()], pa.binary())})
 
-    return shards.groupBy("shard").applyInArrow(run, "shard int, beam int, ids binary, vectors binary, graph binary, entries binary")
+    return shards.groupBy("shard").applyInArrow(run, "shard int, beam int, ids binary, least binary, vectors binary, graph binary, entries binary")
 
 
 def searched(index: DataFrame, queries: DataFrame, shards: int, blocks: int, keep: int) -> DataFrame:
-    """``q, rep, score``: for each query vector the ``keep`` best of each shard."""
+    """``q, rep, least, score``: for each query vector the ``keep`` best of each
+    shard; ties go to the node whose ``least`` id is smaller."""
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = queries.select(F.col("rep").alias("q"), "vector", F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(blocks)).cast("int").alias("of_block"), F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1))).alias("of_shard"))
 
     def run(one: pa.Table, asked: pa.Table) -> pa.Table:
-        q, rep, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        q, rep, low, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         if one.num_rows and asked.num_rows:
             get = lambda c, t: np.frombuffer(one.column(c)[0].as_py(), dtype=t)
-            ids, entries = get("ids", np.int64), get("entries", np.int64)
+            ids, least, entries = get("ids", np.int64), get("least", np.int64), get("entries", np.int64)
             v = get("vectors", np.float64).reshape(len(ids), -1)
             graph = get("graph", np.int32).reshape(len(ids) + 1, -1)
             x, asked_v, asked_q = (v / np.abs(v).max()).astype(np.float32), _matrix(asked.column("vector")), asked.column("q").to_numpy()
@@ -246,20 +247,21 @@ def searched(index: DataFrame, queries: DataFrame, shards: int, blocks: int, kee
                 found, _ = beam_search(x, graph, entries, (own / np.abs(own).max(axis=1, keepdims=True)).astype(np.float32), one.column("beam")[0].as_py())
                 exact = np.einsum("qd,qmd->qm", own, v[np.maximum(found, 0)])
                 exact[found < 0] = -np.inf
-                order = np.lexsort((ids[np.maximum(found, 0)], -exact), axis=1)[:, :keep]
+                order = np.lexsort((least[np.maximum(found, 0)], -exact), axis=1)[:, :keep]
                 found, exact = np.take_along_axis(found, order, 1), np.take_along_axis(exact, order, 1)
                 real = found >= 0
                 q.append(np.broadcast_to(asked_q[at : at + _CHUNK, None], found.shape)[real])
                 rep.append(ids[found[real]])
+                low.append(least[found[real]])
                 score.append(exact[real])
-        return pa.table({"q": np.concatenate(q), "rep": np.concatenate(rep), "score": np.concatenate(score)})
+        return pa.table({"q": np.concatenate(q), "rep": np.concatenate(rep), "least": np.concatenate(low), "score": np.concatenate(score)})
 
-    return left.groupBy("shard", "block").cogroup(right.groupBy("of_shard", "of_block")).applyInArrow(run, "q long, rep long, score double")
+    return left.groupBy("shard", "block").cogroup(right.groupBy("of_shard", "of_block")).applyInArrow(run, "q long, rep long, least long, score double")
 
 
 def nearest(vectors: DataFrame, is_query, k: int = K, shard_rows: int | None = None, query_block: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` largest inner products found
-    for each row where the condition ``is_query`` holds, its own id left out.
+    for each row where the condition ``is_query`` holds, that row left out.
 
     ``shard_rows`` and ``query_block`` are rows of a shard and of a block of
     queries; None: as many as the bytes allow, and at least ``LEAST_SHARDS``
@@ -268,7 +270,8 @@ def nearest(vectors: DataFrame, is_query, k: int = K, shard_rows: int | None = N
     rows = staged(usable(vectors))
     ids = W.partitionBy("vector").orderBy("vec_id")
     least = rows.distinct().withColumn("n", F.row_number().over(ids)).where(F.col("n") <= k + 1)
-    nodes = staged(least.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    same = least.groupBy("vector").agg(F.min("vec_id").cast("long").alias("least"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    nodes = staged(same.withColumn("rep", F.monotonically_increasing_id()))
     size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
     bytes_each = 8 * (size.dim or 1)
     by_shard, shards = dealt(nodes, shard_rows or max(1, min(SHARD_BYTES // bytes_each, SHARD_ROWS, max(SMALL_SHARD, -(-size.n // LEAST_SHARDS)))))
@@ -277,11 +280,11 @@ def nearest(vectors: DataFrame, is_query, k: int = K, shard_rows: int | None = N
     blocks = max(1, -(-which.count() // (query_block or max(1, BLOCK_BYTES // bytes_each))))
     index = staged(indexed(by_shard))
     found = staged(searched(index, nodes.join(which, "rep", "left_semi"), shards, blocks, k + 1))
-    best = found.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "rep"))).where(F.col("n") <= k + 1)
-    spread = best.join(nodes.select("rep", "ids"), "rep").select("q", "score", F.explode("ids").alias("vec_id"))
-    spread = spread.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).where(F.col("n") <= k + 1)
-    answers = asked.join(spread.select("q", "vec_id", "score"), F.col("rep") == F.col("q")).where("vec_id <> query_id")
-    rank = F.row_number().over(W.partitionBy("query_id", "rep").orderBy(F.desc("score"), "vec_id"))
+    best = found.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "least", "rep"))).where(F.col("n") <= k + 1)
+    spread = best.join(nodes.select("rep", "ids"), "rep").select("q", F.col("rep").alias("node"), "score", F.explode("ids").alias("vec_id"))
+    spread = spread.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "vec_id", "node"))).where(F.col("n") <= k + 1)
+    answers = asked.join(spread.select("q", "node", "vec_id", "score"), F.col("rep") == F.col("q")).where("NOT (vec_id = query_id AND node = q)")
+    rank = F.row_number().over(W.partitionBy("query_id", "rep").orderBy(F.desc("score"), "vec_id", "node"))
     return answers.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

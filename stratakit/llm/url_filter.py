@@ -74,7 +74,7 @@ def ruled(pages: DataFrame, rules: DataFrame) -> DataFrame:
 def host_edges(pages: DataFrame) -> DataFrame:
     """``source, target, pages``: how many pages of a host link to another host."""
     host, _ = host_and_path(F.col("url"))
-    linked = F.transform(F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(LINK), 1), ascii_lower)), lambda x: x)
+    linked = F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(LINK), 1), ascii_lower))
     links = pages.where(F.col("html").contains("//")).select(host.alias("source"), F.explode(linked).alias("target"))
     return links.where((F.col("target") != "") & (F.col("source") != "") & (F.col("source") != F.col("target"))).groupBy("source", "target").agg(F.count(F.lit(1)).alias("pages"))
 

@@ -374,6 +374,13 @@ def test_recall_where_a_beam_of_the_least_width_would_fail(spark, kind, n):
     assert recall(found, want) >= 0.95
 
 
+def test_rows_that_share_an_id(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 2.0]), (1, [1.0, 1.0]), (2, [0.0, 3.0]), (2, [3.0, 0.0])]
+    found = nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    want = [(1, 1.0), (1, 2.0), (2, 0.0), (2, 0.0), (2, 3.0), (2, 6.0), (20, 0.0), (20, 0.0)]
+    assert sorted((r.vec_id, r.score) for r in found) == want and sorted(r["rank"] for r in found) == [1, 1, 2, 2, 3, 3, 4, 4]
+
+
 @pytest.mark.parametrize("n", [1, 2, 5])
 def test_few_vectors(spark, n):
     df = spark.createDataFrame([(i * 20, [1.0, float(i)]) for i in range(n)], "vec_id long, embedding array<float>")
