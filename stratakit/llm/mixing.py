@@ -4,7 +4,9 @@ The mix is dealt in equal blocks of words.  Each source gets the number of
 blocks that its highest quotients earn, each shard of a source (a seeded deal
 of its documents) an integer quota of these in the same way, and blocks within
 a shard are drawn in seeded order.  Where a source's target isn't a multiple
-of the block, its last block is cut or stretched to meet it.
+of the block, its last block is cut or stretched to meet it.  A shard gives no
+row more than its cap, so a source at its cap may miss its target by half a
+block a shard.
 
 Rows: null text has size 0 and gives nothing; null source is a source of its
 own, last in order; repeated rows count one by one; an empty table gives an
@@ -21,6 +23,8 @@ from stratakit.llm.common import WORD, documents, staged
 
 BLOCK_WORDS = 256
 SHARD_WORDS = 2_000_000
+#: Words of rows equal in id and size that are dealt together, at most (one row where it is longer).
+STACK_WORDS = 16_384
 SEED = 11
 WEIGHTS = (3, 1, 2)
 
@@ -71,6 +75,25 @@ def apportion(rows: DataFrame, group: list[Column], weight: Column, seats: Colum
     return out.drop("_w", "_seats", "_n", "_total", "_sure", "_doubt", "_rest", "_id", "_won_id", "_extra", *[f"_g{i}" for i in range(len(group))])
 
 
+def lay(rows: DataFrame, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
+    """``rows`` (``doc_id, source, size, source_size`` and values of the source)
+    with ``shard`` and ``start``, their words' place in the source's shard.
+
+    Rows equal in all columns are dealt by the stack and parted within its shard,
+    so one id, or the lack of one, may be any part of a source.
+    """
+    shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")
+    stacks = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")).withColumn("each", F.greatest(F.lit(1), F.expr(f"{STACK_WORDS} div size")))
+    stacks = stacks.withColumn("stack", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(n - 1) div each"))))
+    stacks = stacks.withColumn("n", F.least("each", F.col("n") - F.col("stack") * F.col("each")))
+    dealt = stacks.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size", "stack"), shards).cast("long"))
+    order = W.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "size", "stack"), "doc_id", "size", "stack")
+    words = F.col("size") * F.col("n")
+    first = dealt.withColumn("first", F.sum(words).over(order.rowsBetween(W.unboundedPreceding, 0)) - words)
+    laid = first.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    return laid.select(*rows.columns, "shard", (F.col("first") + F.col("nth") * F.col("size")).alias("start"))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
     """One row for each document: ``doc_id, source, size, source_size, target, taken``."""
     rows = staged(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
@@ -79,10 +102,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     sources = staged(apportion(sources, [F.lit(0)], F.col("target"), blocks, [F.asc_nulls_last("source")], "blocks"))
 
     of = sources.select(F.col("source").alias("of"), "source_size", "target", "blocks")
-    shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")
-    dealt = rows.join(of, F.col("source").eqNullSafe(F.col("of")), "inner").drop("of").withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), shards).cast("long"))
-    order = W.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), "doc_id", "size")
-    placed = staged(dealt.withColumn("start", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("size")))
+    known = rows.join(of, F.col("source").eqNullSafe(F.col("of")), "inner").drop("of")
+    placed = staged(lay(known.where("size > 0"), shard_words, seed))
 
     cells = placed.groupBy("source", "shard").agg(F.sum("size").alias("cell"), F.first("target").alias("target"), F.first("blocks").alias("blocks"))
     cells = apportion(cells, [F.col("source")], F.col("cell"), F.col("blocks"), [F.col("shard")], "quota")
@@ -108,12 +129,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
         return f.join(b, same, "left").withColumn(name, drawn).drop("s_", "h_", "b_", "got", "before", "at_", "in_")
 
     # The last word's place stands for the end, so that both ends lie in a block.
-    full = upto(placed.where("size > 0"), F.col("start"), 0, "lo")
+    full = upto(placed, F.col("start"), 0, "lo")
     both = upto(full, F.col("start") + F.col("size") - 1, 1, "hi").withColumn("drawn", F.col("hi") - F.col("lo")).drop("lo", "hi")
     whole = cells.select(F.col("source").alias("s_"), F.col("shard").alias("h_"), "whole")
     both = both.join(whole, F.col("source").eqNullSafe(F.col("s_")) & (F.col("shard") == F.col("h_")), "left").withColumn("taken", F.col("whole") * F.col("size") + F.col("drawn"))
     names = ["doc_id", "source", "size", "source_size", "target", "taken"]
-    return both.select(*names).unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*names))
+    return both.select(*names).unionByName(known.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*names))
 
 
 def op7_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,17 +145,19 @@ def op7_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents, as often as the mix's words ask.
 
-    Rows that share a ``doc_id`` are drawn one by one; see :func:`copies`.
+    Rows that share a ``doc_id`` are drawn one by one; see :func:`copies`.  They
+    are dealt by id and text, so rows without ids spread over a source's shards
+    (the stage before leaves one row of each text).
     """
     columns = docs.columns
     rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()))
-    taken = copies(rows.select("_row", "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    taken = copies(rows.select("_row", "doc_id", "source", F.xxhash64("text").alias("_text"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
     kept = rows.join(taken.where("copies > 0").select(F.col("_row").alias("_id"), "copies"), F.col("_row") == F.col("_id"))
     return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*columns)
 
 
 def copies(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
-    """``rows`` (``doc_id, source, size`` and more) with ``target, copies``.
+    """``rows`` (``doc_id, source, size, _text`` and more) with ``target, copies``.
 
     Systematic draws in order of size: in each shard of a source the running sum
     of its ratio of target to size, from a seeded start, gives a document a copy
@@ -147,9 +170,9 @@ def copies(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1
     of = staged(sources.select(F.col("source").alias("of"), "source_size", "target"))
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")
     dealt = rows.join(of, F.col("source").eqNullSafe(F.col("of")), "inner").drop("of")
-    dealt = dealt.withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), shards))
+    dealt = dealt.withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_text"), shards))
     start = F.pmod(F.xxhash64(F.lit(seed + 3), "source", "_shard"), F.lit(1 << 20)) / float(1 << 20)
-    cell = W.partitionBy("source", "_shard").orderBy("size", F.xxhash64(F.lit(seed + 1), "doc_id", "size"), "doc_id", "size")
+    cell = W.partitionBy("source", "_shard").orderBy("size", F.xxhash64(F.lit(seed + 1), "doc_id", "_text"), "doc_id", "_text")
     nth, ratio = F.row_number().over(cell), F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     drawn = F.floor(start + nth * ratio) - F.floor(start + (nth - 1) * ratio)
-    return dealt.withColumn("copies", F.when(F.col("size") > 0, drawn).otherwise(0).cast("long")).drop("_shard")
+    return dealt.withColumn("copies", F.when(F.col("size") > 0, drawn).otherwise(0).cast("long")).drop("_shard", "_text")
