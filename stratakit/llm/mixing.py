@@ -94,22 +94,32 @@ def lay(rows: DataFrame, shard_words: int = SHARD_WORDS, seed: int = SEED) -> Da
     return laid.select(*rows.columns, "shard", (F.col("first") + F.col("nth") * F.col("size")).alias("start"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
-    """One row for each document: ``doc_id, source, size, source_size, target, taken``."""
-    rows = staged(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+def seated(rows: DataFrame, weights: tuple[int, ...], share: float, cap: float, block_words: int) -> DataFrame:
+    """``rows`` (``source, size`` and more) with their source's ``source_size``,
+    ``target`` and ``blocks``, the seats that its target earns by Sainte-Lague."""
     sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
     blocks = F.round(F.sum("target").over(W.partitionBy()) / block_words)
     sources = staged(apportion(sources, [F.lit(0)], F.col("target"), blocks, [F.asc_nulls_last("source")], "blocks"))
-
     of = sources.select(F.col("source").alias("of"), "source_size", "target", "blocks")
-    known = rows.join(of, F.col("source").eqNullSafe(F.col("of")), "inner").drop("of")
-    placed = staged(lay(known.where("size > 0"), shard_words, seed))
+    return rows.join(of, F.col("source").eqNullSafe(F.col("of")), "inner").drop("of")
+
 
+def quotas(placed: DataFrame, cap: float, block_words: int) -> DataFrame:
+    """``source, shard, cell`` (its words) and ``words``, what the mix takes of it:
+    the source's blocks shared by Sainte-Lague among its shards, in words."""
     cells = placed.groupBy("source", "shard").agg(F.sum("size").alias("cell"), F.first("target").alias("target"), F.first("blocks").alias("blocks"))
     cells = apportion(cells, [F.col("source")], F.col("cell"), F.col("blocks"), [F.col("shard")], "quota")
     words = F.col("quota") * block_words + F.when(F.col("shard") == 0, F.round("target").cast("long") - F.col("blocks") * block_words).otherwise(0)
     words = F.least(F.greatest(words, F.lit(0)), F.floor(F.col("cell") * F.lit(cap)).cast("long"))
-    cells = staged(cells.withColumn("words", words).where("cell > 0").select("source", "shard", "cell", F.expr("words div cell").alias("whole"), F.expr("words % cell").alias("part")))
+    return cells.where("cell > 0").select("source", "shard", "cell", words.alias("words"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
+    """One row for each document: ``doc_id, source, size, source_size, target, taken``."""
+    rows = staged(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    known = seated(rows, weights, share, cap, block_words)
+    placed = staged(lay(known.where("size > 0"), shard_words, seed))
+    cells = staged(quotas(placed, cap, block_words).select("source", "shard", "cell", F.expr("words div cell").alias("whole"), F.expr("words % cell").alias("part")))
 
     block = cells.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(cell - 1) div {block_words}"))).alias("block"))
     block = block.withColumn("length", F.least(F.lit(block_words).cast("long"), F.col("cell") - F.col("block") * block_words))
@@ -151,28 +161,31 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     columns = docs.columns
     rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()))
-    taken = copies(rows.select("_row", "doc_id", "source", F.xxhash64("text").alias("_text"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
-    kept = rows.join(taken.where("copies > 0").select(F.col("_row").alias("_id"), "copies"), F.col("_row") == F.col("_id"))
+    sizes = staged(rows.select("_row", "doc_id", "source", F.xxhash64("text").alias("_text"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    kept = rows.join(copies(sizes).where("copies > 0").select(F.col("_row").alias("_id"), "copies"), F.col("_row") == F.col("_id"))
     return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*columns)
 
 
-def copies(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
-    """``rows`` (``doc_id, source, size, _text`` and more) with ``target, copies``.
+def copies(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
+    """``rows`` (``doc_id, source, size, _text`` and more) with ``source_size, target, copies``.
 
-    Systematic draws in order of size: in each shard of a source the running sum
-    of its ratio of target to size, from a seeded start, gives a document a copy
-    for each whole number that it passes there.  So a document gets the ratio
-    rounded down or up, the latter with the fraction as probability, and a
-    shard's words at any stretch of sizes miss theirs by less than its longest
-    document there (both ends of the stretch counted).
+    Sources get blocks, and their shards quotas of these, by Sainte-Lague as in
+    :func:`mix`.  What is drawn within a shard is whole documents instead of
+    blocks, by systematic draws in order of size: the running sum of the shard's
+    ratio of quota to size, from a seeded start, gives a document a copy for each
+    whole number that it passes there.  So a document gets the ratio rounded down
+    or up, the latter with the fraction as probability, and a shard's words at any
+    stretch of sizes miss theirs by less than its longest document there (both
+    ends of the stretch counted).
     """
-    sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
-    of = staged(sources.select(F.col("source").alias("of"), "source_size", "target"))
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")
-    dealt = rows.join(of, F.col("source").eqNullSafe(F.col("of")), "inner").drop("of")
-    dealt = dealt.withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_text"), shards))
-    start = F.pmod(F.xxhash64(F.lit(seed + 3), "source", "_shard"), F.lit(1 << 20)) / float(1 << 20)
-    cell = W.partitionBy("source", "_shard").orderBy("size", F.xxhash64(F.lit(seed + 1), "doc_id", "_text"), "doc_id", "_text")
-    nth, ratio = F.row_number().over(cell), F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
-    drawn = F.floor(start + nth * ratio) - F.floor(start + (nth - 1) * ratio)
-    return dealt.withColumn("copies", F.when(F.col("size") > 0, drawn).otherwise(0).cast("long")).drop("_shard", "_text")
+    known = seated(rows, weights, share, cap, block_words)
+    dealt = staged(known.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_text"), shards).cast("long")))
+    cells = quotas(dealt.where("size > 0"), cap, block_words)
+    cells = staged(cells.select(F.col("source").alias("s_"), F.col("shard").alias("h_"), "cell", "words"))
+    same = F.col("source").eqNullSafe(F.col("s_")) & (F.col("shard") == F.col("h_"))
+    shard = W.partitionBy("source", "shard").orderBy("size", F.xxhash64(F.lit(seed + 1), "doc_id", "_text"), "doc_id", "_text")
+    nth = F.count_if(F.col("size") > 0).over(shard.rowsBetween(W.unboundedPreceding, 0))
+    full = dealt.withColumn("nth", nth).join(cells, same, "left").withColumn("begin", F.pmod(F.xxhash64(F.lit(seed + 3), "source", "shard"), F.col("cell")))
+    drawn = F.expr("(begin + nth * words) div cell - (begin + (nth - 1) * words) div cell")
+    return full.withColumn("copies", F.when(F.col("size") > 0, drawn).otherwise(0).cast("long")).drop("shard", "_text", "blocks", "nth", "begin", "s_", "h_", "cell", "words")
