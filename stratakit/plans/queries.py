@@ -465,6 +465,8 @@ def upsert_buckets_touched(spark, sf_dir):
 
 # ---- events ---------------------------------------------------------------
 
+#: Files of a topic, which its stream reads in one batch.
+TOPIC_FILES = 8
 _EVENT = T.StructType().add("ano", "integer").add("id_aluno", "string").add("proficiencia", "double")
 
 
@@ -492,6 +494,12 @@ def messages(spark, sf_dir):
     return table(spark, sf_dir, "events").select(value.alias("value"), F.lit("t").alias("topic"), (k % 3).cast("int").alias("partition"), k.alias("offset"))
 
 
+def topic(rows: DataFrame, path: str) -> None:
+    """Messages as files that several tasks write and read; one batch has them all, so
+    their order is that of partition and offset, not of files."""
+    rows.repartition(TOPIC_FILES, "partition", "offset").write.parquet(path)
+
+
 @query(f"""select year(ts)::int ano, user_id::varchar id_aluno, value proficiencia, case when event_id % 12 = 0 then '{{"more":"e"}}' end _extra, event_id::varchar _event_id,
   (event_id % 3)::int _kafka_partition, event_id _kafka_offset, '{AT}' _ingestion_timestamp from events where event_id % 12 in (0, 7, 8)""")
 def event_parse_valid(spark, sf_dir):
@@ -537,11 +545,11 @@ def stream_quarantine(spark, sf_dir):
     """Rows of a stream whose reference has every other student; a second
     reference can't be read, and its rule passes."""
     base = scratch_dir(spark)
-    messages(spark, sf_dir).coalesce(1).write.parquet(f"{base}/topic")
+    topic(messages(spark, sf_dir), f"{base}/topic")
     table(spark, sf_dir, "events").where("user_id % 2 = 0").select(F.col("user_id").cast("string").alias("id_aluno")).distinct().write.parquet(f"{base}/known")
     rules = (Rule("known", FOREIGN_KEY, "id_aluno", reference="known.id_aluno"), Rule("other", FOREIGN_KEY, "id_aluno", reference="absent.id_aluno"))
     tables = stream_jobs.StreamTables(f"{base}/bronze", f"{base}/silver", f"{base}/quarantine", _EVENT, ("ano", "id_aluno"), rules)
-    source = readers.read_file_stream(spark, f"{base}/topic", messages(spark, sf_dir).schema, 8)
+    source = readers.read_file_stream(spark, f"{base}/topic", messages(spark, sf_dir).schema, TOPIC_FILES)
     references = lambda: readers.load_references(spark, {"known": f"{base}/known", "absent": f"{base}/none"})
     stream_jobs.run_stream(source, tables, references, f"{base}/checkpoint", "stream", lambda: AT).awaitTermination()
     return spark.read.parquet(tables.quarantine).select(F.col("ano").cast("int").alias("ano"), "id_aluno", "proficiencia", "_quality_rule_ids", "_quarantine_layer")
@@ -554,9 +562,8 @@ def stream_bronze_silver(spark, sf_dir):
     """Messages streamed through Bronze and the quality gate into Silver."""
     base = scratch_dir(spark)
     rows = messages(spark, sf_dir)
-    for part in range(3):  # a file set for each partition, in order of arrival
-        rows.where(F.col("partition") == part).coalesce(1).write.mode("append").parquet(f"{base}/topic")
-    source = readers.read_file_stream(spark, f"{base}/topic", rows.schema, 8)
+    topic(rows, f"{base}/topic")
+    source = readers.read_file_stream(spark, f"{base}/topic", rows.schema, TOPIC_FILES)
     tables = stream_jobs.StreamTables(f"{base}/bronze", f"{base}/silver", f"{base}/quarantine", _EVENT, ("ano", "id_aluno"), (Rule("r", NOT_NULL, "id_aluno"),), rejects=f"{base}/rejects")
     stream_jobs.run_stream(source, tables, dict, f"{base}/checkpoint", "stream", lambda: AT).awaitTermination()
     return spark.read.parquet(tables.silver).select(F.col("ano").cast("int").alias("ano"), "id_aluno", "proficiencia", "_ingestion_timestamp", "_silver_processed_at")
