@@ -10,13 +10,15 @@ NULL_WORDS = ("", "nan", "none", "null", "<na>")
 #: Texts that mean "literate", in any case (fixed values).
 TRUE_WORDS = ("sim", "1", "true", "s")
 CODE_WIDTH = 7
+#: What a regular expression calls white space.
+WHITE = " \t\n\x0b\f\r"
 
 
 def text_of(c: Column | str) -> Column:
     """A value as text, all-round white space removed; whole numbers without
     exponent (a double of 10**7 or more prints one otherwise)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
+    return F.trim(c.cast("string"), F.lit(WHITE))
 
 
 def whole_number_text(c: Column | str, kind: str) -> Column:
@@ -39,9 +41,14 @@ def year(c: Column | str) -> Column:
 
 
 def padded_code(c: Column | str, kind: str = "string", width: int = CODE_WIDTH) -> Column:
-    """A numeric code, zeros before it up to ``width``; longer codes stay."""
+    """A numeric code, zeros before it up to ``width``; longer codes stay.
+
+    A text that is such a code already, as most are, is told by one match.
+    """
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    done = F.regexp_like(text, F.lit(rf"\A[0-9]{{{width},}}\z")) if kind == "string" else F.lit(False)
     digits = F.regexp_replace(F.regexp_replace(whole_number_text(c, kind), r"\.0$", ""), r"\D", "")
-    return F.when(F.length(digits) == 0, None).when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+    return F.when(done, text).when(F.length(digits) == 0, None).when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
 
 
 def upper_clean(c: Column | str) -> Column:
@@ -49,7 +56,8 @@ def upper_clean(c: Column | str) -> Column:
 
 
 def lower_clean(c: Column | str) -> Column:
-    return F.lower(null_like(c))
+    t = F.lower(text_of(c))
+    return F.when(~t.isin(*NULL_WORDS), t)
 
 
 def true_flag(c: Column | str, words: tuple[str, ...] = TRUE_WORDS, nulls_count: bool = True) -> Column:

@@ -16,11 +16,13 @@ def require_columns(df: DataFrame, columns: list[str] | tuple[str, ...], what: s
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key (null is a key too) in the given order.
 
-    One shuffle by key; Spark keeps only one row a key and partition before it.
+    One shuffle by key; Spark keeps only one row a key and partition before it.  A
+    hash leads the key, so that the sort tells rows apart by one number instead of by
+    the key's columns, the first of which (a year) may be the same in most rows.
     """
     require_columns(df, keys)
-    place = F.row_number().over(W.partitionBy(*keys).orderBy(*(order or [F.lit(0)])))
-    return df.withColumn("_place", place).where("_place = 1").drop("_place")
+    place = F.row_number().over(W.partitionBy("_hash", *keys).orderBy(*(order or [F.lit(0)])))
+    return df.withColumn("_hash", F.xxhash64(*keys)).withColumn("_place", place).where("_place = 1").drop("_place", "_hash")
 
 
 def latest(df: DataFrame, keys: list[str], timestamp: str = "_ingestion_timestamp", ties: list[Column] | None = None) -> DataFrame:
