@@ -262,9 +262,12 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERC
     several = of_doc.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("doc_id", "a")
     links = staged(of_doc.join(several, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")))
     mixed = members.withColumns({"component": F.col("rep"), "is_x": F.lit(True)})
-    found = None
+    found, n_links = None, -1
     for _ in range(LEADER_ROUNDS):
         links = staged(links.unionByName(led(mixed, sets, percent)).distinct())
+        before, n_links = n_links, links.count()
+        if n_links == before:
+            break  # no link came, so components, buckets and leaders would be the last round's
         found = components(links)
         mixed = staged(mixed_buckets(members, found))
         if mixed.isEmpty():

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from stratakit.llm.common import documents, running_before, staged
+from stratakit.llm.common import documents, few_at_once, running_before, staged
 
 WINDOW = 2048
 END_ID = 1
@@ -174,7 +174,7 @@ def cut_runs(docs: DataFrame, lump: int = LUMP, vocabulary: str | None = None, r
             columns = list(zip(*rows))
             return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, types)), pa.array(np.full(len(rows), part))], names=schema.names)
 
-        for batch in batches:
+        for batch in few_at_once(batches):
             types = [batch.schema.field("doc_id").type, batch.schema.field("source").type, *(t for _, _, t in kinds)]
             rows = []
             for i, s, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "source", "text"))):

@@ -438,3 +438,25 @@ def test_query_equals_its_sql(spark):
 ])
 def test_entities_behind_names_and_other_forms(text, want):
     assert entities_in(text) == want
+
+
+def test_rounds_end_where_leaders_find_no_more(spark, monkeypatch):
+    """Texts that share buckets, but are too far apart to be linked."""
+    base = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(k, " ".join([*base[:k], "x", *base[k + 1 :]])) for k in range(40)], "doc_id long, text string")
+    calls, real, found = [], near_dedup.components, []
+    monkeypatch.setattr(near_dedup, "components", lambda links: calls.append(1) or real(links))
+    for rounds in (2, 9):
+        monkeypatch.setattr(near_dedup, "LEADER_ROUNDS", rounds)
+        found.append(sorted(map(tuple, near_dedup.near_groups(docs, words=2, percent=97).collect())))
+    assert len(calls) == 2 and found[0] == found[1] == [(k, 59, k, True) for k in range(40)]
+
+
+def test_few_rows_at_once():
+    import pyarrow as pa
+
+    from stratakit.llm.common import few_at_once
+
+    batches = [pa.record_batch({"a": list(range(n))}) for n in (0, 5, 3)]
+    got = [b.column("a").to_pylist() for b in few_at_once(batches, 2)]
+    assert got == [[0, 1], [2, 3], [4], [0, 1], [2]]
